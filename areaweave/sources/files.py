@@ -5,42 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from areaweave.config import PAIR_COLUMNS
-
-
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+from areaweave.config import CROSSWALK_COLUMNS, PAIR_COLUMNS
 
 
 # Columns of the files read and written.
-CROSSWALK_SCHEMA = _schema(
+CROSSWALK_SCHEMA = (
     "from_source string not null, from_bdy string not null, from_id string not null, "
     "from_name string not null, to_source string not null, to_bdy string not null, "
     "to_id string not null, to_name string not null, address_count bigint, address_percent decimal(4,1)")
-SCORE_SCHEMA = _schema(
+SCORE_SCHEMA = (
     "from_source string, from_bdy string, to_source string, to_bdy string, "
     "concordance_percent smallint, error_percent decimal(5,1)")
-CORRESPONDENCE_SCHEMA = _schema(
+CORRESPONDENCE_SCHEMA = (
     "sa2_maincode_2016 string, sa2_name_2016 string, sa2_code_2021 string, sa2_name_2021 string, "
     "ratio_from_to double, indiv_to_region_qlty_indicator string, overall_quality_indicator string, "
     "bmos_null_flag smallint")
-CASES_BY_POSTCODE = _schema("postcode string not null, cases int not null")
-CASES_BY_LGA = _schema("lga_code19 string not null, cases int not null")
-TESTS_BY_POSTCODE = _schema("postcode string not null, tests int not null")
-TESTS_BY_LGA = _schema("lga_code19 string not null, tests int not null")
-RAW_CASES_SCHEMA = _schema(
+CASES_BY_POSTCODE = "postcode string not null, cases int not null"
+CASES_BY_LGA = "lga_code19 string not null, cases int not null"
+TESTS_BY_POSTCODE = "postcode string not null, tests int not null"
+TESTS_BY_LGA = "lga_code19 string not null, tests int not null"
+RAW_CASES_SCHEMA = (
     "notification_date date not null, postcode string not null, lhd_2010_code string not null, "
     "lhd_2010_name string not null, lga_code19 string not null, lga_name19 string not null, "
     "confirmed_by_pcr string not null, confirmed_cases_count int not null")
-RAW_TESTS_SCHEMA = _schema(
+RAW_TESTS_SCHEMA = (
     "test_date date not null, postcode string not null, lhd_2010_code string not null, "
     "lhd_2010_name string not null, lga_code19 string not null, lga_name19 string not null, "
     "test_count int not null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A comma-separated file with a header that must match the schema.
 
     Codes stay text, so leading zeros and stand-ins such as ``None`` survive; a
@@ -54,7 +49,7 @@ def read_crosswalk(spark: SparkSession, path: str, format: str = "csv") -> DataF
     """A crosswalk exported as CSV, or stored by ``write_crosswalk``."""
     if format == "csv":
         return read_csv(spark, path, CROSSWALK_SCHEMA)
-    return spark.read.schema(CROSSWALK_SCHEMA).parquet(path).select(*CROSSWALK_SCHEMA.names)
+    return spark.read.schema(CROSSWALK_SCHEMA).parquet(path).select(*CROSSWALK_COLUMNS)
 
 
 def write_crosswalk(crosswalk: DataFrame, path: str) -> None:
