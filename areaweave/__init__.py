@@ -23,11 +23,9 @@ from areaweave.operators.spatial.layers import (
 )
 from areaweave.operators.spatial.measures import (
     albers, area_by_key, atoms_touching, centroids, geometry_diff, overlap, overlap_report,
-    percent_overlap, project_albers, unmatched,
-)
-from areaweave.operators.spatial.predicates import (
-    point_in_polygon_join, point_on_surface, polygons_meet,
+    percent_overlap, polygons_meet, project_albers, unmatched,
 )
+from areaweave.operators.spatial.predicates import point_in_polygon_join, point_on_surface
 from areaweave.operators.spatial.tagging import (
     legacy_pair_spatial, name_mismatches, one_way_matches, tag_atoms, tag_units, two_way_match, zonal_sum,
 )

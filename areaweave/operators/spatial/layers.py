@@ -2,8 +2,11 @@
 
 An edge table has one row per polygon edge:
 ``layer, bdy_id, bdy_name, part_id, ring_id, is_hole, x1, y1, x2, y2``.
-Rings are closed.  *Oriented* edges run anticlockwise around a part's outside
-and clockwise around its holes, which makes areas and overlaps plain sums.
+Rings are closed.  Edges run anticlockwise around a part's outside and
+clockwise around its holes, which makes areas and overlaps plain sums; every
+reader here sees to that, and ``orient`` does for edges from elsewhere.
+
+A layer used more than once is best stored as an edge table first.
 """
 
 from __future__ import annotations
@@ -37,9 +40,19 @@ def edges_from_rings(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column
     """Edges of polygons held as arrays of rings (see ``RINGS_TYPE``)."""
     flat = df.select(F.lit(layer).alias("layer"), bdy_id.cast("string").alias("bdy_id"),
                      bdy_name.cast("string").alias("bdy_name"), F.inline(rings.cast(RINGS_TYPE)))
-    steps = F.transform(F.sequence(F.lit(1), F.size("points") - 1), lambda i: F.struct(
-        F.element_at("points", i).alias("a"), F.element_at("points", i + 1).alias("b")))
-    return (flat.filter(F.size("points") > 1).withColumn("e", F.explode(steps))
+    corners = F.sequence(F.lit(1), F.size("points") - 1)
+
+    def at(i: Column) -> Column:
+        return F.element_at("points", i)
+
+    # Twice the enclosed area: positive if the ring runs anticlockwise.
+    turn = F.aggregate(corners, F.lit(0.0), lambda total, i: total + (
+        (at(i).x - at(i + 1).x) * (at(i).y + at(i + 1).y)))
+    steps = F.transform(corners, lambda i: F.struct(at(i).alias("a"), at(i + 1).alias("b")))
+    return (flat.filter(F.size("points") > 1)
+            .withColumn("points", F.when((turn < 0) != F.col("is_hole"), F.reverse("points"))
+                        .otherwise(F.col("points")))
+            .withColumn("e", F.explode(steps))
             .select(*RING, F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"),
                     F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")))
 
@@ -54,7 +67,7 @@ def edges_from_vertices(vertices: DataFrame) -> DataFrame:
     here = vertices.select(*RING, "seq", F.col("x").alias("x1"), F.col("y").alias("y1"))
     after = vertices.withColumn("seq", F.col("seq") - 1).select(
         *step, F.col("x").alias("x2"), F.col("y").alias("y2"))
-    return here.join(after, step).select(*RING, "x1", "y1", "x2", "y2")
+    return orient(here.join(after, step).select(*RING, "x1", "y1", "x2", "y2"))
 
 
 def _wkb_rings(wkb: bytes, offset: int = 0) -> tuple[list[list[np.ndarray]], int]:
@@ -103,7 +116,11 @@ def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column, wkb: Column) -> DataFrame:
-    """Oriented edges of polygons held as (extended) well-known binary."""
+    """Edges of polygons held as (extended) well-known binary.
+
+    Each row turns into its edges where it is read, which lets Python see a
+    geometry once; everything after works on numbers in columns.
+    """
     rows = df.select(F.lit(layer).alias("layer"), bdy_id.cast("string").alias("bdy_id"),
                      bdy_name.cast("string").alias("bdy_name"), wkb.alias("wkb")).filter("wkb is not null")
     return rows.mapInPandas(_wkb_edges, EDGE_SCHEMA)

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.operators.spatial.layers import BDY, orient, parts
-from areaweave.operators.spatial.predicates import edge_pairs, named, part_pairs, polygons_meet
+from areaweave.operators.spatial.layers import BDY, parts
+from areaweave.operators.spatial.predicates import edge_pairs, edges_touch, named, part_pairs
 
 # Overlaps below this share of the common bounding box are rounding noise.
 NOISE = 1e-9
@@ -62,24 +62,18 @@ def _trapezoid() -> Column:
     return (F.col("x1") - F.col("x2")) * (F.col("y1") + F.col("y2"))
 
 
-def area_by_key(edges: DataFrame, by: Sequence[str] = (*BDY, "bdy_name"), oriented: bool = False) -> DataFrame:
-    """Area per key, holes taken out.  Unoriented rings are measured one by one."""
-    if oriented:
-        return edges.groupBy(*by).agg((F.sum(_trapezoid()) / 2).alias("area"))
-    ring = list(dict.fromkeys([*by, *BDY, "part_id", "ring_id", "is_hole"]))
-    size = F.abs(F.col("_twice")) / 2
-    return (edges.groupBy(*ring).agg(F.sum(_trapezoid()).alias("_twice"))
-            .groupBy(*by).agg(F.sum(F.when(F.col("is_hole"), -size).otherwise(size)).alias("area")))
+def area_by_key(edges: DataFrame, by: Sequence[str] = (*BDY, "bdy_name")) -> DataFrame:
+    """Area per key, holes taken out."""
+    return edges.groupBy(*by).agg((F.sum(_trapezoid()) / 2).alias("area"))
 
 
-def centroids(edges: DataFrame, oriented: bool = False) -> DataFrame:
+def centroids(edges: DataFrame) -> DataFrame:
     """Area centroid of each boundary: ``layer, bdy_id, bdy_name, px, py``."""
-    turned = edges if oriented else orient(edges)
     origin = parts(edges).groupBy(*BDY).agg(F.min("minx").alias("ox"), F.min("miny").alias("oy"))
     dx1, dy1 = F.col("x1") - F.col("ox"), F.col("y1") - F.col("oy")
     dx2, dy2 = F.col("x2") - F.col("ox"), F.col("y2") - F.col("oy")
     cross = dx1 * dy2 - dx2 * dy1
-    sums = turned.join(origin, BDY).groupBy(*BDY, "bdy_name", "ox", "oy").agg(
+    sums = edges.join(origin, BDY).groupBy(*BDY, "bdy_name", "ox", "oy").agg(
         F.sum(cross).alias("a"), F.sum((dx1 + dx2) * cross).alias("mx"), F.sum((dy1 + dy2) * cross).alias("my"))
     return sums.filter("a <> 0").select(
         *BDY, "bdy_name", (F.col("ox") + F.col("mx") / (3 * F.col("a"))).alias("px"),
@@ -97,7 +91,8 @@ def _heights() -> dict[str, Column]:
     foot: small numbers keep the signed sums exact."""
     def at(side: str, x: str) -> Column:
         x1, y1, x2, y2 = (F.col(f"{side}{c}") for c in ("x1", "y1", "x2", "y2"))
-        return y1 - F.col("floor") + (F.col(x) + F.col("minx") - x1) * ((y2 - y1) / (x2 - x1))
+        # A vertical edge shares no stretch of x with any other; its slope is NULL.
+        return y1 - F.col("floor") + (F.col(x) + F.col("minx") - x1) * F.try_divide(y2 - y1, x2 - x1)
 
     return {"_ya": at("a", "_u"), "_yb": at("b", "_u"), "_za": at("a", "_v"), "_zb": at("b", "_v")}
 
@@ -109,22 +104,22 @@ def _piece(u: Column, v: Column, f: Column, g: Column) -> tuple[Column, Column,
             width * (f * f + f * g + g * g) / 6)
 
 
-def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, oriented: bool = False) -> DataFrame:
-    """Overlap of two layers: ``a_id, b_id``, area, centroid and common box.
+def _measure(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, touching: bool = False) -> DataFrame:
+    """Overlap of pairs of boundaries; with ``touching``, those of no area too.
 
     A point is in a polygon as often as the polygon's edges above it, counted
     with their direction, add up to.  The overlap of two polygons is therefore a
     signed sum over pairs of edges of the region under both, which needs one
     equi-join and one sum and no clipping: two straight lines cross at most once,
-    so under a pair of edges lie two trapezoids.  ``same_id`` pairs equal ids
-    only.
+    so under a pair of edges lie two trapezoids.
     """
-    a = edges_a if oriented else orient(edges_a)
-    b = edges_b if oriented else orient(edges_b)
-    slanted = F.col("x1") != F.col("x2")
-    met = edge_pairs(part_pairs(edges_a, edges_b, same_id),
-                     named(a.filter(slanted), "a"), named(b.filter(slanted), "b"))
-    met = met.withColumns(_common_range()).filter("_u < _v").withColumns(_heights())
+    a, b = named(edges_a, "a"), named(edges_b, "b")
+    if not touching:
+        a, b = a.filter("x1 <> x2"), b.filter("x1 <> x2")
+    met = edge_pairs(part_pairs(edges_a, edges_b, same_id), a, b).withColumns(_common_range())
+    if not touching:
+        met = met.filter("_u < _v")
+    met = met.withColumns(_heights())
     start, end = F.col("_ya") - F.col("_yb"), F.col("_za") - F.col("_zb")
     # Where along the range the two edges cross; 1 if they do not.
     turn = F.when(start * end < 0, F.try_divide(start, start - end)).otherwise(F.lit(1.0))
@@ -135,47 +130,62 @@ def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, orien
     left = _piece(F.col("_u"), F.col("_mid"), F.col("_f"), F.col("_h"))
     right = _piece(F.col("_mid"), F.col("_v"), F.col("_h"), F.col("_g"))
     sign = F.signum(F.col("ax1") - F.col("ax2")) * F.signum(F.col("bx1") - F.col("bx2"))
+    shared = F.col("_u") < F.col("_v")
     box = ["minx", "miny", "maxx", "maxy"]
+    touch = edges_touch() if touching else F.lit(False)
     summed = met.groupBy("a_id", "a_part", "b_id", "b_part", *box, "floor").agg(
-        *[F.sum(sign * (p + q)).alias(name) for name, p, q in zip(("s", "mx", "my"), left, right)])
+        *[F.coalesce(F.sum(F.when(shared, sign * (p + q))), F.lit(0.0)).alias(name)
+          for name, p, q in zip(("s", "mx", "my"), left, right)],
+        F.max(touch.cast("int")).alias("touch"))
     # Back to layer coordinates, over all parts of the two boundaries.
     size = F.sum((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny")))
     placed = summed.groupBy("a_id", "b_id").agg(
-        F.sum("s").alias("area"), size.alias("_size"),
+        F.sum("s").alias("area"), size.alias("_size"), F.max("touch").alias("touch"),
         F.sum(F.col("mx") + F.col("minx") * F.col("s")).alias("mx"),
         F.sum(F.col("my") + F.col("floor") * F.col("s")).alias("my"),
         *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in box])
-    return (placed.filter(F.col("area") > NOISE * F.col("_size"))
-            .select("a_id", "b_id", "area", (F.col("mx") / F.col("area")).alias("cx"),
-                    (F.col("my") / F.col("area")).alias("cy"), *box))
+    real = F.col("area") > NOISE * F.col("_size")
+    area = F.when(real, F.col("area"))
+    return (placed.filter(real | (F.col("touch") == 1))
+            .select("a_id", "b_id", F.coalesce(area, F.lit(0.0)).alias("area"),
+                    F.try_divide("mx", area).alias("cx"), F.try_divide("my", area).alias("cy"), *box))
 
 
-def overlap_report(edges_a: DataFrame, edges_b: DataFrame, oriented: bool = False) -> DataFrame:
+def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:
+    """Pairs of boundaries that overlap: ``a_id, b_id``, area, centroid and the
+    common bounding box.  ``same_id`` pairs equal ids only."""
+    return _measure(edges_a, edges_b, same_id)
+
+
+def overlap_report(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
     """Every pair of boundaries that share a point, with the size and centroid of
     what they share.  Pairs that only touch have area 0 and no centroid."""
-    shared = overlap(edges_a, edges_b, oriented=oriented).select("a_id", "b_id", "area", "cx", "cy")
-    return (polygons_meet(edges_a, edges_b).join(shared, ["a_id", "b_id"], "left")
-            .withColumn("area", F.coalesce("area", F.lit(0.0))))
+    return _measure(edges_a, edges_b, touching=True).select("a_id", "b_id", "area", "cx", "cy")
+
+
+def polygons_meet(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
+    """Pairs ``a_id, b_id`` of boundaries that share any point: edges of theirs
+    touch, or one holds the other and so all of its area."""
+    return _measure(edges_a, edges_b, touching=True).select("a_id", "b_id")
 
 
-def percent_overlap(edges_a: DataFrame, edges_b: DataFrame, oriented: bool = False) -> DataFrame:
+def percent_overlap(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
     """Overlap as a percent of the first boundary's area."""
-    size = area_by_key(edges_a, ["bdy_id"], oriented).select(
+    size = area_by_key(edges_a, ["bdy_id"]).select(
         F.col("bdy_id").alias("a_id"), F.col("area").alias("from_area"))
-    return overlap(edges_a, edges_b, oriented=oriented).join(size, "a_id").select(
+    return overlap(edges_a, edges_b).join(size, "a_id").select(
         "a_id", "b_id", (F.col("area") / F.col("from_area") * 100.0).alias("percent_area"))
 
 
-def geometry_diff(edges_a: DataFrame, edges_b: DataFrame, tolerance: float = 1e-9,
-                  oriented: bool = False) -> DataFrame:
+def geometry_diff(edges_a: DataFrame, edges_b: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Boundaries in both layers under one id whose shapes are not equal.
 
     Two shapes are equal when nothing is left of either outside their overlap.
     """
     def sizes(edges: DataFrame, name: str) -> DataFrame:
-        return area_by_key(edges, ["bdy_id"], oriented).withColumnRenamed("area", name)
+        return area_by_key(edges, ["bdy_id"]).withColumnRenamed("area", name)
 
-    shared = overlap(edges_a, edges_b, same_id=True, oriented=oriented).select(
+    shared = overlap(edges_a, edges_b, same_id=True).select(
         F.col("a_id").alias("bdy_id"), F.col("area").alias("overlap_area"))
     both = (sizes(edges_a, "a_area").join(sizes(edges_b, "b_area"), "bdy_id")
             .join(shared, "bdy_id", "left").withColumn("overlap_area", F.coalesce("overlap_area", F.lit(0.0))))

@@ -1,4 +1,4 @@
-"""Point in polygon, polygon meets polygon, and a point inside each polygon."""
+"""Point in polygon, edges that meet, and a point inside each polygon."""
 
 from __future__ import annotations
 
@@ -149,30 +149,14 @@ def _turn(ox: Column, oy: Column, ax: Column, ay: Column, bx: Column, by: Column
     return F.signum((ax - ox) * (by - oy) - (ay - oy) * (bx - ox))
 
 
-def polygons_meet(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
-    """Pairs ``a_id, b_id`` of boundaries that share any point.
-
-    Two parts meet if some of their edges do, or if one holds the other: then
-    any vertex of the inner one, here its first, lies in the outer one.
-    """
+def edges_touch() -> Column:
+    """Whether the two edges of a row of ``edge_pairs`` share a point: their boxes
+    meet, and neither lies strictly to one side of the other."""
     c = F.col
-    met = edge_pairs(part_pairs(edges_a, edges_b), named(edges_a, "a"), named(edges_b, "b"))
     close = ((F.least("ax1", "ax2") <= F.greatest("bx1", "bx2")) & (F.least("bx1", "bx2") <= F.greatest("ax1", "ax2"))
              & (F.least("ay1", "ay2") <= F.greatest("by1", "by2")) & (F.least("by1", "by2") <= F.greatest("ay1", "ay2")))
-    a_ends = (_turn(c("ax1"), c("ay1"), c("ax2"), c("ay2"), c("bx1"), c("by1"))
-              * _turn(c("ax1"), c("ay1"), c("ax2"), c("ay2"), c("bx2"), c("by2")))
-    b_ends = (_turn(c("bx1"), c("by1"), c("bx2"), c("by2"), c("ax1"), c("ay1"))
-              * _turn(c("bx1"), c("by1"), c("bx2"), c("by2"), c("ax2"), c("ay2")))
-    crossing = met.filter(close & (a_ends <= 0) & (b_ends <= 0)).select("a_id", "b_id")
-
-    def first_vertices(edges: DataFrame) -> DataFrame:
-        corner = F.min(F.struct("x1", "y1")).alias("v")
-        return edges.groupBy("bdy_id", "part_id").agg(corner).select(
-            F.struct("bdy_id", "part_id").alias("vertex_of"),
-            F.col("v.x1").alias("px"), F.col("v.y1").alias("py"))
-
-    a_in_b = point_in_polygon_join(first_vertices(edges_a), edges_b, "vertex_of").select(
-        F.col("vertex_of.bdy_id").alias("a_id"), F.col("bdy_id").alias("b_id"))
-    b_in_a = point_in_polygon_join(first_vertices(edges_b), edges_a, "vertex_of").select(
-        F.col("bdy_id").alias("a_id"), F.col("vertex_of.bdy_id").alias("b_id"))
-    return crossing.unionByName(a_in_b).unionByName(b_in_a).distinct()
+    a_line = c("ax1"), c("ay1"), c("ax2"), c("ay2")
+    b_line = c("bx1"), c("by1"), c("bx2"), c("by2")
+    a_ends = _turn(*a_line, c("bx1"), c("by1")) * _turn(*a_line, c("bx2"), c("by2"))
+    b_ends = _turn(*b_line, c("ax1"), c("ay1")) * _turn(*b_line, c("ax2"), c("ay2"))
+    return close & (a_ends <= 0) & (b_ends <= 0)

@@ -245,6 +245,17 @@ _UNIT_SEGMENT = "SELECT *, nullif(segment, 'BUILDING') AS segment_id FROM cust"
 _RELEASE = """strftime({d}, '%Y') || CASE quarter({d}) WHEN 1 THEN '02' WHEN 2 THEN '05' WHEN 3 THEN '08' ELSE '11' END"""
 _BACK = "(date_trunc('month', o_orderdate) - INTERVAL {n} MONTH)"
 
+# One boundary per point: the smallest id.  Middles of cells lie on no boundary.
+TIED = f"""
+    SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS atom_id, c_mktsegment, square_id, square_name, ell_id, ell_name
+    FROM orders JOIN customer ON c_custkey = o_custkey
+    JOIN (SELECT atom_id, min(CAST(id AS VARCHAR)) AS square_id,
+                 arg_min(concat(name, ' (C)'), CAST(id AS VARCHAR)) AS square_name
+          FROM atom JOIN square ON px BETWEEN x AND x + 20 AND py BETWEEN y AND y + 20 GROUP BY 1) s
+      ON s.atom_id = c_custkey
+    LEFT JOIN (SELECT atom_id, min(CAST(id AS VARCHAR)) AS ell_id, arg_min(name, CAST(id AS VARCHAR)) AS ell_name
+               FROM atom JOIN square ON {NATION_ELL} GROUP BY 1) e ON e.atom_id = c_custkey"""
+
 ORACLES: dict[str, str] = {
     "build_pair": _with(_pair(PAIRS[0]), "cust"),
     "build_pair_cross_source": _with(_pair(PAIRS[2]), "cust", "supp"),
@@ -371,16 +382,9 @@ ORACLES: dict[str, str] = {
               JOIN region ON r_regionkey = region) b ON b.atom_id = a.atom_id
         LEFT JOIN (SELECT atom_id, CAST(id AS VARCHAR) AS id, name FROM atom JOIN square ON {NATION_ELL}) e
           ON e.atom_id = a.atom_id""", "atom", "square"),
-    "tag_units_tie_break": _with(f"""
-        SELECT o_orderkey, CAST(c_custkey AS VARCHAR) AS atom_id, c_mktsegment, square_id, square_name, ell_id, ell_name
-        FROM orders JOIN customer ON c_custkey = o_custkey
-        JOIN (SELECT atom_id, min(CAST(id AS VARCHAR)) AS square_id,
-                     arg_min(concat(name, ' (C)'), CAST(id AS VARCHAR)) AS square_name
-              FROM mid JOIN square ON px BETWEEN x AND x + 20 AND py BETWEEN y AND y + 20 GROUP BY 1) s
-          ON s.atom_id = c_custkey
-        LEFT JOIN (SELECT atom_id, min(CAST(id AS VARCHAR)) AS ell_id, arg_min(name, CAST(id AS VARCHAR)) AS ell_name
-                   FROM mid JOIN square ON {NATION_ELL} GROUP BY 1) e ON e.atom_id = c_custkey""",
-        "cell", "square", mid="SELECT atom_id, qx + 0.5 AS px, qy + 0.5 AS py FROM cell"),
+    "tag_units_tie_break": _with(TIED, "atom", "square"),
+    "tag_units_from_shapes": _with(TIED.replace("FROM atom", "FROM mid"), "cell", "square",
+                                   mid="SELECT atom_id, qx + 0.5 AS px, qy + 0.5 AS py FROM cell"),
     "zonal_sum": _with(f"""
         SELECT CAST(id AS VARCHAR) AS bdy_id, name AS bdy_name, sum(balance) AS balance
         FROM atom JOIN depot ON {DEPOT_ELL} GROUP BY ALL""", "atom", "depot"),

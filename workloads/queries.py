@@ -245,11 +245,19 @@ def tag_units(spark, sf):
 
 
 def tag_units_tie_break(spark, sf):
+    units = v.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    atoms = v.read(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("atom_id"), "c_mktsegment")
+    points = v.atom_points(spark, sf).withColumn("atom_id", F.col("atom_id").cast("string"))
+    return aw.tag_units(units, atoms, _three_layers(spark, sf), ["square", "ell"], "o_orderkey", "o_custkey",
+                        "atom_id", points, optional=["ell"], tie_break=True)
+
+
+def tag_units_from_shapes(spark, sf):
     units = v.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     layers = _three_layers(spark, sf).unionByName(v.atom_squares(spark, sf))
     atoms = v.read(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("atom_id"), "c_mktsegment")
     return aw.tag_units(units, atoms, layers, ["square", "ell"], "o_orderkey", "o_custkey", "atom_id",
-                        optional=["ell"], tie_break=True)
+                        optional=["ell"])
 
 
 def zonal_sum(spark, sf):
@@ -342,7 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         apportion, rate, slice_pair, lookup, compare_official, rollup_indicator,
         residential_flags, reconcile, category_disagreement, unit_profile, unit_profile_topk, release_versions,
         duplicate_keys, duplicate_names, null_violations, dropped_units, row_parity, percent_totals,
-        pip_join, pip_join_parts_and_holes, tag_units, tag_units_tie_break, zonal_sum, point_on_surface_inside,
+        pip_join, pip_join_parts_and_holes, tag_units, tag_units_tie_break, tag_units_from_shapes, zonal_sum, point_on_surface_inside,
         two_way_match, name_mismatches, area_by_key, albers_area, centroids, overlap_report, percent_overlap,
         atoms_touching, geometry_diff, unmatched_shapes, overlap_legacy_pair, project_population,
     )

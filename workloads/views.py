@@ -6,6 +6,8 @@ suppliers and parts play the boundaries.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,9 @@ PAIRS = [
 ]
 
 
+@lru_cache(maxsize=None)
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table; its footer is read once per session."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
