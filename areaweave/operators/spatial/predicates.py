@@ -120,7 +120,10 @@ def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> Data
                         *[F.col(c).alias(f"{side}{c}") for c in ("x1", "y1", "x2", "y2")]))
 
     met = placed(edges_a, "a").join(placed(edges_b, "b"), [*keys, "strip"])
-    return met.filter(F.col("strip") == F.greatest("a_first", "b_first")).drop("strip", "a_first", "b_first")
+    shared = ((F.least("ax1", "ax2") <= F.greatest("bx1", "bx2"))
+              & (F.least("bx1", "bx2") <= F.greatest("ax1", "ax2")))
+    return (met.filter((F.col("strip") == F.greatest("a_first", "b_first")) & shared)
+            .drop("strip", "a_first", "b_first"))
 
 
 def named(edges: DataFrame, side: str) -> DataFrame:

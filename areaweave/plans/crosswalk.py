@@ -87,17 +87,17 @@ def _combinations(layout: _Layout, tagged: DataFrame) -> DataFrame:
 
 
 def _from_unit_tables(layout: _Layout, tables: Mapping[str, DataFrame],
-                      flags: DataFrame | None) -> DataFrame:
-    """Combinations of tag tables that are all keyed by unit."""
+                      units: DataFrame | None) -> DataFrame:
+    """Combinations of tag tables that are all keyed by unit.
+
+    Left joins from the list of units keep its partitioning, so each tag table
+    is shuffled once at most, and not at all if stored in buckets.
+    """
     sides = [tables[s.name].select(F.col(s.unit_id).alias("unit_id"), *layout.project(s))
              for s in layout.sources]
-    if flags is not None:
-        units = flags
-    elif len(sides) == 1:
+    if units is None and len(sides) == 1:
         return _combinations(layout, sides[0])
-    else:
-        # Ids alone are gathered first; left joins then keep their partitioning,
-        # so each tag table is shuffled once however many there are.
+    if units is None:
         units = reduce(DataFrame.unionByName, [side.select("unit_id") for side in sides]).distinct()
     return _combinations(layout, reduce(lambda left, side: left.join(side, "unit_id", "left"), sides, units))
 
@@ -150,14 +150,19 @@ def _flagged(residential: Residential, flags: DataFrame | None, unit_id: str) ->
 
 
 def build_all(tables: Mapping[str, DataFrame], registry: Registry, pairs: Sequence[Pair],
-              residential: Residential = EVERYONE, flags: DataFrame | None = None) -> DataFrame:
+              residential: Residential = EVERYONE, flags: DataFrame | None = None,
+              units: DataFrame | None = None) -> DataFrame:
     """Crosswalk rows of all pairs; equal to the union of ``build_pair``.
 
     Unit ids must be unique in each table, as for the tag tables they are.
+    ``units`` is a table of all unit ids, worked out from the others if missing.
     """
     layout = _Layout(registry, pairs, residential)
-    kept = _flagged(residential, flags, layout.sources[0].unit_id)
-    return _all_pairs(layout, _from_unit_tables(layout, tables, kept), pairs)
+    unit_id = layout.sources[0].unit_id
+    listed = _flagged(residential, flags, unit_id)
+    if listed is None and units is not None:
+        listed = units.select(F.col(unit_id).alias("unit_id"))
+    return _all_pairs(layout, _from_unit_tables(layout, tables, listed), pairs)
 
 
 def build_all_from_atoms(units: DataFrame, unit_id: str, atoms: Mapping[str, AtomTags],

@@ -44,7 +44,8 @@ def build_pair_two_sided_filter(spark, sf):
 
 
 def build_all(spark, sf):
-    return aw.build_all(v.tables(spark, sf), v.REGISTRY, v.PAIRS, v.RESIDENTIAL)
+    units = v.read(spark, sf, "orders").select(F.col("o_orderkey").alias("unit_id"))
+    return aw.build_all(v.tables(spark, sf), v.REGISTRY, v.PAIRS, v.RESIDENTIAL, units=units)
 
 
 def build_all_from_atoms(spark, sf):
