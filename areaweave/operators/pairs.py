@@ -9,24 +9,19 @@ from pyspark.sql import functions as F
 
 from areaweave.config import CROSSWALK_COLUMNS, EVERYONE, Pair, Registry, Residential
 from areaweave.functions import round_half_even, to_numeric
+from areaweave.operators.joins import lookup_join
 
 
 def with_total(counts: DataFrame, by: Sequence[str], total: str = "total",
-               n: str = "address_count", null_safe: bool = False) -> DataFrame:
-    """Add each group's total as a column.
+               n: str = "address_count") -> DataFrame:
+    """Add each group's total as a column; NULL keys form a group like any other.
 
     Written as an aggregate joined back instead of a window: one ``from`` area
     may hold a large share of all rows, and a window would sort that whole
-    group in one task.  The aggregate combines before its shuffle, the counts'
-    own shuffle is reused, and the join is either a size-checked broadcast or a
-    sort-merge join whose hot partitions adaptive execution can split.
+    group in one task.  The aggregate combines before its shuffle and reuses
+    that of the counts.
     """
-    totals = counts.groupBy(*by).agg(F.sum(n).alias(total))
-    if not null_safe:
-        return counts.join(totals, list(by))
-    renamed = totals.select(*[F.col(c).alias(f"_{c}") for c in by], total)
-    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    return counts.join(renamed, match).drop(*[f"_{c}" for c in by])
+    return lookup_join(counts, counts.groupBy(*by).agg(F.sum(n).alias(total)), by)
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -121,7 +116,7 @@ def same_table_pair(units: DataFrame, from_label: str, from_id: str, from_name:
                            F.col(to_id).alias("to_id"), F.col(to_name).alias("to_name"))
               .groupBy("from_id", "from_name", "to_id", "to_name")
               .agg(F.count(F.lit(1)).alias("address_count")))
-    shared = with_total(counts, ["from_id"], null_safe=True).withColumn(
+    shared = with_total(counts, ["from_id"]).withColumn(
         "percent_from_addresses", percent_of(F.col("address_count"), F.col("total")))
     return (shared.filter("percent_from_addresses > 0")
             .select(F.lit(from_label).alias("from_bdy"), "from_id", "from_name",
@@ -134,7 +129,7 @@ def legacy_counts(units: DataFrame) -> DataFrame:
     and a whole-number percent; shares that round to zero are dropped."""
     keys = ["source_id", "source_name", "source_state", "target_id", "target_name", "target_state"]
     counts = units.groupBy(*keys).agg(F.count(F.lit(1)).alias("address_count"))
-    shared = with_total(counts, ["source_id"], "total_source_addresses", null_safe=True)
+    shared = with_total(counts, ["source_id"], "total_source_addresses")
     percent = percent_of(F.col("address_count"), F.col("total_source_addresses"))
     return (shared.withColumn("percent_source_addresses", round_half_even(percent, "smallint"))
             .filter("percent_source_addresses > 0"))

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MIN_LEVEL = -40
+# Smallest cells: 2 to this power, fine enough for points and small enough that a
+# cell number fits 64 bits.
+MIN_LEVEL = -30
 
 
 def _level(width: Column, height: Column) -> Column:

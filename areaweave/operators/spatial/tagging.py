@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaweave.functions import name_before
+from areaweave.operators.joins import lookup_join
 from areaweave.operators.legacy import legacy_rows
 from areaweave.operators.pairs import legacy_counts
 from areaweave.operators.spatial.measures import overlap
@@ -53,7 +54,8 @@ def tag_units(units: DataFrame, atoms: DataFrame, layers: DataFrame, names: Sequ
     code = F.col(unit_atom).cast("string")
     if unit_atom_length is not None:
         code = F.substring(code, 1, unit_atom_length)
-    return units.select(unit_id, code.alias(atom_id)).join(tags, atom_id)
+    tagged = units.select(unit_id, code.alias(atom_id)).filter(F.col(atom_id).isNotNull())
+    return lookup_join(tagged, tags, [atom_id])
 
 
 def zonal_sum(points: DataFrame, layer: DataFrame, values: Sequence[str], point_id: str,

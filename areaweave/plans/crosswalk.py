@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from areaweave.config import (
     CROSSWALK_COLUMNS, EVERYONE, PAIR_COLUMNS, Pair, Registry, Residential, Source,
 )
+from areaweave.operators.joins import lookup_join
 from areaweave.operators.pairs import with_percent
 
 WEIGHT = "_weight"
@@ -123,8 +124,9 @@ def _from_atoms(layout: _Layout, units: DataFrame, unit_id: str, atoms: Mapping[
     for source in layout.sources:
         if source.name in atoms:
             a = atoms[source.name]
-            tags = a.tags.select(F.col(a.atom_id).cast("string").alias(codes[source.name]), *layout.project(source))
-            counted = counted.join(tags, codes[source.name], "left")
+            code = codes[source.name]
+            tags = a.tags.select(F.col(a.atom_id).cast("string").alias(code), *layout.project(source))
+            counted = lookup_join(counted, tags.filter(F.col(code).isNotNull()), [code], "left")
     return counted.drop(*codes.values())
 
 
