@@ -26,6 +26,8 @@ PART = [*BDY, "part_id"]
 RING = [*BDY, "bdy_name", "part_id", "ring_id", "is_hole"]
 RINGS_TYPE = "array<struct<part_id:int,ring_id:int,is_hole:boolean,points:array<struct<x:double,y:double>>>>"
 
+POINTS_PER_FRAME = 100_000
+
 
 def ring(points: list[tuple], part_id: Column | int = 0, ring_id: int = 0, is_hole: bool = False) -> Column:
     """A ring as a column, from corner expressions; the first corner closes it."""
@@ -98,8 +100,21 @@ def _wkb_rings(wkb: bytes, offset: int = 0) -> tuple[list[list[np.ndarray]], int
     return [rings], offset
 
 
+def _edge_frame(rings: list[tuple]) -> pd.DataFrame:
+    """One frame for many rings of (layer, id, name, part, ring, points)."""
+    sizes = [len(r[5]) - 1 for r in rings]
+    columns = {name: np.repeat(np.array([r[i] for r in rings], dtype=kind), sizes)
+               for i, (name, kind) in enumerate((("layer", object), ("bdy_id", object), ("bdy_name", object),
+                                                 ("part_id", "i4"), ("ring_id", "i4")))}
+    start, end = (np.concatenate([r[5][cut] for r in rings]) for cut in (slice(None, -1), slice(1, None)))
+    return pd.DataFrame({**columns, "is_hole": columns["ring_id"] > 0,
+                         "x1": start[:, 0], "y1": start[:, 1], "x2": end[:, 0], "y2": end[:, 1]})
+
+
 def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        held: list[tuple] = []
+        points_held = 0
         for row in batch.itertuples(index=False):
             parts, _ = _wkb_rings(row.wkb)
             for part_id, rings in enumerate(parts):
@@ -107,12 +122,14 @@ def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     # Outside anticlockwise, holes clockwise.
                     x, y = points[:, 0], points[:, 1]
                     turn = np.sum((x[:-1] - x[1:]) * (y[:-1] + y[1:] - 2 * y.min()))
-                    if (turn < 0) != (ring_id > 0):
-                        points = points[::-1]
-                    yield pd.DataFrame({
-                        "layer": row.layer, "bdy_id": row.bdy_id, "bdy_name": row.bdy_name,
-                        "part_id": np.int32(part_id), "ring_id": np.int32(ring_id), "is_hole": ring_id > 0,
-                        "x1": points[:-1, 0], "y1": points[:-1, 1], "x2": points[1:, 0], "y2": points[1:, 1]})
+                    held.append((row.layer, row.bdy_id, row.bdy_name, part_id, ring_id,
+                                 points[::-1] if (turn < 0) != (ring_id > 0) else points))
+                    points_held += len(points)
+            if points_held > POINTS_PER_FRAME:
+                yield _edge_frame(held)
+                held, points_held = [], 0
+        if held:
+            yield _edge_frame(held)
 
 
 def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column, wkb: Column) -> DataFrame:

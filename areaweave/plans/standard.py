@@ -45,17 +45,23 @@ def census_tables(spark: SparkSession, ns: Namespaces, census: str) -> tuple[Dat
     return atoms, {b: spark.table(f"{db}.{pattern.format(b)}") for b in LAYER_BDYS}
 
 
-def census_atom_tags(atoms: DataFrame, layers: Mapping[str, DataFrame], census: str) -> DataFrame:
+def census_edges(atoms: DataFrame, layers: Mapping[str, DataFrame], census: str) -> DataFrame:
+    """Edge table of the meshblocks, as layer ``atom``, and the six other layers."""
+    code, name = (CODE_16, NAME_16) if census == CENSUS_2016 else (CODE_21, NAME_21)
+    shapes = {"atom": (atoms, ATOM_ID[census], ATOM_ID[census])} | {
+        b: (layer, code.format(b), name.format(b)) for b, layer in layers.items()}
+    return reduce(DataFrame.unionByName, [
+        edges_from_wkb(df, b, F.col(i), F.col(n), F.col("geom")) for b, (df, i, n) in shapes.items()])
+
+
+def census_atom_tags(atoms: DataFrame, edges: DataFrame, census: str, tie_break: bool = False) -> DataFrame:
     """Each meshblock with its own columns and the codes and names of six layers."""
     code, name = (CODE_16, NAME_16) if census == CENSUS_2016 else (CODE_21, NAME_21)
     atom_id = ATOM_ID[census]
-    points = point_on_surface(edges_from_wkb(atoms, "atom", F.col(atom_id), F.col(atom_id), F.col("geom")))
-    edges = reduce(DataFrame.unionByName, [
-        edges_from_wkb(layer, b, F.col(code.format(b)), F.col(name.format(b)), F.col("geom"))
-        for b, layer in layers.items()])
-    tags = tag_atoms(points.select(F.col("bdy_id").alias(atom_id), "px", "py"), edges, list(layers),
-                     atom_id, optional=OPTIONAL_LAYERS)
-    renames = {f"{b}_id": code.format(b) for b in layers} | {f"{b}_name": name.format(b) for b in layers}
+    points = point_on_surface(edges.filter(F.col("layer") == "atom"))
+    tags = tag_atoms(points.select(F.col("bdy_id").alias(atom_id), "px", "py"), edges.filter(F.col("layer") != "atom"),
+                     LAYER_BDYS, atom_id, optional=OPTIONAL_LAYERS, tie_break=tie_break)
+    renames = {f"{b}_id": code.format(b) for b in LAYER_BDYS} | {f"{b}_name": name.format(b) for b in LAYER_BDYS}
     return atoms.drop("geom").join(tags.withColumnsRenamed(renames), atom_id)
 
 
@@ -75,9 +81,12 @@ def standard_nested(atoms: DataFrame, units: DataFrame, census: str,
 
 def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential = STANDARD_RESIDENTIAL,
                  flags: DataFrame | None = None, export_path: str | None = None,
-                 publish_to: str | None = None, buckets: int = 512) -> None:
+                 publish_to: str | None = None, buckets: int = 512, tie_break: bool = False) -> None:
     """Build every standard table of a release.
 
+    A meshblock whose point lies on the edge of two areas would give its units
+    two rows, which stops the build; ``tie_break`` takes the smaller id instead.
+
     Steps hand over through stored tables, so a lost executor repeats one step's
     tasks, not the whole lineage.
     """
@@ -86,8 +95,9 @@ def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential =
     tags, nested = {}, []
     for census, unit_table in ((CENSUS_2016, TAGS_2016), (CENSUS_2021, TAGS_2021)):
         atoms, layers = census_tables(spark, ns, census)
-        atom_table = f"{db}.{unit_table}_by_meshblock"
-        replace_table(census_atom_tags(atoms, layers, census), atom_table)
+        atom_table, edge_table = f"{db}.{unit_table}_by_meshblock", f"{db}.{unit_table}_edges"
+        replace_table(census_edges(atoms, layers, census), edge_table, ["layer"])
+        replace_table(census_atom_tags(atoms, spark.table(edge_table), census, tie_break), atom_table)
         tags[census] = AtomTags(spark.table(atom_table), ATOM_ID[census], UNIT_ATOM[census])
         code = F.col(UNIT_ATOM[census]).cast("string").alias(ATOM_ID[census])
         replace_table(units.select("gid", "gnaf_pid", code).join(tags[census].tags, ATOM_ID[census]),
