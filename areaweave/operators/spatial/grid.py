@@ -17,34 +17,22 @@ from pyspark.sql import functions as F
 # cell number fits 64 bits.
 MIN_LEVEL = -30
 
-
-def _level(width: Column, height: Column) -> Column:
-    """Exponent of the cell side for a box."""
-    side = F.greatest(width, height, F.lit(2.0 ** MIN_LEVEL))
-    return F.ceil(F.log2(side)).cast("int") - 1
-
-
-def _cell(value: Column, level: Column) -> Column:
-    return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+# Exponent of a box's cell side, and a coordinate's cell on the row's level.
+LEVEL = f"cast(ceil(log2(greatest(maxx - minx, maxy - miny, {2.0 ** MIN_LEVEL!r}D))) as int) - 1"
+CELL = "cast(floor({} / pow(2D, level)) as bigint)"
+BOX = ["minx", "miny", "maxx", "maxy"]
 
 
 def _levels(boxes: DataFrame) -> Column:
     """The levels present, as a scalar subquery: a handful of exponents."""
-    level = _level(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    return boxes.agg(F.collect_set(level).alias("levels")).scalar()
-
-
-def _own_cells(boxes: DataFrame) -> DataFrame:
-    level = _level(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    return _spread(boxes.withColumn("level", level))
+    return boxes.agg(F.expr(f"collect_set({LEVEL}) as levels")).scalar()
 
 
 def _spread(boxes: DataFrame) -> DataFrame:
-    return (boxes
-            .withColumn("gx", F.explode(F.sequence(_cell(F.col("minx"), F.col("level")),
-                                                   _cell(F.col("maxx"), F.col("level")))))
-            .withColumn("gy", F.explode(F.sequence(_cell(F.col("miny"), F.col("level")),
-                                                   _cell(F.col("maxy"), F.col("level"))))))
+    """One row per cell a box meets on its row's level."""
+    for cell, low, high in (("gx", "minx", "maxx"), ("gy", "miny", "maxy")):
+        boxes = boxes.withColumn(cell, F.expr(f"explode(sequence({CELL.format(low)}, {CELL.format(high)}))"))
+    return boxes
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str) -> DataFrame:
@@ -55,10 +43,10 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str) -> Data
     """
     looked_up = (points.withColumn("_levels", _levels(boxes))
                  .withColumn("level", F.explode("_levels")).drop("_levels")
-                 .withColumns({"gx": _cell(F.col(x), F.col("level")), "gy": _cell(F.col(y), F.col("level"))}))
-    inside = (F.col(x).between(F.col("minx"), F.col("maxx"))
-              & F.col(y).between(F.col("miny"), F.col("maxy")))
-    return looked_up.join(_own_cells(boxes), ["level", "gx", "gy"]).filter(inside).drop("level", "gx", "gy")
+                 .withColumns({"gx": F.expr(CELL.format(x)), "gy": F.expr(CELL.format(y))}))
+    celled = _spread(boxes.withColumn("level", F.expr(LEVEL)))
+    return (looked_up.join(celled, ["level", "gx", "gy"])
+            .filter(f"{x} between minx and maxx and {y} between miny and maxy").drop("level", "gx", "gy"))
 
 
 def boxes_in_boxes(a: DataFrame, b: DataFrame, a_key: Sequence[str], b_key: Sequence[str],
@@ -68,33 +56,23 @@ def boxes_in_boxes(a: DataFrame, b: DataFrame, a_key: Sequence[str], b_key: Sequ
     Inputs have ``minx, miny, maxx, maxy``; keys must not share names.  ``on``
     names a key column of each side that must be equal, which replaces the grid.
     """
-    box = ("minx", "miny", "maxx", "maxy")
-    left = a.select(*a_key, *[F.col(c).alias(f"a_{c}") for c in box])
-    right = b.select(*b_key, *[F.col(c).alias(f"b_{c}") for c in box])
-    common = {"minx": F.greatest("a_minx", "b_minx"), "miny": F.greatest("a_miny", "b_miny"),
-              "maxx": F.least("a_maxx", "b_maxx"), "maxy": F.least("a_maxy", "b_maxy")}
-    meets = (F.col("minx") <= F.col("maxx")) & (F.col("miny") <= F.col("maxy"))
+    left = a.selectExpr(*a_key, *[f"{c} as a_{c}" for c in BOX])
+    right = b.selectExpr(*b_key, *[f"{c} as b_{c}" for c in BOX])
+    common = {c: F.expr(f"{'greatest' if c.startswith('min') else 'least'}(a_{c}, b_{c})") for c in BOX}
+    meets = "minx <= maxx and miny <= maxy"
     if on is not None:
         pairs = left.join(right, F.col(on[0]) == F.col(on[1])).withColumns(common).filter(meets)
-        return pairs.select(*a_key, *b_key, *box)
+        return pairs.select(*a_key, *b_key, *BOX)
 
-    def celled(side: DataFrame, key: Sequence[str], other: DataFrame) -> DataFrame:
+    def celled(side: DataFrame, key: Sequence[str], other: DataFrame, name: str) -> DataFrame:
         # Own level, then the coarser levels the other side uses.
-        boxes = side.select(*key, *box).withColumn(
-            "_own", _level(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))
-        return _spread(boxes.withColumn("_all", F.array_union(F.array("_own"), _levels(other)))
-                       .withColumn("level", F.explode("_all")).drop("_all")
-                       .filter("level >= _own"))
-
-    cells = ["level", "gx", "gy"]
-    lhs = celled(a, a_key, b).select(*a_key, *cells, F.col("_own").alias("_a_own"),
-                                     *[F.col(c).alias(f"a_{c}") for c in box])
-    rhs = celled(b, b_key, a).select(*b_key, *cells, F.col("_own").alias("_b_own"),
-                                     *[F.col(c).alias(f"b_{c}") for c in box])
+        return (_spread(side.selectExpr(*key, *BOX, f"{LEVEL} as _own")
+                        .withColumn("_all", F.array_union(F.array("_own"), _levels(other)))
+                        .withColumn("level", F.explode("_all")).filter("level >= _own"))
+                .selectExpr(*key, "level", "gx", "gy", f"_own as _{name}_own", *[f"{c} as {name}_{c}" for c in BOX]))
+
     # Boxes share many cells; the one holding the corner of their common box
     # reports the pair, on the level of the coarser of the two.
-    once = ((F.col("level") == F.greatest("_a_own", "_b_own"))
-            & (F.col("gx") == _cell(F.col("minx"), F.col("level")))
-            & (F.col("gy") == _cell(F.col("miny"), F.col("level"))))
-    return (lhs.join(rhs, cells).withColumns(common).filter(meets & once)
-            .select(*a_key, *b_key, *box))
+    once = f"level = greatest(_a_own, _b_own) and gx = {CELL.format('minx')} and gy = {CELL.format('miny')}"
+    met = celled(a, a_key, b, "a").join(celled(b, b_key, a, "b"), ["level", "gx", "gy"])
+    return met.withColumns(common).filter(f"{meets} and {once}").select(*a_key, *b_key, *BOX)

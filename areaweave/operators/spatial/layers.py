@@ -42,21 +42,14 @@ def edges_from_rings(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column
     """Edges of polygons held as arrays of rings (see ``RINGS_TYPE``)."""
     flat = df.select(F.lit(layer).alias("layer"), bdy_id.cast("string").alias("bdy_id"),
                      bdy_name.cast("string").alias("bdy_name"), F.inline(rings.cast(RINGS_TYPE)))
-    corners = F.sequence(F.lit(1), F.size("points") - 1)
-
-    def at(i: Column) -> Column:
-        return F.element_at("points", i)
-
+    at, after = "element_at(points, i)", "element_at(points, i + 1)"
+    corners = "sequence(1, size(points) - 1)"
     # Twice the enclosed area: positive if the ring runs anticlockwise.
-    turn = F.aggregate(corners, F.lit(0.0), lambda total, i: total + (
-        (at(i).x - at(i + 1).x) * (at(i).y + at(i + 1).y)))
-    steps = F.transform(corners, lambda i: F.struct(at(i).alias("a"), at(i + 1).alias("b")))
-    return (flat.filter(F.size("points") > 1)
-            .withColumn("points", F.when((turn < 0) != F.col("is_hole"), F.reverse("points"))
-                        .otherwise(F.col("points")))
-            .withColumn("e", F.explode(steps))
-            .select(*RING, F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"),
-                    F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2")))
+    turn = f"aggregate({corners}, 0D, (t, i) -> t + ({at}.x - {after}.x) * ({at}.y + {after}.y))"
+    return (flat.filter("size(points) > 1")
+            .withColumn("points", F.expr(f"if(({turn} < 0) <> is_hole, reverse(points), points)"))
+            .withColumn("e", F.expr(f"explode(transform({corners}, i -> struct({at} as a, {after} as b)))"))
+            .selectExpr(*RING, "e.a.x as x1", "e.a.y as y1", "e.b.x as x2", "e.b.y as y2"))
 
 
 def edges_from_vertices(vertices: DataFrame) -> DataFrame:
@@ -145,13 +138,11 @@ def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column,
 
 def orient(edges: DataFrame) -> DataFrame:
     """Turn rings so that outsides run anticlockwise and holes clockwise."""
-    turn = F.sum((F.col("x1") - F.col("x2")) * (F.col("y1") + F.col("y2")))
-    rings = (edges.groupBy(*PART, "ring_id", "is_hole").agg(turn.alias("_turn"))
-             .select(*PART, "ring_id", ((F.col("_turn") < 0) != F.col("is_hole")).alias("_flip")))
-    turned = edges.join(rings, [*PART, "ring_id"])
-    swap = {a: F.when(F.col("_flip"), F.col(b)).otherwise(F.col(a))
-            for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))}
-    return turned.withColumns(swap).select(*RING, "x1", "y1", "x2", "y2")
+    turn = F.expr("sum((x1 - x2) * (y1 + y2)) as _turn")
+    rings = (edges.groupBy(*PART, "ring_id", "is_hole").agg(turn)
+             .selectExpr(*PART, "ring_id", "(_turn < 0) <> is_hole as _flip"))
+    swapped = [f"if(_flip, {a}, {b}) as {b}" for a, b in (("x2", "x1"), ("y2", "y1"), ("x1", "x2"), ("y1", "y2"))]
+    return edges.join(rings, [*PART, "ring_id"]).selectExpr(*RING, *swapped)
 
 
 def collect_parts(edges: DataFrame, part_key: str) -> DataFrame:
@@ -165,7 +156,7 @@ def collect_parts(edges: DataFrame, part_key: str) -> DataFrame:
 
 def parts(edges: DataFrame) -> DataFrame:
     """One row per polygon part: bounding box and edge statistics."""
-    return edges.groupBy(*PART, "bdy_name").agg(
-        F.min(F.least("x1", "x2")).alias("minx"), F.min(F.least("y1", "y2")).alias("miny"),
-        F.max(F.greatest("x1", "x2")).alias("maxx"), F.max(F.greatest("y1", "y2")).alias("maxy"),
-        F.count(F.lit(1)).alias("edge_count"), F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("climb"))
+    return edges.groupBy(*PART, "bdy_name").agg(*map(F.expr, (
+        "min(least(x1, x2)) as minx", "min(least(y1, y2)) as miny",
+        "max(greatest(x1, x2)) as maxx", "max(greatest(y1, y2)) as maxy",
+        "count(1) as edge_count", "sum(abs(y2 - y1)) as climb")))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areaweave.operators.spatial.grid import BOX
 from areaweave.operators.spatial.layers import BDY, parts
 from areaweave.operators.spatial.predicates import edge_pairs, edges_touch, named, part_pairs
 
@@ -57,51 +58,44 @@ def project_albers(edges: DataFrame) -> DataFrame:
     return edges.withColumns({"x1": x1, "y1": y1, "x2": x2, "y2": y2})
 
 
-def _trapezoid() -> Column:
-    # Twice the signed area between an edge and the x axis.
-    return (F.col("x1") - F.col("x2")) * (F.col("y1") + F.col("y2"))
-
-
 def area_by_key(edges: DataFrame, by: Sequence[str] = (*BDY, "bdy_name")) -> DataFrame:
     """Area per key, holes taken out."""
-    return edges.groupBy(*by).agg((F.sum(_trapezoid()) / 2).alias("area"))
+    return edges.groupBy(*by).agg(F.expr("sum((x1 - x2) * (y1 + y2)) / 2 as area"))
 
 
 def centroids(edges: DataFrame) -> DataFrame:
     """Area centroid of each boundary: ``layer, bdy_id, bdy_name, px, py``."""
     origin = parts(edges).groupBy(*BDY).agg(F.min("minx").alias("ox"), F.min("miny").alias("oy"))
-    dx1, dy1 = F.col("x1") - F.col("ox"), F.col("y1") - F.col("oy")
-    dx2, dy2 = F.col("x2") - F.col("ox"), F.col("y2") - F.col("oy")
-    cross = dx1 * dy2 - dx2 * dy1
-    sums = edges.join(origin, BDY).groupBy(*BDY, "bdy_name", "ox", "oy").agg(
-        F.sum(cross).alias("a"), F.sum((dx1 + dx2) * cross).alias("mx"), F.sum((dy1 + dy2) * cross).alias("my"))
-    return sums.filter("a <> 0").select(
-        *BDY, "bdy_name", (F.col("ox") + F.col("mx") / (3 * F.col("a"))).alias("px"),
-        (F.col("oy") + F.col("my") / (3 * F.col("a"))).alias("py"))
+    cross = "(x1 * y2 - x2 * y1)"
+    moved = edges.join(origin, BDY).selectExpr(
+        *BDY, "bdy_name", "ox", "oy", "x1 - ox as x1", "y1 - oy as y1", "x2 - ox as x2", "y2 - oy as y2")
+    sums = moved.groupBy(*BDY, "bdy_name", "ox", "oy").agg(
+        F.expr(f"sum({cross}) as a"), F.expr(f"sum((x1 + x2) * {cross}) as mx"), F.expr(f"sum((y1 + y2) * {cross}) as my"))
+    return sums.filter("a <> 0").selectExpr(
+        *BDY, "bdy_name", "ox + mx / (3 * a) as px", "oy + my / (3 * a) as py")
 
 
-def _common_range() -> dict[str, Column]:
-    """The x range two edges share, from the left of their parts' common box."""
-    return {"_u": F.greatest(F.least("ax1", "ax2"), F.least("bx1", "bx2")) - F.col("minx"),
-            "_v": F.least(F.greatest("ax1", "ax2"), F.greatest("bx1", "bx2")) - F.col("minx")}
+# The x range two edges share, from the left of their parts' common box.
+RANGE = {"_u": "greatest(least(ax1, ax2), least(bx1, bx2)) - minx",
+         "_v": "least(greatest(ax1, ax2), greatest(bx1, bx2)) - minx"}
 
+# Heights of both edges at either end of that range, from the lower part's foot:
+# small numbers keep the signed sums exact.  A vertical edge shares no stretch of
+# x with any other; its slope is NULL.
+_HEIGHT = "{e}y1 - floor + ({x} + minx - {e}x1) * try_divide({e}y2 - {e}y1, {e}x2 - {e}x1)"
+HEIGHTS = {name: _HEIGHT.format(e=name[2], x="_u" if name[1] == "y" else "_v") for name in ("_ya", "_yb", "_za", "_zb")}
 
-def _heights() -> dict[str, Column]:
-    """Heights of both edges at either end of their range, from the lower part's
-    foot: small numbers keep the signed sums exact."""
-    def at(side: str, x: str) -> Column:
-        x1, y1, x2, y2 = (F.col(f"{side}{c}") for c in ("x1", "y1", "x2", "y2"))
-        # A vertical edge shares no stretch of x with any other; its slope is NULL.
-        return y1 - F.col("floor") + (F.col(x) + F.col("minx") - x1) * F.try_divide(y2 - y1, x2 - x1)
+# Where along the range the edges cross, 1 if they do not; the lower edge's
+# heights at both ends; then the place and height of the crossing.
+CROSSING = {"_turn": "if((_ya - _yb) * (_za - _zb) < 0, try_divide(_ya - _yb, (_ya - _yb) - (_za - _zb)), 1D)",
+            "_f": "least(_ya, _yb)", "_g": "least(_za, _zb)"}
+MIDDLE = {"_mid": "_u + _turn * (_v - _u)", "_h": "if(_turn < 1, _ya + _turn * (_za - _ya), _g)"}
 
-    return {"_ya": at("a", "_u"), "_yb": at("b", "_u"), "_za": at("a", "_v"), "_zb": at("b", "_v")}
 
-
-def _piece(u: Column, v: Column, f: Column, g: Column) -> tuple[Column, Column, Column]:
+def _pieces(u: str, v: str, f: str, g: str) -> tuple[str, str, str]:
     """Area and moments about x and y of a trapezoid from u to v, f high to g high."""
-    width = v - u
-    return (width * (f + g) / 2, width * (u * (2 * f + g) + v * (f + 2 * g)) / 6,
-            width * (f * f + f * g + g * g) / 6)
+    return (f"({v} - {u}) * ({f} + {g}) / 2", f"({v} - {u}) * ({u} * (2 * {f} + {g}) + {v} * ({f} + 2 * {g})) / 6",
+            f"({v} - {u}) * ({f} * {f} + {f} * {g} + {g} * {g}) / 6")
 
 
 def _measure(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, touching: bool = False) -> DataFrame:
@@ -116,39 +110,25 @@ def _measure(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, touc
     a, b = named(edges_a, "a"), named(edges_b, "b")
     if not touching:
         a, b = a.filter("x1 <> x2"), b.filter("x1 <> x2")
-    met = edge_pairs(part_pairs(edges_a, edges_b, same_id), a, b).withColumns(_common_range())
-    if not touching:
-        met = met.filter("_u < _v")
-    met = met.withColumns(_heights())
-    start, end = F.col("_ya") - F.col("_yb"), F.col("_za") - F.col("_zb")
-    # Where along the range the two edges cross; 1 if they do not.
-    turn = F.when(start * end < 0, F.try_divide(start, start - end)).otherwise(F.lit(1.0))
-    met = met.withColumns({"_turn": turn, "_f": F.least("_ya", "_yb"), "_g": F.least("_za", "_zb")})
-    crossing = F.col("_ya") + F.col("_turn") * (F.col("_za") - F.col("_ya"))
-    met = met.withColumns({"_mid": F.col("_u") + F.col("_turn") * (F.col("_v") - F.col("_u")),
-                           "_h": F.when(F.col("_turn") < 1, crossing).otherwise(F.col("_g"))})
-    left = _piece(F.col("_u"), F.col("_mid"), F.col("_f"), F.col("_h"))
-    right = _piece(F.col("_mid"), F.col("_v"), F.col("_h"), F.col("_g"))
-    sign = F.signum(F.col("ax1") - F.col("ax2")) * F.signum(F.col("bx1") - F.col("bx2"))
-    shared = F.col("_u") < F.col("_v")
-    box = ["minx", "miny", "maxx", "maxy"]
+    met = edge_pairs(part_pairs(edges_a, edges_b, same_id), a, b)
+    for step in (RANGE, HEIGHTS, CROSSING, MIDDLE):
+        met = met.withColumns({name: F.expr(value) for name, value in step.items()})
+        if step is RANGE and not touching:
+            met = met.filter("_u < _v")
+    sign = "signum(ax1 - ax2) * signum(bx1 - bx2)"
+    terms = zip(("s", "mx", "my"), _pieces("_u", "_mid", "_f", "_h"), _pieces("_mid", "_v", "_h", "_g"))
     touch = edges_touch() if touching else F.lit(False)
-    summed = met.groupBy("a_id", "a_part", "b_id", "b_part", *box, "floor").agg(
-        *[F.coalesce(F.sum(F.when(shared, sign * (p + q))), F.lit(0.0)).alias(name)
-          for name, p, q in zip(("s", "mx", "my"), left, right)],
+    summed = met.groupBy("a_id", "a_part", "b_id", "b_part", *BOX, "floor").agg(
+        *[F.expr(f"coalesce(sum(if(_u < _v, {sign} * ({p} + {q}), null)), 0D) as {name}") for name, p, q in terms],
         F.max(touch.cast("int")).alias("touch"))
     # Back to layer coordinates, over all parts of the two boundaries.
-    size = F.sum((F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny")))
-    placed = summed.groupBy("a_id", "b_id").agg(
-        F.sum("s").alias("area"), size.alias("_size"), F.max("touch").alias("touch"),
-        F.sum(F.col("mx") + F.col("minx") * F.col("s")).alias("mx"),
-        F.sum(F.col("my") + F.col("floor") * F.col("s")).alias("my"),
-        *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in box])
-    real = F.col("area") > NOISE * F.col("_size")
-    area = F.when(real, F.col("area"))
-    return (placed.filter(real | (F.col("touch") == 1))
-            .select("a_id", "b_id", F.coalesce(area, F.lit(0.0)).alias("area"),
-                    F.try_divide("mx", area).alias("cx"), F.try_divide("my", area).alias("cy"), *box))
+    placed = summed.groupBy("a_id", "b_id").agg(*map(F.expr, (
+        "sum(s) as area", "sum((maxx - minx) * (maxy - miny)) as size", "max(touch) as touch",
+        "sum(mx + minx * s) as mx", "sum(my + floor * s) as my",
+        "min(minx) as minx", "min(miny) as miny", "max(maxx) as maxx", "max(maxy) as maxy")))
+    return (placed.withColumn("area", F.expr(f"if(area > {NOISE!r}D * size, area, 0D)"))
+            .filter("area > 0 or touch = 1")
+            .selectExpr("a_id", "b_id", "area", "try_divide(mx, area) as cx", "try_divide(my, area) as cy", *BOX))
 
 
 def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:

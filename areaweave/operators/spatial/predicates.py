@@ -13,18 +13,16 @@ from areaweave.operators.spatial.layers import BDY, PART, parts
 EDGES_PER_STRIP = 16
 
 
-def _strips(count: Column, length: Column, travel: Column) -> Column:
-    """Strips to cut a part into: in proportion to its edges, but no more than
-    keeps the copies of edges crossing several strips to one per edge."""
-    wanted = F.ceil(count / EDGES_PER_STRIP)
-    bound = F.floor(F.try_divide(count * length, travel))
-    return F.greatest(F.lit(1), F.least(wanted, F.coalesce(bound, F.lit(1)))).cast("bigint")
+# Strips to cut a part into: in proportion to its edges, but no more than keeps
+# the copies of edges crossing several strips to one per edge.
+STRIPS = (f"cast(greatest(1, least(ceil(edge_count / {EDGES_PER_STRIP}), "
+          "coalesce(floor(try_divide(edge_count * (maxy - miny), climb)), 1))) as bigint)")
 
 
-def _strip_of(value: Column, start: Column, per_unit: Column, strips: Column) -> Column:
+def _strip(value: str, start: str) -> str:
     """Strip a coordinate falls in.  Never decreases with the coordinate, so an
     edge's strips cover every point between its ends."""
-    return F.greatest(F.lit(0), F.least(F.floor((value - start) * per_unit), strips - 1)).cast("bigint")
+    return f"cast(greatest(0, least(floor(({value} - {start}) * per_unit), strips - 1)) as bigint)"
 
 
 def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
@@ -37,37 +35,26 @@ def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
     aggregate counts crossings to the right.  Parts are judged one by one, so
     overlapping parts of one boundary do not cancel out.
     """
-    height = F.col("maxy") - F.col("miny")
-    boxes = (parts(edges).withColumn("strips", _strips(F.col("edge_count"), height, F.col("climb")))
-             .withColumn("per_unit", F.coalesce(F.try_divide(F.col("strips").cast("double"), height), F.lit(0.0))))
-    pts = points.select(F.col(point_id).alias("point_id"), F.col(x).cast("double").alias("px"),
-                        F.col(y).cast("double").alias("py"))
-
-    def strip(value: Column) -> Column:
-        return _strip_of(value, F.col("miny"), F.col("per_unit"), F.col("strips"))
-
-    candidates = (points_in_boxes(pts, boxes, "px", "py")
-                  .withColumn("strip", strip(F.col("py")))
-                  .select("point_id", "px", "py", *PART, "bdy_name", "strip"))
+    boxes = parts(edges).withColumn("strips", F.expr(STRIPS)).withColumn(
+        "per_unit", F.expr("coalesce(try_divide(double(strips), maxy - miny), 0D)"))
+    pts = points.selectExpr(f"{point_id} as point_id", f"double({x}) as px", f"double({y}) as py")
+    candidates = points_in_boxes(pts, boxes, "px", "py").selectExpr(
+        "point_id", "px", "py", *PART, "bdy_name", f"{_strip('py', 'miny')} as strip")
+    strips = f"sequence({_strip('least(y1, y2)', 'miny')}, {_strip('greatest(y1, y2)', 'miny')})"
     stripped = (edges.select(*PART, "x1", "y1", "x2", "y2")
                 .join(boxes.select(*PART, "miny", "per_unit", "strips"), PART)
-                .withColumn("strip", F.explode(F.sequence(strip(F.least("y1", "y2")),
-                                                          strip(F.greatest("y1", "y2")))))
+                .withColumn("strip", F.expr(f"explode({strips})"))
                 .select(*PART, "strip", "x1", "y1", "x2", "y2"))
-    py, px = F.col("py"), F.col("px")
-    near = (py.between(F.least("y1", "y2"), F.greatest("y1", "y2"))
-            & (px <= F.greatest("x1", "x2")))
-    side = ((F.col("x2") - F.col("x1")) * (py - F.col("y1"))
-            - (px - F.col("x1")) * (F.col("y2") - F.col("y1")))
-    on_edge = (side == 0) & (px >= F.least("x1", "x2"))
+    near = "py between least(y1, y2) and greatest(y1, y2) and px <= greatest(x1, x2)"
+    side = "((x2 - x1) * (py - y1) - (px - x1) * (y2 - y1))"
+    on_edge = f"{side} = 0 and px >= least(x1, x2)"
     # Half-open in y, so that a vertex counts for one of its two edges.
-    crosses = (((F.col("y1") > py) != (F.col("y2") > py))
-               & ((side > 0) == (F.col("y2") > F.col("y1"))))
+    crosses = f"(y1 > py) <> (y2 > py) and ({side} > 0) = (y2 > y1)"
     judged = (candidates.join(stripped, [*PART, "strip"]).filter(near)
               .groupBy("point_id", *PART, "bdy_name")
-              .agg(F.bit_xor(crosses.cast("int")).alias("odd"), F.max(on_edge.cast("int")).alias("edge")))
+              .agg(F.expr(f"bit_xor(int({crosses})) as odd"), F.expr(f"max(int({on_edge})) as edge")))
     return (judged.filter("odd = 1 or edge = 1")
-            .select(F.col("point_id").alias(point_id), *BDY, "bdy_name").distinct())
+            .selectExpr(f"point_id as {point_id}", *BDY, "bdy_name").distinct())
 
 
 def point_on_surface(edges: DataFrame) -> DataFrame:
@@ -77,22 +64,20 @@ def point_on_surface(edges: DataFrame) -> DataFrame:
     next above and below the middle of its box, so it runs through no vertex.
     The point is the middle of the widest stretch inside, over all parts.
     """
-    middle = parts(edges).select(*PART, "bdy_name", ((F.col("miny") + F.col("maxy")) / 2).alias("_mid"))
-    below = F.max(F.when(F.col("y1") <= F.col("_mid"), F.col("y1")))
-    above = F.min(F.when(F.col("y1") > F.col("_mid"), F.col("y1")))
+    middle = parts(edges).selectExpr(*PART, "bdy_name", "(miny + maxy) / 2 as mid")
     shape = edges.select(*PART, "x1", "y1", "x2", "y2")
-    lines = (shape.join(middle, PART).groupBy(*PART, "bdy_name").agg(((below + above) / 2).alias("py"))
+    between = "(max(if(y1 <= mid, y1, null)) + min(if(y1 > mid, y1, null))) / 2 as py"
+    lines = (shape.join(middle, PART).groupBy(*PART, "bdy_name").agg(F.expr(between))
              .filter("py is not null"))
-    cut = shape.join(lines, PART).filter((F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py")))
-    at = F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    # Crossings of one line with one part, in order: odd ones enter, even ones leave.
+    cut = shape.join(lines, PART).filter("(y1 > py) <> (y2 > py)")
+    # Crossings of one line with one part, in order: odd ones enter, even ones
+    # leave.  A part has at most as many as fit its one geometry value.
     along = Window.partitionBy(*PART).orderBy("at")
-    spans = (cut.select(*PART, "bdy_name", "py", at.alias("at"))
+    spans = (cut.selectExpr(*PART, "bdy_name", "py", "x1 + (py - y1) * (x2 - x1) / (y2 - y1) as at")
              .withColumns({"n": F.row_number().over(along), "to": F.lead("at").over(along)})
              .filter("n % 2 = 1 and to is not null"))
-    best = F.max(F.struct((F.col("to") - F.col("at")).alias("width"),
-                          ((F.col("at") + F.col("to")) / 2).alias("px"), F.col("py").alias("py")))
-    return (spans.groupBy(*BDY, "bdy_name").agg(best.alias("best"))
+    best = F.expr("max(struct(to - at as width, (at + to) / 2 as px, py)) as best")
+    return (spans.groupBy(*BDY, "bdy_name").agg(best)
             .select(*BDY, "bdy_name", "best.px", "best.py"))
 
 
@@ -106,23 +91,18 @@ def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> Data
     keys = ["a_id", "a_part", "b_id", "b_part"]
 
     def placed(edges: DataFrame, side: str) -> DataFrame:
-        lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
-        used = (edges.join(pairs, [f"{side}_id", f"{side}_part"])
-                .filter((hi >= F.col("minx")) & (lo <= F.col("maxx"))))
-        per_unit = F.coalesce(F.try_divide(F.col("strips").cast("double"), F.col("maxx") - F.col("minx")), F.lit(0.0))
-
-        def strip(v: Column) -> Column:
-            return _strip_of(v, F.col("minx"), per_unit, F.col("strips"))
-
-        return (used.withColumn(f"{side}_first", strip(lo)).withColumn("_last", strip(hi))
-                .withColumn("strip", F.explode(F.sequence(F.col(f"{side}_first"), F.col("_last"))))
-                .select(*keys, "strip", f"{side}_first", *(["minx", "miny", "maxx", "maxy", "floor"] if side == "a" else []),
-                        *[F.col(c).alias(f"{side}{c}") for c in ("x1", "y1", "x2", "y2")]))
-
-    met = placed(edges_a, "a").join(placed(edges_b, "b"), [*keys, "strip"])
-    shared = ((F.least("ax1", "ax2") <= F.greatest("bx1", "bx2"))
-              & (F.least("bx1", "bx2") <= F.greatest("ax1", "ax2")))
-    return (met.filter((F.col("strip") == F.greatest("a_first", "b_first")) & shared)
+        box = ["minx", "miny", "maxx", "maxy", "floor"] if side == "a" else []
+        return (edges.join(pairs, [f"{side}_id", f"{side}_part"])
+                .filter("greatest(x1, x2) >= minx and least(x1, x2) <= maxx")
+                .withColumn("per_unit", F.expr("coalesce(try_divide(double(strips), maxx - minx), 0D)"))
+                .withColumn(f"{side}_first", F.expr(_strip("least(x1, x2)", "minx")))
+                .withColumn("strip", F.expr(f"explode(sequence({side}_first, {_strip('greatest(x1, x2)', 'minx')}))"))
+                .selectExpr(*keys, "strip", f"{side}_first", *box,
+                            *[f"{c} as {side}{c}" for c in ("x1", "y1", "x2", "y2")]))
+
+    shared = "least(ax1, ax2) <= greatest(bx1, bx2) and least(bx1, bx2) <= greatest(ax1, ax2)"
+    return (placed(edges_a, "a").join(placed(edges_b, "b"), [*keys, "strip"])
+            .filter(f"strip = greatest(a_first, b_first) and {shared}")
             .drop("strip", "a_first", "b_first"))
 
 
@@ -142,24 +122,22 @@ def part_pairs(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) ->
     a_key, b_key = ["a_id", "a_part", "a_edges", "a_low"], ["b_id", "b_part", "b_edges", "b_low"]
     pairs = boxes_in_boxes(boxes(edges_a, "a"), boxes(edges_b, "b"), a_key, b_key,
                            on=("a_id", "b_id") if same_id else None)
-    strips = F.ceil(F.greatest("a_edges", "b_edges") / EDGES_PER_STRIP)
-    return (pairs.withColumns({"strips": F.greatest(F.lit(1), strips).cast("bigint"),
-                               "floor": F.least("a_low", "b_low")})
-            .drop("a_edges", "b_edges", "a_low", "b_low"))
+    strips = f"cast(greatest(1, ceil(greatest(a_edges, b_edges) / {EDGES_PER_STRIP})) as bigint) as strips"
+    return pairs.selectExpr("a_id", "a_part", "b_id", "b_part", "minx", "miny", "maxx", "maxy", strips,
+                            "least(a_low, b_low) as floor")
 
 
-def _turn(ox: Column, oy: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    return F.signum((ax - ox) * (by - oy) - (ay - oy) * (bx - ox))
+def _side(line: str, point: str) -> str:
+    """Which side of edge ``line`` an end of the other edge is on: -1, 0 or 1."""
+    x, y = f"{point[0]}x{point[1]}", f"{point[0]}y{point[1]}"
+    return (f"signum(({line}x2 - {line}x1) * ({y} - {line}y1) - ({line}y2 - {line}y1) * ({x} - {line}x1))")
 
 
 def edges_touch() -> Column:
     """Whether the two edges of a row of ``edge_pairs`` share a point: their boxes
     meet, and neither lies strictly to one side of the other."""
-    c = F.col
-    close = ((F.least("ax1", "ax2") <= F.greatest("bx1", "bx2")) & (F.least("bx1", "bx2") <= F.greatest("ax1", "ax2"))
-             & (F.least("ay1", "ay2") <= F.greatest("by1", "by2")) & (F.least("by1", "by2") <= F.greatest("ay1", "ay2")))
-    a_line = c("ax1"), c("ay1"), c("ax2"), c("ay2")
-    b_line = c("bx1"), c("by1"), c("bx2"), c("by2")
-    a_ends = _turn(*a_line, c("bx1"), c("by1")) * _turn(*a_line, c("bx2"), c("by2"))
-    b_ends = _turn(*b_line, c("ax1"), c("ay1")) * _turn(*b_line, c("ax2"), c("ay2"))
-    return close & (a_ends <= 0) & (b_ends <= 0)
+    close = " and ".join(f"least({p}{c}1, {p}{c}2) <= greatest({q}{c}1, {q}{c}2)"
+                         for c in "xy" for p, q in ("ab", "ba"))
+    a_ends = f"{_side('a', 'b1')} * {_side('a', 'b2')} <= 0"
+    b_ends = f"{_side('b', 'a1')} * {_side('b', 'a2')} <= 0"
+    return F.expr(f"{close} and {a_ends} and {b_ends}")

@@ -16,7 +16,7 @@ def spark():
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.warehouse.dir", warehouse)
-               .config("spark.driver.memory", "8g")
+               .config("spark.driver.memory", "8g").config("spark.sql.maxMetadataStringLength", "10000")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
