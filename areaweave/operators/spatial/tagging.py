@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,13 +116,8 @@ def legacy_pair_spatial(atom_points: DataFrame, units: DataFrame, targets: DataF
     shared = overlap(source_layer, target_layer).select(
         F.col("a_id").alias("source_id"), F.col("b_id").alias("target_id"),
         F.col("area").alias("overlap_area"), F.col("cx").alias("overlap_x"), F.col("cy").alias("overlap_y"))
-    known = lambda layer, key: layer.select(F.col("bdy_id").alias(key)).distinct()
-    return (rows.join(known(source_layer, "source_id"), "source_id", "left_semi")
-            .join(known(target_layer, "target_id"), "target_id", "left_semi")
+    # Both shapes must exist, even where they do not overlap.
+    return (rows.join(source_layer.select(F.col("bdy_id").alias("source_id")), "source_id", "left_semi")
+            .join(target_layer.select(F.col("bdy_id").alias("target_id")), "target_id", "left_semi")
             .join(shared, ["source_id", "target_id"], "left")
             .withColumn("overlap_area", F.coalesce("overlap_area", F.lit(0.0))))
-
-
-def tags_as_columns(tags: DataFrame, renames: Mapping[str, str]) -> DataFrame:
-    """Rename tag columns to the names a source's registry entry expects."""
-    return tags.withColumnsRenamed(dict(renames))
