@@ -416,6 +416,9 @@ ORACLES: dict[str, str] = {
     "area_by_key": """
         SELECT CAST(s_nationkey AS VARCHAR) AS nation_id, round(CAST(sum(100 - 25) AS DOUBLE), 6) AS area
         FROM supplier GROUP BY 1""",
+    "area_from_vertices": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS bdy_id, 100.0::DOUBLE AS area FROM supplier""",
+    "strip_code_prefix": "SELECT c_custkey, substr(c_name, 10) AS code FROM customer",
     "albers_area": _with("""
         SELECT CAST(p.id AS VARCHAR) AS bdy_id,
                round(sum(p.turn * (p.east * q.north - q.east * p.north)) / 2 / 1e6, 3) AS area_sqkm

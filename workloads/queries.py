@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import areaweave as aw
 from areaweave import Boundary, Override
-from areaweave.functions import release_version
+from areaweave.functions import release_version, strip_prefix
 from workloads import views as v
 
 NATION_SEGMENT = v.PAIRS[0]
@@ -286,6 +286,14 @@ def area_by_key(spark, sf):
             .select(F.col("bdy_name").alias("nation_id"), F.round("area", 6).alias("area")))
 
 
+def area_from_vertices(spark, sf):
+    return aw.area_by_key(aw.edges_from_vertices(v.supplier_vertices(spark, sf)), ["bdy_id"])
+
+
+def strip_code_prefix(spark, sf):
+    return v.read(spark, sf, "customer").select("c_custkey", strip_prefix(F.col("c_name"), 9).alias("code"))
+
+
 def _as_degrees(edges):
     for x, y in (("x1", "y1"), ("x2", "y2")):
         edges = edges.withColumns({x: 112 + F.col(x) * 0.4, y: -44 + F.col(y) * 0.34})
@@ -352,8 +360,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         residential_flags, reconcile, category_disagreement, unit_profile, unit_profile_topk, release_versions,
         duplicate_keys, duplicate_names, null_violations, dropped_units, row_parity, percent_totals,
         pip_join, pip_join_parts_and_holes, tag_units, tag_units_tie_break, tag_units_from_shapes, zonal_sum, point_on_surface_inside,
-        two_way_match, name_mismatches, area_by_key, albers_area, centroids, overlap_report, percent_overlap,
+        two_way_match, name_mismatches, area_by_key, area_from_vertices, albers_area, centroids, overlap_report, percent_overlap,
         atoms_touching, geometry_diff, unmatched_shapes, overlap_legacy_pair, project_population,
+        strip_code_prefix,
     )
 }
 QUERIES["release_version"] = QUERIES.pop("release_versions")

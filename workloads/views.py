@@ -173,6 +173,17 @@ def supplier_squares(spark: SparkSession, sf: str, odd_as_ells: bool = False) ->
     return edges_from_rings(read(spark, sf, "supplier"), "store", F.col("s_suppkey"), F.col("s_name"), rings)
 
 
+def supplier_vertices(spark: SparkSession, sf: str) -> DataFrame:
+    """Supplier squares as numbered corners, running clockwise."""
+    x, y = _supplier_corner()
+    turn = F.array(*[F.struct((x + dx).cast("double").alias("x"), (y + dy).cast("double").alias("y"))
+                     for dx, dy in ((0, 0), (0, 10), (10, 10), (10, 0), (0, 0))])
+    return (read(spark, sf, "supplier").select(
+        F.lit("store").alias("layer"), F.col("s_suppkey").cast("string").alias("bdy_id"), F.col("s_name").alias("bdy_name"),
+        F.lit(0).alias("part_id"), F.lit(0).alias("ring_id"), F.lit(False).alias("is_hole"),
+        F.posexplode(turn).alias("seq", "corner")).select("*", "corner.x", "corner.y").drop("corner"))
+
+
 def atom_squares(spark: SparkSession, sf: str) -> DataFrame:
     """The unit square around each customer's point."""
     points = atom_points(spark, sf)
