@@ -19,8 +19,8 @@ FROM t GROUP BY conv_id
 
 ORACLES["op4_quality_rules"] = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
-w AS (SELECT k, doc_id, text, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), x -> x <> '') AS words,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM d),
+w AS (SELECT k, doc_id, text, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM d),
 g AS (SELECT k, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) >= 3),
 h AS (SELECT k, i, count(*) OVER (PARTITION BY k, words[i], words[i + 1], words[i + 2]) AS n FROM g),
 r AS (SELECT k, count(DISTINCT p) AS n_repeat_words
@@ -29,9 +29,9 @@ m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) A
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
              len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words,
-             len(list_filter(words, x -> x IN (STOPS))) AS n_stop,
-             len(list_filter(lines, x -> regexp_matches(x, '^[ \t\n\x0B\f\r]*[-*•‣]'))) AS n_bullets,
-             len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)[ \t\n\x0B\f\r]*$'))) AS n_dots
+             len(list_filter(words, lambda x: x IN (STOPS))) AS n_stop,
+             len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t\n\x0B\f\r]*[-*•‣]'))) AS n_bullets,
+             len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\n\x0B\f\r]*$'))) AS n_dots
       FROM w LEFT JOIN r USING (k))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
@@ -48,8 +48,8 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTIT
                   regexp_replace(regexp_replace(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '#.*$', '') AS rest
            FROM pages)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-  list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-    CAST((CAST('0x' || substr(digest, CAST(i // 4 AS INT) * 5 + 1, 5) AS INT) // (32 ** (3 - i % 4))) AS INT) % 32 + 1, 1)),
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(digest, CAST(i // 4 AS INT) * 5 + 1, 5) AS INT) >> CAST(5 * (3 - i % 4) AS INT)) & 31 AS INT) + 1, 1)),
     'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
@@ -59,6 +59,26 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM p
 """
 
+ORACLES["op5_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+             lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+        lambda x: x <> '') AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, array_to_string(w[s:s + 12], ' ') AS win, len(w[s:s + 12]) AS n
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+x AS (SELECT k, n, s, array_to_string(w[s:s + n - 1], ' ') AS win
+      FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM i))),
+h AS (SELECT k, s, n, item_id FROM x JOIN i USING (n, win)),
+p AS (SELECT k, count(DISTINCT pos) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS pos FROM h) GROUP BY k),
+m AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY k)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p USING (k) LEFT JOIN m USING (k)
+"""
+
 
 def _stops() -> str:
     from areaweave.llm.quality_rules import STOP_FORMS

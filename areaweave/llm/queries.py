@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm import chat_format, packing, quality_rules, simhash, warc
+from areaweave.llm import chat_format, decontamination, html_extract, packing, quality_rules, secret_scan, simhash, warc
 
 #: A public vocabulary file; the environment may name another place.
 TOKENIZER = os.environ.get("AREAWEAVE_TOKENIZER", "")
@@ -31,6 +31,11 @@ def hex16(number) -> DataFrame:
     return F.lpad(F.lower(F.hex(number)), 16, "0")
 
 
+def op1_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    found = html_extract.extract_pages(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op2_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(
@@ -54,6 +59,13 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
                          base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
 
 
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), size=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontamination.is_contaminated().alias("contaminated"))
+
+
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), radius=4, shingle=4)
     return found.select("doc_id", hex16("fingerprint").alias("fingerprint"), "component_id")
@@ -63,6 +75,20 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer_path(), capacity=4096, end_id=1)
 
 
+def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found, _ = secret_scan.scan(docs)
+    span = F.when(F.col("secret"), F.concat_ws("-", "start", "end"))
+    by_doc = found.groupBy("doc_id").agg(
+        F.count("*").alias("n_candidates"), F.count(span).alias("n_secrets"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("secret"), F.struct("start", "end")))),
+                                 lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("secrets"))
+    zero = F.lit(0).cast("bigint")
+    return docs.select("doc_id").join(by_doc, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_candidates", zero).alias("n_candidates"),
+        F.coalesce("n_secrets", zero).alias("n_secrets"), F.coalesce("secrets", F.lit("")).alias("secrets"))
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = warc.write_archives(table(spark, sf, "pages"), least_bytes=0)
     merged = warc.merge_index(warc.read_archives(spark, folder))
@@ -70,4 +96,6 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
                          "url_key", "captured")
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op4_quality_rules, op6_simhash, op7_packing, op9_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_html_extract, op2_chat_format, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
+    op8_secret_scan, op9_warc)}
