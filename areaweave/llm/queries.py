@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm import chat_format, decontamination, html_extract, packing, quality_rules, secret_scan, simhash, warc
+from areaweave.llm import chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, warc
 
 #: A public vocabulary file; the environment may name another place.
 TOKENIZER = os.environ.get("AREAWEAVE_TOKENIZER", "")
@@ -96,6 +96,10 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
                          "url_key", "captured")
 
 
+def op10_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_chat_format, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
-    op8_secret_scan, op9_warc)}
+    op8_secret_scan, op9_warc, op10_language_model)}
