@@ -14,6 +14,7 @@ one.  Rows that repeat an id and payload have the same type.  Files go to the se
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -96,7 +97,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
      .sortWithinPartitions("large", "slot", url_key(F.col("url")), captured, "page_id")
      .select("large", "slot", record.alias("value"))
      .write.partitionBy("large", "slot").option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE)
-     .text(folder))
+     .option("compression", "gzip").text(folder))
     return folder
 
 
@@ -106,7 +107,7 @@ def _headers(block: bytes) -> dict[str, str]:
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[int, int, dict[str, str], dict[str, str], bytes]]:
-    """Offset, length, record headers, HTTP headers and payload of every record of an uncompressed archive."""
+    """Offset, length, record headers, HTTP headers and payload of every record of an archive's plain bytes."""
     at = 0
     while at < len(data):
         split = data.index(b"\r\n\r\n", at)
@@ -128,7 +129,7 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
             rows = []
-            for offset, length, head, http, payload in parse_archive(content.as_py()):
+            for offset, length, head, http, payload in parse_archive(gzip.decompress(content.as_py())):
                 kind, digest = head["warc-type"], head["warc-payload-digest"].removeprefix("sha1:")
                 if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                     raise ValueError(f"payload and digest differ in {path} at byte {offset}")
@@ -148,7 +149,7 @@ _TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.stri
 
 def read_archives(spark, folder: str) -> DataFrame:
     """The captures of all archives under ``folder``, payloads checked against their digests."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz")
              .load(folder).select("path", "content"))
     rows = files.mapInArrow(_read, "url string, captured string, page_id long, payload_bytes long, "
                             "payload_digest string, record_type string, refers_to long, archive string, "
