@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm import chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, warc
+from areaweave.llm import chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, suffix_dedup, warc
 
 #: A public vocabulary file; the environment may name another place.
 TOKENIZER = os.environ.get("AREAWEAVE_TOKENIZER", "")
@@ -52,6 +52,11 @@ def op2_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.quality_rules(table(spark, sf, "documents"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -101,5 +106,5 @@ def op10_language_model(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extract, op2_chat_format, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
+    op1_html_extract, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
     op8_secret_scan, op9_warc, op10_language_model)}
