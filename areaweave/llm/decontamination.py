@@ -102,7 +102,7 @@ def is_contaminated(share: int = 20) -> Column:
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_column: str = "doc_id",
                   text_column: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit and items (sorted as strings) of every row of ``docs``."""
+    """doc_id, n_words, n_hit, items (sorted as strings) and the text's digest of every row of ``docs``."""
     rows = pick(docs, doc_id=id_column, text=text_column)
     worded = rows.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc"), "text",
                          tokens(F.col("text")).alias("words"))
@@ -120,4 +120,14 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_colu
     figures = n_hit.join(named, "doc")
     return worded.select("doc", F.size("words").cast("bigint").alias("n_words")).join(figures, "doc", "left").select(
         "doc.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.col("doc.h").alias("digest"))
+
+
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_column: str = "doc_id",
+          text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    bad = contamination(docs, items, size, id_column, text_column).where(is_contaminated())
+    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct()
+    same = docs[f"`{id_column}`"].eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs[f"`{text_column}`"]) == F.col("bad_digest"))
+    return docs.join(bad, same, "left_anti")

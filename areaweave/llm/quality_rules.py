@@ -55,16 +55,18 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def measure_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Lengths, symbols, stop words, repeated words and line counts of every row."""
+def measure_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                 carry: str | None = None) -> DataFrame:
+    """Lengths, symbols, stop words, repeated words and line counts of every row; the column ``carry`` goes along."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = pick(docs, doc_id=id_column, text=text_column).select(
-        "doc_id", text.alias("text"), words_of(F.col("text")).alias("words"),
+    own = ["doc_id", *([carry] if carry else [])]
+    base = pick(docs, doc_id=id_column, text=text_column, **({carry: carry} if carry else {})).select(
+        *own, text.alias("text"), words_of(F.col("text")).alias("words"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(BLANK)).alias("lines"),
     )
     count, lines = F.size("words"), F.size("lines")
     base = base.select(
-        "doc_id", "words", "lines", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
+        *own, "words", "lines", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         (F.size(F.split("text", r"[#*$%&|<>]")) - 1).alias("n_symbols"),
     )
     base = base.withColumn("windows", F.slice(
@@ -88,7 +90,7 @@ def measure_text(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                    lambda a, b: F.coalesce(F.least(b - a, F.lit(3)), F.lit(3))),
         F.lit(0).cast("bigint"), lambda total, x: total + x)
     return base.select(
-        "doc_id", count.cast("bigint").alias("n_words"),
+        *own, count.cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.col("n_symbols").cast("bigint").alias("n_symbols"),
         lines.cast("bigint").alias("n_lines"),
@@ -125,3 +127,12 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: s
                   text_column: str = "text") -> DataFrame:
     """Measures, verdict and broken rules of every row of ``docs``."""
     return judge(measure_text(docs, id_column, text_column), rules)
+
+
+def accepted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that satisfy every rule, with all their columns."""
+    row = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("whole_row"))
+    row = row.select("whole_row", F.lit(0).alias("doc_id"), F.col(f"whole_row.`{text_column}`").alias("text"))
+    # The row number keeps the optimizer from writing all measures into the filter, once for each use.
+    judged = judge(measure_text(row, carry="whole_row"), rules).withColumn("at", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("at") >= 0)).select("whole_row.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import pick, stored
+from areaweave.llm.common import drop_stored, pick, stored
 from areaweave.llm.components import components
 
 SEED = 42
@@ -34,7 +34,7 @@ BITS = 64
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    """XXH64 of the shingles of a text: words between ASCII white space, A to Z in lower case."""
+    """XXH64 of the shingles of a text, repeats included: words between ASCII white space, A to Z in lower case."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode().lower().split()
@@ -197,3 +197,128 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_colum
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     member = rooted.join(least, "root").select(F.col("node").alias("fingerprint"), "component_id")
     return own.join(member, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+#: Least values under random orders of the shingles: so many bands of so many.
+BANDS, ROWS = 16, 5
+
+
+def _signatures(shingle: int):
+    """Fingerprint and band keys of every text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(11)
+        a = rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        b = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+        mix = rng.integers(1, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for batch in batches:
+            prints, bands = [], []
+            for text in batch.column("text"):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                prints.append(fingerprint(hashes))
+                if not len(hashes):
+                    bands.append([])
+                    continue
+                least = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
+                for at in range(0, len(hashes), 4096):
+                    some = (hashes[at:at + 4096, None] * a + b)
+                    np.minimum(least, (some ^ (some >> np.uint64(32))).min(axis=0), out=least)
+                keys = ((least ^ (least >> np.uint64(29))).reshape(BANDS, ROWS) * mix).sum(axis=1, dtype=np.uint64)
+                bands.append(keys.view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(prints, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                ["node", "fingerprint", "bands"])
+
+    return run
+
+
+def _neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbours in rows sorted by bucket."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        band, key, node = (batch.column(c).to_numpy() for c in ("band", "key", "node"))
+        if last is not None:
+            band, key, node = (np.r_[x, y] for x, y in zip(last, (band, key, node), strict=True))
+        same = np.flatnonzero((band[1:] == band[:-1]) & (key[1:] == key[:-1]))
+        last = band[-1:], key[-1:], node[-1:]
+        yield pa.RecordBatch.from_arrays([pa.array(node[same + 1]), pa.array(node[same])], ["a", "b"])
+
+
+def _similar(shingle: int, least: float):
+    """Pairs whose sets of shingles share at least so much of their union."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("ta"), batch.column("tb"),
+                       strict=True)
+            keep = []
+            for a, b, ta, tb in rows:
+                if len(known) > 256:
+                    known.clear()
+                for node, text in ((a, ta), (b, tb)):
+                    if node not in known:
+                        known[node] = np.unique(shingle_hashes(text.as_py(), shingle))
+                x, y = known[a], known[b]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - both
+                keep.append(both >= least * union)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))],
+                ["a", "b"])
+
+    return run
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius: int = 4, id_column: str = "doc_id",
+                text_column: str = "text") -> DataFrame:
+    """The row with the least id of each group of near-duplicates, with all its columns.
+
+    Two documents are near-duplicates where their sets of shingles share ``similar`` of their
+    union; groups are what such pairs connect, and equal texts are one.  Pairs come from the
+    fingerprints within ``radius``.  At a similarity of 0.8 fingerprints differ in about ten bits,
+    which would take 2,047 tables, so pairs also come from bands of least values under random
+    orders: each document meets the first of every bucket it is in and its neighbour there.  All
+    pairs are checked by their whole texts.  Texts without words are one group.
+    """
+    spark = docs.sparkSession
+    key = F.xxhash64(F.coalesce(docs[f"`{text_column}`"], F.lit("")))
+    rows = docs.withColumn("_node", key)
+    firsts = stored(rows.groupBy("_node").agg(F.min(docs[f"`{id_column}`"]).alias("first"), F.count("*").alias("n"))
+                    .withColumnRenamed("_node", "node"), "firsts")
+    texts = stored(rows.select(F.col("_node").alias("node"), F.coalesce(docs[f"`{text_column}`"], F.lit("")).alias("text"),
+                               docs[f"`{id_column}`"].alias("id"))
+                   .join(firsts, "node").where(F.col("id").eqNullSafe(F.col("first"))).select("node", "text"), "texts")
+    signed = stored(texts.mapInArrow(_signatures(shingle), "node long, fingerprint long, bands array<bigint>")
+                    .dropDuplicates(["node"]), "signatures")
+    prints = signed.groupBy("fingerprint").agg(F.min("node").alias("node"))
+    near = links(prints.select(F.col("fingerprint").alias("node")), radius)
+    by_print = prints.select("fingerprint", "node")
+    pairs = near.join(by_print.toDF("a", "x"), "a").join(by_print.toDF("b", "y"), "b").select(
+        F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = pairs.union(signed.join(prints.withColumnRenamed("node", "b"), "fingerprint").select(F.col("node").alias("a"), "b"))
+    banded = signed.select("node", F.posexplode("bands").alias("band", "key"))
+    heads = banded.groupBy("band", "key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = pairs.union(banded.join(heads, ["band", "key"]).select(F.col("node").alias("a"), "b"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.union(banded.repartitionByRange(parts, "band", "key", "node").sortWithinPartitions("band", "key", "node")
+                        .select(F.col("band").cast("int").alias("band"), "key", "node").mapInArrow(_neighbours, "a long, b long"))
+    pairs = stored(pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    once = texts.join(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "node",
+                      "left_semi")
+    told = pairs.join(once.toDF("a", "ta"), "a").join(once.toDF("b", "tb"), "b")
+    groups = components(told.mapInArrow(_similar(shingle, similar), "a long, b long"))
+    member = firsts.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The least id of a group, and of the texts that have it the least digest.
+    kept = member.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "node", "n")).alias("k")).select(
+        F.col("k.node").alias("_kept"), F.col("k.first").alias("_first"), F.col("k.n").alias("_n"))
+    kept = stored(kept, "kept")
+    out = rows.join(kept, (F.col("_node") == F.col("_kept")) & docs[f"`{id_column}`"].eqNullSafe(F.col("_first")))
+    single = out.where("_n = 1").select(*docs.columns)
+    # Of rows that repeat id and text one stays.
+    many = out.where("_n > 1").dropDuplicates(["_node"]).select(*docs.columns)
+    for frame in (firsts, texts, signed, pairs):
+        drop_stored(frame)
+    return single.union(many)
