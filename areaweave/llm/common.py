@@ -57,7 +57,12 @@ def drop_stored(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def partitions_for(spark: SparkSession, df: DataFrame, mb: float, least: int = 1) -> int:
-    """So many partitions that each has about ``mb`` MB of what the optimizer expects ``df`` to hold."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return int(min(100_000, max(least, size / (mb * 1e6))))
+def partitions_for(df: DataFrame, column: str, mb: float, least: int = 1) -> int:
+    """So many partitions that each has about ``mb`` MB of the text in ``column``, which is measured."""
+    size = df.agg(F.sum(F.octet_length(df[f"`{column}`"]))).first()[0] or 0
+    return int(max(least, size / (mb * 1e6)))
+
+
+def wide(spark: SparkSession) -> int:
+    """As many partitions as the session shuffles to, one for each core at least."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import new_folder, partitions_for, pick
+from areaweave.llm.common import new_folder, pick, wide
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n"
@@ -214,7 +214,6 @@ def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame
     Memory is that of one range of index entries; the place in its archive is part of the key, so
     a URL with any share of the captures is dealt over many ranges.
     """
-    count = partitions or max(captures.sparkSession.sparkContext.defaultParallelism, partitions_for(
-        captures.sparkSession, captures, 32))
+    count = partitions or wide(captures.sparkSession)
     ranged = captures.repartitionByRange(count, "url_key", "captured", "page_id", "archive", "offset")
     return ranged.mapInArrow(_merge, captures.schema)
