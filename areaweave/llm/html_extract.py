@@ -219,7 +219,8 @@ def extract(page: str | None) -> tuple[list[tuple[str, list[int]]], int]:
                     stack.append(("in", c, link))
     close()
     hashes = [_digest(tag + "\0" + "\0".join(blocks[b][0] for b in own)) for tag, own in zip(tags, members, strict=True)]
-    identity = _digest(max((b[0] for b in blocks), key=len, default=""))
+    own_text = [b[0] for b in blocks if not b[2]] or [b[0] for b in blocks]
+    identity = _digest(max(own_text, key=len, default=""))
     if kind == "body":
         blocks = [b for b in blocks if 2 * b[1] <= len(b[0])]
     return [(text, sorted({hashes[c] for c in around})) for text, _, around in blocks], identity
