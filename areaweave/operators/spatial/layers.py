@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EDGE_SCHEMA = ("layer string, bdy_id string, bdy_name string, part_id int, ring_id int, "
@@ -27,6 +27,8 @@ RING = [*BDY, "bdy_name", "part_id", "ring_id", "is_hole"]
 RINGS_TYPE = "array<struct<part_id:int,ring_id:int,is_hole:boolean,points:array<struct<x:double,y:double>>>>"
 
 POINTS_PER_FRAME = 100_000
+# Parts one row of a boundary may have; a boundary may have half as many rows.
+PARTS_PER_ROW = 2 ** 16
 
 
 def ring(points: list[tuple], part_id: Column | int = 0, ring_id: int = 0, is_hole: bool = False) -> Column:
@@ -110,7 +112,9 @@ def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         points_held = 0
         for row in batch.itertuples(index=False):
             parts, _ = _wkb_rings(row.wkb)
-            for part_id, rings in enumerate(parts):
+            if len(parts) > PARTS_PER_ROW:
+                raise ValueError(f"boundary {row.bdy_id!r} has a row of {len(parts)} parts")
+            for part_id, rings in enumerate(parts, int(row.nth) * PARTS_PER_ROW):
                 for ring_id, points in enumerate(rings):
                     # Outside anticlockwise, holes clockwise.
                     x, y = points[:, 0], points[:, 1]
@@ -129,11 +133,13 @@ def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column,
     """Edges of polygons held as (extended) well-known binary.
 
     Each row turns into its edges where it is read, which lets Python see a
-    geometry once; everything after works on numbers in columns.
+    geometry once; everything after works on numbers in columns.  Rows of one
+    boundary are numbered, so that each keeps its own parts.
     """
     rows = df.select(F.lit(layer).alias("layer"), bdy_id.cast("string").alias("bdy_id"),
                      bdy_name.cast("string").alias("bdy_name"), wkb.alias("wkb")).filter("wkb is not null")
-    return rows.mapInPandas(_wkb_edges, EDGE_SCHEMA)
+    nth = F.row_number().over(Window.partitionBy(*BDY).orderBy("bdy_name", "wkb")) - 1
+    return rows.withColumn("nth", nth).mapInPandas(_wkb_edges, EDGE_SCHEMA)
 
 
 def orient(edges: DataFrame) -> DataFrame:
@@ -148,15 +154,23 @@ def orient(edges: DataFrame) -> DataFrame:
 def collect_parts(edges: DataFrame, part_key: str) -> DataFrame:
     """Gather the polygons sharing a ``bdy_id`` into one multipart shape.
 
-    Nothing moves: edges already share the id, and ``part_key`` names the column
-    that keeps their parts apart.
+    ``part_key`` names the column that tells the polygons apart; a polygon that
+    has several parts itself keeps them.
     """
-    return edges.withColumn("part_id", F.col(part_key).cast("int"))
+    pairs = edges.select(*BDY, part_key, F.col("part_id").alias("_part")).distinct()
+    number = F.row_number().over(Window.partitionBy(*BDY).orderBy(part_key, "_part")) - 1
+    numbered = edges.alias("e").join(pairs.withColumn("_nth", number).alias("p"), [
+        F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*BDY, part_key)]
+        + [F.col("e.part_id").eqNullSafe(F.col("p._part"))])
+    return numbered.select(*[F.col("p._nth").cast("int").alias(c) if c == "part_id" else F.col(f"e.{c}")
+                             for c in edges.columns])
 
 
 def parts(edges: DataFrame) -> DataFrame:
-    """One row per polygon part: bounding box and edge statistics."""
+    """One row per polygon part: bounding box, edge statistics and the start of a
+    leftmost edge that is not vertical."""
     return edges.groupBy(*PART, "bdy_name").agg(*map(F.expr, (
         "min(least(x1, x2)) as minx", "min(least(y1, y2)) as miny",
         "max(greatest(x1, x2)) as maxx", "max(greatest(y1, y2)) as maxy",
-        "count(1) as edge_count", "sum(abs(y2 - y1)) as climb")))
+        "count(1) as edge_count", "sum(abs(y2 - y1)) as climb",
+        "min(if(x1 <> x2, struct(x1, y1), null)) as corner")))

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from areaweave.operators.spatial.grid import BOX
 from areaweave.operators.spatial.layers import BDY, parts
-from areaweave.operators.spatial.predicates import edge_pairs, edges_touch, named, part_pairs
+from areaweave.operators.spatial.predicates import corner_inside, edge_pairs, edges_touch, named, part_pairs
 
-# Overlaps below this share of the common bounding box are rounding noise.
-NOISE = 1e-9
+# Rounding of a sum of doubles, as a share of the sum of their sizes.
+ROUNDING = 2.0 ** -46
 
 # GRS80 ellipsoid and the national Albers grid (EPSG 3577),
 # degrees for angles.
@@ -113,27 +113,31 @@ def _measure(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, touc
     met = edge_pairs(part_pairs(edges_a, edges_b, same_id), a, b)
     for step in (RANGE, HEIGHTS, CROSSING, MIDDLE):
         met = met.withColumns({name: F.expr(value) for name, value in step.items()})
-        if step is RANGE and not touching:
-            met = met.filter("_u < _v")
     sign = "signum(ax1 - ax2) * signum(bx1 - bx2)"
-    terms = zip(("s", "mx", "my"), _pieces("_u", "_mid", "_f", "_h"), _pieces("_mid", "_v", "_h", "_g"))
+    pieces = _pieces("_u", "_mid", "_f", "_h"), _pieces("_mid", "_v", "_h", "_g")
+    terms, first = zip(("s", "mx", "my"), *pieces), [p[0] for p in pieces]
     touch = edges_touch() if touching else F.lit(False)
     summed = met.groupBy("a_id", "a_part", "b_id", "b_part", *BOX, "floor").agg(
         *[F.expr(f"coalesce(sum(if(_u < _v, {sign} * ({p} + {q}), null)), 0D) as {name}") for name, p, q in terms],
-        F.max(touch.cast("int")).alias("touch"))
+        F.expr("coalesce(sum(if(_u < _v, abs({}) + abs({}), null)), 0D) as mass".format(*first)),
+        F.max(touch.cast("int")).alias("touch"),
+        F.sum(corner_inside("a", "b")).alias("b_inside"), F.sum(corner_inside("b", "a")).alias("a_inside"))
+    # What is no more than rounding is no area, unless one part holds the other.
+    summed = summed.withColumn("holds", F.expr("int(touch = 0 and (a_inside <> 0 or b_inside <> 0))"))
+    summed = summed.withColumns({m: F.expr(f"if(holds = 1 or s > {ROUNDING!r}D * mass, {m}, 0D)") for m in ("mx", "my", "s")})
     # Back to layer coordinates, over all parts of the two boundaries.
-    placed = summed.groupBy("a_id", "b_id").agg(*map(F.expr, (
-        "sum(s) as area", "sum((maxx - minx) * (maxy - miny)) as size", "max(touch) as touch",
+    placed = summed.groupBy("a_id", "a_part.layer", "b_id", F.col("b_part.layer").alias("b_layer")).agg(*map(F.expr, (
+        "sum(s) as area", "max(greatest(touch, holds)) as meets",
         "sum(mx + minx * s) as mx", "sum(my + floor * s) as my",
         "min(minx) as minx", "min(miny) as miny", "max(maxx) as maxx", "max(maxy) as maxy")))
-    return (placed.withColumn("area", F.expr(f"if(area > {NOISE!r}D * size, area, 0D)"))
-            .filter("area > 0 or touch = 1")
-            .selectExpr("a_id", "b_id", "area", "try_divide(mx, area) as cx", "try_divide(my, area) as cy", *BOX))
+    return (placed.filter("area > 0 or meets = 1")
+            .selectExpr("layer as a_layer", "a_id", "b_layer", "b_id", "area", "try_divide(mx, area) as cx",
+                        "try_divide(my, area) as cy", *BOX))
 
 
 def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:
-    """Pairs of boundaries that overlap: ``a_id, b_id``, area, centroid and the
-    common bounding box.  ``same_id`` pairs equal ids only."""
+    """Pairs of boundaries that overlap: layer and id of both, area, centroid and
+    the common bounding box.  ``same_id`` pairs equal ids only."""
     return _measure(edges_a, edges_b, same_id)
 
 
@@ -151,16 +155,17 @@ def polygons_meet(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
 
 def percent_overlap(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
     """Overlap as a percent of the first boundary's area."""
-    size = area_by_key(edges_a, ["bdy_id"]).select(
-        F.col("bdy_id").alias("a_id"), F.col("area").alias("from_area"))
-    return overlap(edges_a, edges_b).join(size, "a_id").select(
+    size = area_by_key(edges_a, BDY).select(
+        F.col("layer").alias("a_layer"), F.col("bdy_id").alias("a_id"), F.col("area").alias("from_area"))
+    return overlap(edges_a, edges_b).join(size, ["a_layer", "a_id"]).select(
         "a_id", "b_id", (F.col("area") / F.col("from_area") * 100.0).alias("percent_area"))
 
 
-def geometry_diff(edges_a: DataFrame, edges_b: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+def geometry_diff(edges_a: DataFrame, edges_b: DataFrame, tolerance: float = 2.0 ** -40) -> DataFrame:
     """Boundaries in both layers under one id whose shapes are not equal.
 
-    Two shapes are equal when nothing is left of either outside their overlap.
+    Two shapes are equal when nothing is left of either outside their overlap but
+    the rounding of the sums, a share ``tolerance`` of the larger.
     """
     def sizes(edges: DataFrame, name: str) -> DataFrame:
         return area_by_key(edges, ["bdy_id"]).withColumnRenamed("area", name)

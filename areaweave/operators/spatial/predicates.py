@@ -28,7 +28,7 @@ def _strip(value: str, start: str) -> str:
 def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
                           x: str = "px", y: str = "py") -> DataFrame:
     """Every point with every boundary it lies in or on: ``point_id`` and the
-    boundary's layer, id and name, each pair once.  Point ids must be unique.
+    boundary's layer, id and name, each pair once, also where ids repeat.
 
     Candidates come from the grid.  Each polygon is cut into horizontal strips, a
     candidate meets only the edges of its strip in an equi-join, and an
@@ -37,7 +37,7 @@ def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
     """
     boxes = parts(edges).withColumn("strips", F.expr(STRIPS)).withColumn(
         "per_unit", F.expr("coalesce(try_divide(double(strips), maxy - miny), 0D)"))
-    pts = points.selectExpr(f"{point_id} as point_id", f"double({x}) as px", f"double({y}) as py")
+    pts = points.selectExpr(f"{point_id} as point_id", f"double({x}) as px", f"double({y}) as py").distinct()
     candidates = points_in_boxes(pts, boxes, "px", "py").selectExpr(
         "point_id", "px", "py", *PART, "bdy_name", f"{_strip('py', 'miny')} as strip")
     strips = f"sequence({_strip('least(y1, y2)', 'miny')}, {_strip('greatest(y1, y2)', 'miny')})"
@@ -51,7 +51,7 @@ def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
     # Half-open in y, so that a vertex counts for one of its two edges.
     crosses = f"(y1 > py) <> (y2 > py) and ({side} > 0) = (y2 > y1)"
     judged = (candidates.join(stripped, [*PART, "strip"]).filter(near)
-              .groupBy("point_id", *PART, "bdy_name")
+              .groupBy("point_id", "px", "py", *PART, "bdy_name")
               .agg(F.expr(f"bit_xor(int({crosses})) as odd"), F.expr(f"max(int({on_edge})) as edge")))
     return (judged.filter("odd = 1 or edge = 1")
             .selectExpr(f"point_id as {point_id}", *BDY, "bdy_name").distinct())
@@ -91,7 +91,7 @@ def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> Data
     keys = ["a_id", "a_part", "b_id", "b_part"]
 
     def placed(edges: DataFrame, side: str) -> DataFrame:
-        box = ["minx", "miny", "maxx", "maxy", "floor"] if side == "a" else []
+        box = ["minx", "miny", "maxx", "maxy", "floor", "a_corner", "b_corner"] if side == "a" else []
         return (edges.join(pairs, [f"{side}_id", f"{side}_part"])
                 .filter("greatest(x1, x2) >= minx and least(x1, x2) <= maxx")
                 .withColumn("per_unit", F.expr("coalesce(try_divide(double(strips), maxx - minx), 0D)"))
@@ -107,24 +107,28 @@ def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> Data
 
 
 def named(edges: DataFrame, side: str) -> DataFrame:
-    return edges.select(F.col("bdy_id").alias(f"{side}_id"), F.col("part_id").alias(f"{side}_part"),
-                        "x1", "y1", "x2", "y2")
+    return edges.select(F.col("bdy_id").alias(f"{side}_id"), part_of(side), "x1", "y1", "x2", "y2")
+
+
+def part_of(side: str) -> Column:
+    """A part's key beside the boundary's id; ids of different layers stay apart."""
+    return F.struct("layer", "part_id").alias(f"{side}_part")
 
 
 def part_pairs(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:
     """Parts of two layers whose boxes meet: keys, common box, the foot of the
     lower part and the number of strips to work in."""
     def boxes(edges: DataFrame, side: str) -> DataFrame:
-        return parts(edges).withColumnsRenamed(
-            {"bdy_id": f"{side}_id", "part_id": f"{side}_part", "edge_count": f"{side}_edges"}
+        return parts(edges).withColumn(f"{side}_part", part_of(side)).withColumnsRenamed(
+            {"bdy_id": f"{side}_id", "edge_count": f"{side}_edges", "corner": f"{side}_corner"}
         ).withColumn(f"{side}_low", F.col("miny"))
 
-    a_key, b_key = ["a_id", "a_part", "a_edges", "a_low"], ["b_id", "b_part", "b_edges", "b_low"]
+    a_key, b_key = ([f"{side}_{c}" for c in ("id", "part", "edges", "low", "corner")] for side in "ab")
     pairs = boxes_in_boxes(boxes(edges_a, "a"), boxes(edges_b, "b"), a_key, b_key,
                            on=("a_id", "b_id") if same_id else None)
     strips = f"cast(greatest(1, ceil(greatest(a_edges, b_edges) / {EDGES_PER_STRIP})) as bigint) as strips"
     return pairs.selectExpr("a_id", "a_part", "b_id", "b_part", "minx", "miny", "maxx", "maxy", strips,
-                            "least(a_low, b_low) as floor")
+                            "least(a_low, b_low) as floor", "a_corner", "b_corner")
 
 
 def _side(line: str, point: str) -> str:
@@ -141,3 +145,17 @@ def edges_touch() -> Column:
     a_ends = f"{_side('a', 'b1')} * {_side('a', 'b2')} <= 0"
     b_ends = f"{_side('b', 'a1')} * {_side('b', 'a2')} <= 0"
     return F.expr(f"{close} and {a_ends} and {b_ends}")
+
+
+def corner_inside(outer: str, inner: str) -> Column:
+    """Of a row of ``edge_pairs``, the turn of the outer edge above the inner part's corner.
+
+    Summed over all rows of two parts whose edges do not touch, it is 0 unless
+    the inner part lies in the outer one.  Half-open in x, so that a vertex
+    above the corner counts for one of its two edges.
+    """
+    x, y = f"{inner}_corner.x1", f"{inner}_corner.y1"
+    starts = f"{inner}x1 = {x} and {inner}y1 = {y} and {inner}x1 <> {inner}x2"
+    spans = f"({outer}x1 <= {x}) <> ({outer}x2 <= {x})"
+    height = f"{outer}y1 + ({x} - {outer}x1) * try_divide({outer}y2 - {outer}y1, {outer}x2 - {outer}x1)"
+    return F.expr(f"if({starts} and {spans} and {height} > {y}, int(signum({outer}x1 - {outer}x2)), 0)")

@@ -29,8 +29,11 @@ def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (),
     """Create a table from a query, replacing an older one.
 
     ``bucket`` is (buckets, column): tag tables bucketed by unit id join each
-    other without a shuffle.
+    other without a shuffle.  Rows are dealt out by bucket first, so that there
+    is a file for each bucket and not one for each task and bucket.
     """
+    if bucket:
+        df = df.repartition(*bucket)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
