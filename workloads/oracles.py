@@ -196,7 +196,7 @@ FLAGGED = f"""
                FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1) b ON l_orderkey = o_orderkey"""
 
 RATE_TESTS = """SELECT segment, CAST(trunc(sum(price) * 2) AS BIGINT) AS tests FROM cust
-                WHERE status <> 'F' GROUP BY 1"""
+                GROUP BY 1"""
 CARRIED = """
     SELECT to_id, to_name, CAST(sum(CAST(cases AS DOUBLE) * CAST(address_percent AS DOUBLE) / 100.0) AS BIGINT) AS cases,
            CAST(sum(cases) AS DECIMAL(38,2)) AS cases_qa_count, count(*) AS from_count
@@ -206,8 +206,8 @@ WHOLE = _pair(PAIRS[0]).replace("concat(nullif(f.segment, ''), ' ', f.region_nam
 OFFICIAL = """
     SELECT nation_id AS from_id, segment AS to_id,
            n::DOUBLE / CAST(sum(n) OVER (PARTITION BY nation_id) AS DOUBLE) AS ratio
-    FROM (SELECT nation_id, segment, count(*) AS n FROM cust
-          WHERE status = 'F' AND segment <> 'BUILDING' GROUP BY ALL) a"""
+    FROM (SELECT nation_id, segment, sum(CASE WHEN status = 'F' THEN 2 ELSE 1 END) AS n FROM cust
+          GROUP BY ALL) a"""
 COMPARE = """
     SELECT count(*) AS bdy_pair_count, CAST(sqrt(avg(power(d, 2))) AS SMALLINT) AS rmse,
            CAST(avg(d) AS SMALLINT) AS mean_delta, CAST(min(d) AS SMALLINT) AS min_delta,
@@ -289,11 +289,11 @@ ORACLES: dict[str, str] = {
     "score": _with(SCORE, "cust", "supp", "part_tag", cw=ALL),
     "error_rate": _with(ERROR, "cust", "supp", "part_tag", "indicator", cw=ALL),
     "score_with_error": _with(f"""
-        SELECT s.*, CASE WHEN s.from_source = 'cust' AND s.to_source = 'cust' AND s.from_bdy IN ('nation', 'region')
-                          AND s.to_bdy IN ('nation', 'region') THEN CAST(0.0 AS DECIMAL(5,1))
+        SELECT s.*, CASE WHEN s.from_source = 'cust' AND s.to_source = 'cust' AND s.from_bdy IN ('atom', 'nation', 'region')
+                          AND s.to_bdy IN ('atom', 'nation', 'region') THEN CAST(0.0 AS DECIMAL(5,1))
                          ELSE error_percent END AS error_percent
         FROM ({SCORE}) s LEFT JOIN ({ERROR}) e USING ({PAIR})""", "cust", "supp", "part_tag", "indicator",
-        cw=f"{ALL} UNION ALL {_nested('nation', 'region')}"),
+        cw=" UNION ALL ".join([ALL, _nested("atom", "nation"), _nested("atom", "region"), _nested("nation", "region")])),
     "weighted_percent_by_id": _with("""
         SELECT from_id, CAST(sum(CAST(address_count AS DECIMAL(18,0)) * address_percent) AS DOUBLE)
                  AS weighted_address_count, CAST(sum(address_count) AS BIGINT) AS address_count,
@@ -324,9 +324,10 @@ ORACLES: dict[str, str] = {
                CAST(sum(CASE WHEN u IS NOT NULL AND b IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS match_count,
                CAST(sum(CASE WHEN u IS NOT NULL AND b IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unit_only_count,
                CAST(sum(CASE WHEN u IS NULL AND b IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS building_only_count
-        FROM (SELECT o_orderkey AS u FROM orders WHERE o_orderstatus <> 'F') un
+        FROM (SELECT o_orderkey AS u FROM orders) un
         FULL OUTER JOIN (SELECT l_orderkey AS b, coalesce(flag, 'unknown') AS is_residential, count(*) AS building_count
-                         FROM (SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'Yes' WHEN 'R' THEN 'No' END AS flag
+                         FROM (SELECT CASE WHEN l_linenumber = 7 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey,
+                                      CASE l_returnflag WHEN 'A' THEN 'Yes' WHEN 'R' THEN 'No' END AS flag
                                FROM lineitem) x GROUP BY l_orderkey, flag) blg ON u = b
         GROUP BY 1""",
     "category_disagreement": """

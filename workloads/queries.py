@@ -95,9 +95,8 @@ def error_rate(spark, sf):
 
 
 def _inside_cust(spark, sf):
-    """All woven pairs, and nested pairs of nation and region."""
-    nested = nested_pairs(spark, sf).filter("from_bdy = 'nation'")
-    return build_all(spark, sf).unionByName(nested)
+    """All woven pairs and all nested ones."""
+    return build_all(spark, sf).unionByName(nested_pairs(spark, sf))
 
 
 def score_with_error(spark, sf):
@@ -123,7 +122,7 @@ def apportion(spark, sf):
 
 
 def rate(spark, sf):
-    tests = (v.cust_units(spark, sf).filter("status <> 'F'").groupBy("segment")
+    tests = (v.cust_units(spark, sf).groupBy("segment")
              .agg((F.sum("price") * 2).cast("bigint").alias("tests")))
     return aw.rate(apportion(spark, sf), "cases", tests, "segment", "tests", "infection_rate_percent")
 
@@ -139,9 +138,9 @@ def lookup(spark, sf):
 
 def compare_official(spark, sf):
     units = v.cust_units(spark, sf)
-    finished = units.filter("status = 'F' and nation_id is not null and segment <> 'BUILDING'")
-    counts = (finished.groupBy(F.col("nation_id").alias("sa2_maincode_2016"), F.col("segment").alias("sa2_code_2021"))
-              .agg(F.count(F.lit(1)).alias("n")))
+    # Another count of the same units: finished ones weigh twice.
+    counts = (units.groupBy(F.col("nation_id").alias("sa2_maincode_2016"), F.col("segment").alias("sa2_code_2021"))
+              .agg(F.sum(F.when(F.col("status") == "F", 2).otherwise(1)).alias("n")))
     totals = counts.groupBy("sa2_maincode_2016").agg(F.sum("n").alias("total"))
     official = counts.join(totals, "sa2_maincode_2016").withColumn("ratio_from_to", F.col("n") / F.col("total"))
     # Ids go by five names here, so take the percent of the id as a whole.
@@ -164,8 +163,11 @@ def residential_flags(spark, sf):
 
 
 def reconcile(spark, sf):
-    units = v.read(spark, sf, "orders").filter("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("gnaf_pid"))
-    buildings = v.building_address(spark, sf).withColumn(
+    units = v.read(spark, sf, "orders").select(F.col("o_orderkey").alias("gnaf_pid"))
+    # Seventh lines stand at addresses that no order has.
+    buildings = v.read(spark, sf, "lineitem").select(
+        F.expr("if(l_linenumber = 7, -l_orderkey, l_orderkey)").alias("address_detail_pid"),
+        F.col("l_partkey").alias("building_pid"), "l_returnflag").withColumn(
         "is_residential", F.expr("case l_returnflag when 'A' then 'Yes' when 'R' then 'No' end"))
     return aw.reconcile(units, buildings)
 
