@@ -64,15 +64,20 @@ def boxes_in_boxes(a: DataFrame, b: DataFrame, a_key: Sequence[str], b_key: Sequ
         pairs = left.join(right, F.col(on[0]) == F.col(on[1])).withColumns(common).filter(meets)
         return pairs.select(*a_key, *b_key, *BOX)
 
-    def celled(side: DataFrame, key: Sequence[str], other: DataFrame, name: str) -> DataFrame:
-        # Own level, then the coarser levels the other side uses.
-        return (_spread(side.selectExpr(*key, *BOX, f"{LEVEL} as _own")
-                        .withColumn("_all", F.array_union(F.array("_own"), _levels(other)))
-                        .withColumn("level", F.explode("_all")).filter("level >= _own"))
-                .selectExpr(*key, "level", "gx", "gy", f"_own as _{name}_own", *[f"{c} as {name}_{c}" for c in BOX]))
-
+    def celled(side: DataFrame, key: Sequence[str], name: str, levels: Column, which: str) -> DataFrame:
+        return (_spread(side.selectExpr(*key, *BOX, f"{LEVEL} as _own").withColumn("_all", levels)
+                        .withColumn("level", F.explode("_all")).filter(which))
+                .selectExpr(*key, "level", "gx", "gy", *[f"{c} as {name}_{c}" for c in BOX]))
+
+    # One of the two is on its own level: small boxes never meet other small ones
+    # in the large cells that only a large box uses.
+    own = F.array("_own")
+    own_a, own_b = celled(a, a_key, "a", own, "true"), celled(b, b_key, "b", own, "true")
+    finer_b = celled(b, b_key, "b", _levels(a), "level >= _own")
+    finer_a = celled(a, a_key, "a", _levels(b), "level > _own")
+    cell = ["level", "gx", "gy"]
+    met = own_a.join(finer_b, cell).unionByName(finer_a.join(own_b, cell))
     # Boxes share many cells; the one holding the corner of their common box
-    # reports the pair, on the level of the coarser of the two.
-    once = f"level = greatest(_a_own, _b_own) and gx = {CELL.format('minx')} and gy = {CELL.format('miny')}"
-    met = celled(a, a_key, b, "a").join(celled(b, b_key, a, "b"), ["level", "gx", "gy"])
+    # reports the pair.
+    once = f"gx = {CELL.format('minx')} and gy = {CELL.format('miny')}"
     return met.withColumns(common).filter(f"{meets} and {once}").select(*a_key, *b_key, *BOX)

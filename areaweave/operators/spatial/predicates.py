@@ -90,9 +90,29 @@ def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> Data
     """
     keys = ["a_id", "a_part", "b_id", "b_part"]
 
+    def by_band(edges: DataFrame, side: str) -> DataFrame:
+        """Edges with the pairs whose box they share x with.
+
+        Each part is cut into bands of x, in proportion to its edges; edges and
+        pairs meet in a band, and the first band of both reports them.
+        """
+        part = [f"{side}_id", f"{side}_part"]
+        spans = pairs.selectExpr(*part, f"{side}_start", f"{side}_bands", f"{side}_per_unit").distinct()
+
+        def band(value: str) -> str:
+            return (f"cast(greatest(0, least(floor(({value} - {side}_start) * {side}_per_unit), "
+                    f"{side}_bands - 1)) as bigint)")
+
+        cut = (edges.join(spans, part).withColumn("edge_band", F.expr(band("least(x1, x2)")))
+               .withColumn("band", F.expr(f"explode(sequence(edge_band, {band('greatest(x1, x2)')}))"))
+               .select(*part, "band", "edge_band", "x1", "y1", "x2", "y2"))
+        boxed = (pairs.withColumn("pair_band", F.expr(band("minx")))
+                 .withColumn("band", F.expr(f"explode(sequence(pair_band, {band('maxx')}))")))
+        return cut.join(boxed, [*part, "band"]).filter("band = greatest(edge_band, pair_band)")
+
     def placed(edges: DataFrame, side: str) -> DataFrame:
         box = ["minx", "miny", "maxx", "maxy", "floor", "a_corner", "b_corner"] if side == "a" else []
-        return (edges.join(pairs, [f"{side}_id", f"{side}_part"])
+        return (by_band(edges, side)
                 .filter("greatest(x1, x2) >= minx and least(x1, x2) <= maxx")
                 .withColumn("per_unit", F.expr("coalesce(try_divide(double(strips), maxx - minx), 0D)"))
                 .withColumn(f"{side}_first", F.expr(_strip("least(x1, x2)", "minx")))
@@ -121,14 +141,20 @@ def part_pairs(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) ->
     def boxes(edges: DataFrame, side: str) -> DataFrame:
         return parts(edges).withColumn(f"{side}_part", part_of(side)).withColumnsRenamed(
             {"bdy_id": f"{side}_id", "edge_count": f"{side}_edges", "corner": f"{side}_corner"}
-        ).withColumn(f"{side}_low", F.col("miny"))
+        ).withColumns({f"{side}_low": F.col("miny"), f"{side}_start": F.col("minx"), f"{side}_wide": F.expr("maxx - minx")})
 
-    a_key, b_key = ([f"{side}_{c}" for c in ("id", "part", "edges", "low", "corner")] for side in "ab")
+    a_key, b_key = ([f"{side}_{c}" for c in ("id", "part", "edges", "low", "corner", "start", "wide")] for side in "ab")
     pairs = boxes_in_boxes(boxes(edges_a, "a"), boxes(edges_b, "b"), a_key, b_key,
                            on=("a_id", "b_id") if same_id else None)
-    strips = f"cast(greatest(1, ceil(greatest(a_edges, b_edges) / {EDGES_PER_STRIP})) as bigint) as strips"
-    return pairs.selectExpr("a_id", "a_part", "b_id", "b_part", "minx", "miny", "maxx", "maxy", strips,
-                            "least(a_low, b_low) as floor", "a_corner", "b_corner")
+    # Strips for the edges that a part is expected to have over the common box.
+    over = "{0}_edges * least(1D, coalesce(try_divide(maxx - minx, {0}_wide), 1D))"
+    strips = (f"cast(greatest(1, ceil(greatest({over.format('a')}, {over.format('b')}) / {EDGES_PER_STRIP})) "
+              "as bigint) as strips")
+    bands = [f"cast(greatest(1, ceil({s}_edges / {EDGES_PER_STRIP})) as bigint) as {s}_bands" for s in "ab"]
+    found = pairs.selectExpr("a_id", "a_part", "b_id", "b_part", "minx", "miny", "maxx", "maxy", strips, *bands,
+                             "least(a_low, b_low) as floor", "a_corner", "b_corner", "a_start", "b_start",
+                             "a_wide", "b_wide")
+    return found.selectExpr("*", *[f"coalesce(try_divide(double({s}_bands), {s}_wide), 0D) as {s}_per_unit" for s in "ab"])
 
 
 def _side(line: str, point: str) -> str:

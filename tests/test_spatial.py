@@ -286,3 +286,41 @@ def test_collect_parts(spark):
         *RING, "x1", "y1", "x2", "y2")
     assert values(aw.area_by_key(joined, ["bdy_id"])) == [("all", 2.0)]
     assert inside(spark, {"p": (3.5, 0.5), "gap": (2, 0.5)}, joined) == [("p", "all")]
+
+
+def _layer(spark, name, rows):
+    frame = spark.createDataFrame([(i, bytearray(w)) for i, w in rows], "id string, w binary")
+    return aw.edges_from_wkb(frame, name, F.col("id"), F.col("id"), F.col("w"))
+
+
+def test_small_islet_inside_is_found(spark):
+    ell = [(0, 0), (10, 0), (10, 5), (5, 5), (5, 10), (0, 10)]
+    a = _layer(spark, "a", [("A", polygon_wkb(ell))])
+    b = _layer(spark, "b", [("B", multi_wkb([square(7, 7, 2)], [square(1, 1, 1e-4)])), ("C", polygon_wkb(square(6, 6, 3)))])
+    assert values(aw.polygons_meet(a, b)) == [("A", "B")]
+    assert aw.overlap(a, b).first().area == pytest.approx(1e-8)
+
+
+def test_rows_of_one_boundary_keep_their_parts(spark):
+    both = _layer(spark, "x", [("x", polygon_wkb(square(0, 0, 2))), ("x", polygon_wkb(square(1, 1, 2)))])
+    points = spark.createDataFrame([(1, 1.5, 1.5), (1, 1.5, 1.5), (1, 9.0, 9.0)], "pid int, px double, py double")
+    assert values(aw.point_in_polygon_join(points, both, "pid"), "pid", "bdy_id") == [(1, "x")]
+    apart = _layer(spark, "y", [("y", polygon_wkb(square(0, 0, 2))), ("y", polygon_wkb(square(50, 50, 2)))])
+    assert aw.point_on_surface(apart).count() == 1
+
+
+def test_ids_of_two_layers_stay_apart(spark):
+    two = _layer(spark, "l1", [("1", polygon_wkb(square(0, 0)))]).union(_layer(spark, "l2", [("1", polygon_wkb(square(2, 2)))]))
+    big = _layer(spark, "z", [("Z", polygon_wkb(square(-5, -5, 20)))])
+    assert values(aw.overlap(two, big), "a_layer", "a_id", "area") == [("l1", "1", 1.0), ("l2", "1", 1.0)]
+
+
+def test_boxes_of_mixed_sizes_meet_once(spark):
+    rng = random.Random(4)
+    draw = lambda n: [(i, x := rng.uniform(0, 50), y := rng.uniform(0, 50), x + (s := rng.choice([0.3, 2, 40])), y + s)
+                      for i in range(n)]
+    a, b = draw(60), draw(60)
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} int, minx double, miny double, maxx double, maxy double")
+    got = values(grid.boxes_in_boxes(frame(a, "ka"), frame(b, "kb"), ["ka"], ["kb"]), "ka", "kb")
+    assert got == sorted(((p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]),
+                         key=repr)
