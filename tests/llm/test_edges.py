@@ -61,6 +61,11 @@ def test_one_row_for_each_row(spark, edge, name):
     assert empty.count() == 0
 
 
+def test_model_without_any_word(spark):
+    got = language_model.score_documents(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == [(1, 1), (2, 1)]
+
+
 def test_packing_edges(spark, edge):
     found = packing.pack(edge, tokenizer_path())
     assert {str(r.doc_id) for r in found.collect()} == {str(i) for i, _ in ROWS}
