@@ -19,10 +19,11 @@ def _weighted() -> list:
 
 
 def score(crosswalk: DataFrame) -> DataFrame:
-    """Mean percent per pair, weighted by units, as a whole number."""
+    """Mean percent per pair, weighted by units, as a whole number; in order of the pairs."""
     ratio = F.col("weighted_address_count").cast("double") / F.col("address_count").cast("double")
     return (crosswalk.groupBy(*PAIR_COLUMNS).agg(*_weighted())
-            .select(*PAIR_COLUMNS, round_half_even(ratio, "smallint").alias("concordance_percent")))
+            .select(*PAIR_COLUMNS, round_half_even(ratio, "smallint").alias("concordance_percent"))
+            .orderBy(*PAIR_COLUMNS))
 
 
 def weighted_percent_by_id(crosswalk: DataFrame, by: Sequence[str] = ("from_id",)) -> DataFrame:
@@ -60,14 +61,14 @@ def error_rate(crosswalk: DataFrame, indicators: DataFrame, source: str = CENSUS
 def score_with_error(crosswalk: DataFrame, indicators: DataFrame, source: str = CENSUS_2016,
                      nested: Sequence[str] = NESTED_LEVELS) -> DataFrame:
     """The score table: ``error_percent`` is 0.0 for nested pairs of ``source``,
-    measured for its other pairs, and NULL for every other source."""
+    measured for its other pairs, and NULL for every other source.  In order of the pairs."""
     inside = (F.col("from_source") == source) & (F.col("to_source") == source)
     is_nested = inside & F.col("from_bdy").isin(*nested) & F.col("to_bdy").isin(*nested)
     errors = error_rate(crosswalk, indicators, source, nested)
     return (score(crosswalk).join(errors, PAIR_COLUMNS, "left")
             .withColumn("error_percent", F.when(is_nested, to_numeric(F.lit(0.0), 5, 1))
                         .otherwise(F.col("error_percent")))
-            .select(*PAIR_COLUMNS, "concordance_percent", "error_percent"))
+            .select(*PAIR_COLUMNS, "concordance_percent", "error_percent").orderBy(*PAIR_COLUMNS))
 
 
 def compare_official(crosswalk: DataFrame, official: DataFrame, threshold: float | None = None,

@@ -105,7 +105,8 @@ def buildings(spark: SparkSession, units: int) -> tuple[DataFrame, DataFrame]:
 def main() -> None:
     units = int(sys.argv[1]) if len(sys.argv) > 1 else 14_451_352
     grid = int(sys.argv[2]) if len(sys.argv) > 2 else 600
-    root = tempfile.mkdtemp(prefix="run-")
+    # The warehouse and the export; on a cluster, a folder that all machines share.
+    root = sys.argv[3] if len(sys.argv) > 3 else tempfile.mkdtemp(prefix="run-")
     spark = (SparkSession.builder.master("local[8]").appName("areaweave-country")
              .config("spark.driver.memory", "20g").config("spark.sql.shuffle.partitions", "32")
              .config("spark.sql.warehouse.dir", f"{root}/warehouse").config("spark.local.dir", f"{root}/local")
