@@ -18,6 +18,7 @@ rows of the result; an empty table gives no rows.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -272,6 +273,127 @@ def _similar(shingle: int, least: float):
     return run
 
 
+#: Slots of the counts that order shingles, bits of a text's parity signature, and rows of the two sides that meet in one go.
+SLOTS, PARITY, FEW, MANY = 1 << 16, 2048, 512, 4096
+
+
+def _slot_counts(shingle: int):
+    """How many different shingles of texts fall into each slot."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                slots = (np.unique(shingle_hashes(text.as_py(), shingle)) % np.uint64(SLOTS)).astype(np.int64)
+                np.add.at(count, slots, 1)
+        at = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["slot", "n"])
+
+    return run
+
+
+def _prefixes(shingle: int, least: float, order: np.ndarray):
+    """Of every text the shingles of which a similar text shares one, its number of shingles and their parity signature.
+
+    Shingles are in one order for all texts, those of rare slots first.  A text that shares ``least`` of
+    its shingles with another cannot miss it with all of its first ones, one more than it may lack.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes, parities = [], [], []
+            for text in batch.column("text"):
+                hashes = np.unique(shingle_hashes(text.as_py(), shingle))
+                n = len(hashes)
+                first = hashes[np.lexsort((hashes, order[(hashes % np.uint64(SLOTS)).astype(np.int64)]))]
+                first = first[:n - math.ceil(least * n - 1e-6) + 1] if n else np.zeros(1, np.uint64)
+                keys.append(first.view(np.int64))
+                sizes.append(n)
+                odd = np.bincount(((hashes >> np.uint64(16)) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) % 2
+                parities.append(np.packbits(odd.astype(np.uint8)).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("label"), pa.array(sizes, pa.int64()), pa.array(parities, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], ["node", "label", "size", "parity", "keys"])
+
+    return run
+
+
+def _possible(least: float):
+    """Pairs of one group that may be similar: few with many, of different labels; rows come sorted by group.
+
+    Texts differ in as many shingles at least as their parity signatures differ in bits, so no similar pair is lost.
+    """
+    share = (1 - least) / (1 + least)
+
+    def meet(few: np.ndarray, node: np.ndarray, label: np.ndarray, size: np.ndarray, parity: np.ndarray):
+        many = np.flatnonzero(~few)
+        out_a, out_b = [], []
+        for i in np.flatnonzero(few):
+            other = many[label[many] != label[i]]
+            low, high = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
+            other = other[low >= least * high - 1e-6]
+            apart = np.bitwise_count(parity[other] ^ parity[i]).sum(axis=1, dtype=np.int64)
+            other = other[apart <= share * (size[other] + size[i]) + 1e-6]
+            out_a.append(np.maximum(node[other], node[i]))
+            out_b.append(np.minimum(node[other], node[i]))
+        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_a, out_b))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = np.stack([batch.column(c).to_numpy() for c in ("key", "c", "h")], axis=1)
+            parts = [group, batch.column("few").to_numpy(zero_copy_only=False),
+                     *(batch.column(c).to_numpy() for c in ("node", "label", "size")),
+                     np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY // 64)]
+            if rest is not None:
+                parts = [np.concatenate(x) for x in zip(rest, parts, strict=True)]
+            edge = np.r_[0, np.flatnonzero((parts[0][1:] != parts[0][:-1]).any(axis=1)) + 1]
+            for first, end in itertools.pairwise(edge):
+                yield meet(*(x[first:end] for x in parts[1:]))
+            rest = [x[edge[-1]:] for x in parts]
+        if rest is not None:
+            yield meet(*rest[1:])
+
+    return run
+
+
+def _missed(texts: DataFrame, groups: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Pairs (a, b) of different groups, every pair that shares ``least`` of its shingles among them.
+
+    Of each shared first shingle the group with most texts stands aside: the others, in parts of ``FEW``,
+    meet all texts, in parts of ``MANY``.
+    """
+    spark = texts.sparkSession
+    count = texts.mapInArrow(_slot_counts(shingle), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    order = np.zeros(SLOTS, np.int64)
+    order[count["slot"].to_numpy()] = count["n"].to_numpy()
+    labelled = texts.join(groups.withColumnRenamed("root", "label"), "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), "text")
+    signed = stored(labelled.mapInArrow(_prefixes(shingle, least, order),
+                                        "node long, label long, size long, parity binary, keys array<bigint>"), "prefixes")
+    members = signed.select("node", "label", F.explode("keys").alias("key"))
+    open_ = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    members = stored(members.join(open_.select("key"), "key"), "members")
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+    sizes = sizes.select("key", F.col("most.label").alias("aside"), F.ceil(F.col("n") / MANY).cast("int").alias("hs"),
+                         F.ceil((F.col("n") - F.col("most.n")) / FEW).cast("int").alias("cs"))
+    rows = members.join(sizes, "key")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    few = rows.where("label != aside").select(
+        "key", "node", F.lit(True).alias("few"), F.pmod(F.hash("node"), "cs").alias("c"), upto("hs").alias("h"))
+    many = rows.select("key", "node", F.lit(False).alias("few"), upto("cs").alias("c"), F.pmod(F.xxhash64("node"), "hs").cast("int").alias("h"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = few.union(many).join(signed.drop("keys"), "node").repartition(parts, "key", "c", "h").sortWithinPartitions("key", "c", "h")
+    out = stored(met.mapInArrow(_possible(least), "a long, b long").distinct(), "missed")
+    for frame in (signed, members):
+        drop_stored(frame)
+    return out
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius: int = 4, id_column: str = "doc_id",
                 text_column: str = "text") -> DataFrame:
     """The row with the least id of each group of near-duplicates, with all its columns.
@@ -280,8 +402,10 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     union; groups are what such pairs connect, and equal texts are one.  Pairs come from the
     fingerprints within ``radius``.  At a similarity of 0.8 fingerprints differ in about ten bits,
     which would take 2,047 tables, so pairs also come from bands of least values under random
-    orders: each document meets the first of every bucket it is in and its neighbour there.  All
-    pairs are checked by their whole texts.  Texts without words are one group.
+    orders: each document meets the first of every bucket it is in and its neighbour there.  These
+    link most copies cheaply.  Then texts that still are in different groups meet wherever they share
+    one of their first shingles in a common order, which similar texts always do: no pair is left to
+    chance.  All pairs are checked by their whole texts.  Texts without words are one group.
     """
     spark = docs.sparkSession
     key = F.xxhash64(F.coalesce(docs[f"`{text_column}`"], F.lit("")))
@@ -306,10 +430,17 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     pairs = pairs.union(banded.repartitionByRange(parts, "band", "key", "node").sortWithinPartitions("band", "key", "node")
                         .select(F.col("band").cast("int").alias("band"), "key", "node").mapInArrow(_neighbours, "a long, b long"))
     pairs = stored(pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    once = texts.join(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "node",
-                      "left_semi")
-    told = pairs.join(once.toDF("a", "ta"), "a").join(once.toDF("b", "tb"), "b")
-    groups = components(told.mapInArrow(_similar(shingle, similar), "a long, b long"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        once = texts.join(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "node",
+                          "left_semi")
+        told = pairs.join(once.toDF("a", "ta"), "a").join(once.toDF("b", "tb"), "b")
+        return told.mapInArrow(_similar(shingle, similar), "a long, b long")
+
+    groups = components(checked(pairs))
+    missed = _missed(texts, groups, shingle, similar)
+    if missed.head(1):
+        groups = components(checked(missed).union(groups))
     member = firsts.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The least id of a group, and of the texts that have it the least digest.
     kept = member.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "node", "n")).alias("k")).select(
@@ -319,6 +450,6 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     single = out.where("_n = 1").select(*docs.columns)
     # Of rows that repeat id and text one stays.
     many = out.where("_n > 1").dropDuplicates(["_node"]).select(*docs.columns)
-    for frame in (firsts, texts, signed, pairs):
+    for frame in (firsts, texts, signed, pairs, missed):
         drop_stored(frame)
     return single.union(many)

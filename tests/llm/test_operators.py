@@ -192,6 +192,30 @@ def test_stage_keeps_one_of_each_near_copy(spark, sf):
     assert kept == {i for i, _ in rows if find(i) == i}
 
 
+@pytest.mark.parametrize("few, many", [(simhash.FEW, simhash.MANY), (3, 7)])
+def test_stage_links_copies_that_are_only_like_their_base(spark, sf, monkeypatch, few, many):
+    monkeypatch.setattr(simhash, "FEW", few)
+    monkeypatch.setattr(simhash, "MANY", many)
+    rng = random.Random(8)
+    rows, expected = [], {9000}
+    base = [f"w{i}" for i in range(400)]
+    for i in range(150):  # each at least 0.8 like the base, about 0.7 like each other
+        words = list(base)
+        for at in rng.sample(range(30), 1) + rng.sample(range(30, 370, 9), 6):
+            words[at] = f"new{i}x{at}"
+        rows.append((9001 + i, " ".join(words)))
+    rows.insert(77, (9000, " ".join(base)))
+    line = " ".join(f"common{i}" for i in range(60))
+    for i in range(60):  # a long line in common, but not alike
+        rows.append((9500 + i, line + " " + " ".join(f"own{i}x{j}" for j in range(30))))
+        expected.add(9500 + i)
+    like = [len(shingles(rows[77][1]) & shingles(t)) / len(shingles(rows[77][1]) | shingles(t)) for _, t in rows[:151]]
+    assert min(like) >= 0.8
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'x' source", "length(text) n_chars")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, sf).collect()} == expected
+
+
 # Packing
 
 
