@@ -4,8 +4,8 @@ Words of benchmark items form windows (13 in a row; an item with fewer is one wi
 holds, for each term that windows are looked up by, the documents and positions where it stands.
 A window is looked up by its rarest terms, rarest first: each list of positions, less the term's
 place in the window, is a list of possible starts, and the lists are intersected.  Possible starts
-are then compared with the document's words, so matches are exact.  All steps are DataFrame
-functions.
+are then compared with the document's words, so matches are exact.  ``proximity`` finds where all
+terms of any query stand close together, in any order.  All steps are DataFrame functions.
 
 Null and empty texts have no words and no windows.  Repeated rows of documents are told apart by
 a digest of their text only: rows with one id and one text give one row each, with the same
@@ -95,6 +95,40 @@ def occurrences(docs: DataFrame, looked: DataFrame) -> DataFrame:
         "doc", "p.start", F.size("p.expected").alias("length"), "p.items")
 
 
+def proximity(docs: DataFrame, queries: DataFrame, within: int, id_column: str = "doc_id", text_column: str = "text",
+              query_id: str = "item_id", query_text: str = "text") -> DataFrame:
+    """Where all terms of a query stand in ``within`` words: item_id, doc_id, digest of the text, start and end.
+
+    One row for each place of a term that all the others follow closely enough; end is the first place
+    by which they have.  Places of all terms asked for are looked up, around those of the query's rarest term
+    only, and meet in stretches of ``within`` words.  Rows that repeat a query's id ask for all their terms together.
+    """
+    spark = docs.sparkSession
+    rows = pick(docs, doc_id=id_column, text=text_column)
+    worded = rows.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc"), tokens(F.col("text")).alias("words"))
+    asked = stored(pick(queries, item_id=query_id, text=query_text).select(
+        "item_id", F.explode(tokens(F.col("text"))).alias("term")).distinct(), "asked")
+    wanted = _send(spark, asked.select("term").distinct(), TERMS_SENT)
+    index = worded.select("doc", F.posexplode("words").alias("at", "term")).join(wanted, "term").distinct()
+    index = stored(index.withColumn("stretch", F.floor(F.col("at") / within)), "postings")
+    counted = index.groupBy("term").agg(F.count("*").alias("n"))
+    rarest = asked.join(counted, "term", "left").groupBy("item_id").agg(
+        F.count("*").alias("terms"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term")).alias("t"))
+    # A query with a term that no document holds is met nowhere.
+    rarest = rarest.where(F.col("t.n") > 0).select("item_id", "terms", F.col("t.term").alias("term"))
+    around = index.join(rarest, "term").select(
+        "item_id", "doc", F.explode(F.array(*[F.col("stretch") + i for i in (-1, 0, 1)])).alias("stretch"))
+    places = index.join(asked, "term").join(around, ["item_id", "doc", "stretch"], "left_semi")
+    places = stored(places.select("item_id", "doc", "stretch", "at", "term"), "places")
+    starts = places.select("item_id", "doc", F.col("at").alias("start"), F.explode(
+        F.array(F.col("stretch"), F.col("stretch") + 1)).alias("stretch"))
+    after = starts.join(places, ["item_id", "doc", "stretch"]).where(F.col("at").between(F.col("start"), F.col("start") + within - 1))
+    first = after.groupBy("item_id", "doc", "start", "term").agg(F.min("at").alias("at"))
+    met = first.groupBy("item_id", "doc", "start").agg(F.count("*").alias("terms"), F.max("at").alias("end"))
+    return met.join(rarest.select("item_id", "terms"), ["item_id", "terms"]).select(
+        "item_id", "doc.doc_id", F.col("doc.h").alias("digest"), "start", "end")
+
+
 def is_contaminated(share: int = 20) -> Column:
     """Some words are hit, and at least one in ``share``."""
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))

@@ -121,6 +121,29 @@ def test_hits_of_short_items_and_overlaps(spark):
     assert got == {1: (15, 14, ["1", "2"]), 2: (6, 4, ["2"]), 3: (2, 1, ["20"]), 4: (1, 0, [])}
 
 
+@pytest.mark.parametrize("within", [1, 3, 8])
+def test_proximity_against_brute_force(spark, within):
+    rng = random.Random(within)
+    docs = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 60)))) for i in range(40)]
+    queries = [(1, "a"), (2, "b a"), (3, "c, D e"), (4, "f f g"), (5, "a zz"), (6, "..."), (7, "h b c a")]
+    expected = set()
+    for item, text in queries:
+        terms = set(text.replace(",", "").replace(".", "").lower().split())
+        for doc, words in ((d, t.split()) for d, t in docs):
+            for start, word in enumerate(words):
+                seen, end = set(), start
+                while word in terms and end < min(len(words), start + within):
+                    seen.add(words[end])
+                    if terms <= seen:
+                        expected.add((item, doc, start, end))
+                        break
+                    end += 1
+    frame = spark.createDataFrame(docs + docs[:5], "doc_id long, text string").repartition(3)
+    got = decontamination.proximity(frame, spark.createDataFrame(queries, "item_id long, text string"), within)
+    got = [(r.item_id, r.doc_id, r.start, r.end) for r in got.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and expected
+
+
 # SimHash
 
 
