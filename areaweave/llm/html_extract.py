@@ -3,12 +3,13 @@
 A page becomes a tree once, in the task that reads it.  Elements that are boilerplate by their tag,
 role, class or id go at once: menus, headers and footers of the site, sidebars, notices, adverts,
 forms, scripts, styles and reader comments.  Of the rest, every subtree that could belong to the
-site's template is hashed; Spark counts the hashes per host over different articles, and subtrees
-that recur across many of them are deleted.  Copies of one article count once, and paragraphs and
-headings of an article element are never template, so an article that a host repeats stays.
+site's template is hashed; Spark counts the hashes per host over different texts beside them, and
+subtrees that recur beside many are deleted.  Copies of one article count once, paragraphs and
+headings of an article element are never template, and neither is elsewhere what holds over half of
+the text, so an article that a host repeats stays.
 
-The text is that of the article element (the longest, if there are several), else of the main
-element, else of the body without blocks that are mostly links.  Character references are decoded,
+Of what is left, the text is that of the article element (the longest, if there are several), else
+of the main element, else of the body without blocks that are mostly links.  Character references are decoded,
 white space in a block becomes one space, blocks are joined by one space in page order.
 
 Null and empty pages give an empty text; a null URL is a host of its own.  Every input row gives
@@ -135,50 +136,21 @@ def parse(page: str) -> Element:
     return root
 
 
-def _find(root: Element, wanted) -> list[Element]:
-    found, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if node.dropped:
-            continue
-        if wanted(node):
-            found.append(node)
-            continue
-        stack += [c for c in reversed(node.children) if isinstance(c, Element)]
-    return found
-
-
-def _length(node: Element) -> int:
-    total, stack = 0, [node]
-    while stack:
-        for c in stack.pop().children:
-            if isinstance(c, str):
-                total += len(c)
-            elif not c.dropped:
-                stack.append(c)
-    return total
-
-
 def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def extract(page: str | None) -> tuple[list[tuple[str, list[int]]], int]:
-    """Blocks of the main text, each with the hashes of the subtrees around it that may be template; the article's digest."""
+def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
+    """Blocks of text, each with the hashes of the subtrees around it; what ``beside`` tells of them."""
     root = parse(page or "")
-    mains = _find(root, lambda n: n.tag == "article")
-    kind = "article"
-    if not mains:
-        mains, kind = _find(root, lambda n: n.tag == "main" or n.role == "main"), "main"
-    if not mains:
-        mains, kind = _find(root, lambda n: n.tag == "body") or [root], "body"
-    main = max(mains, key=_length) if len(mains) > 1 else mains[0]
-    blocks: list[list] = []  # text parts, characters in links, containers
+    blocks: list[list] = []  # text, characters in links, containers, article, main, whether in a body
     parts: list[str] = []
     linked = 0
     open_: list[int] = []  # numbers of containers
     members: list[list[int]] = []  # blocks of each container
     tags: list[str] = []
+    numbers = [0, 0, 0]  # articles, mains and bodies so far
+    place = (-1, -1, -1)
 
     def close() -> None:
         nonlocal parts, linked
@@ -186,10 +158,10 @@ def extract(page: str | None) -> tuple[list[tuple[str, list[int]]], int]:
         if text:
             for c in open_:
                 members[c].append(len(blocks))
-            blocks.append([text, linked, list(open_)])
+            blocks.append([text, linked, list(open_), *place])
         parts, linked = [], 0
 
-    stack: list = [("in", main, False)]
+    stack: list = [("in", root, False)]
     while stack:
         what, node, link = stack.pop()
         if what == "text":
@@ -197,20 +169,26 @@ def extract(page: str | None) -> tuple[list[tuple[str, list[int]]], int]:
             linked += len(node.strip()) if link else 0
         elif what == "out":
             close()
-            if node:
+            candidate, place = node
+            if candidate:
                 open_.pop()
         else:
-            block = node.tag not in INLINE
+            scope = (0 if node.tag == "article" else 1 if node.tag == "main" or node.role == "main"
+                     else 2 if node.tag == "body" else None)
+            outer = scope is not None and place[scope] < 0
             # Paragraphs and headings of an article are its text; any other block may be template.
-            candidate = block and node is not main and node.tag != "br" and (
-                kind == "body" or node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
-            if block:
+            candidate = node.tag not in INLINE and not outer and node.tag not in ("#root", "html", "br") and (
+                place[0] < 0 or node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
+            if node.tag not in INLINE or outer:
                 close()
-                if candidate:
-                    open_.append(len(members))
-                    members.append([])
-                    tags.append(node.tag)
-                stack.append(("out", candidate, False))
+                stack.append(("out", (candidate, place), False))
+            if outer:
+                place = (*place[:scope], numbers[scope], *place[scope + 1:])
+                numbers[scope] += 1
+            if candidate:
+                open_.append(len(members))
+                members.append([])
+                tags.append(node.tag)
             link = link or node.tag == "a"
             for c in reversed(node.children):
                 if isinstance(c, str):
@@ -218,27 +196,86 @@ def extract(page: str | None) -> tuple[list[tuple[str, list[int]]], int]:
                 elif not c.dropped:
                     stack.append(("in", c, link))
     close()
-    hashes = [_digest(tag + "\0" + "\0".join(blocks[b][0] for b in own)) for tag, own in zip(tags, members, strict=True)]
-    own_text = [b[0] for b in blocks if not b[2]] or [b[0] for b in blocks]
-    identity = _digest(max(own_text, key=len, default=""))
-    if kind == "body":
-        blocks = [b for b in blocks if 2 * b[1] <= len(b[0])]
-    return [(text, sorted({hashes[c] for c in around})) for text, _, around in blocks], identity
+    hashes = [_digest(tag + "\0" + "\0".join(blocks[i][0] for i in held)) for tag, held in zip(tags, members, strict=True)]
+    found = [{"text": b[0], "linked": b[1], "around": sorted({hashes[c] for c in b[2]}), "article": b[3], "main": b[4],
+              "body": b[5]} for b in blocks]
+    # An article with text of its own is not left, whatever goes.
+    if any(not b["around"] and b["article"] >= 0 for b in found):
+        found = [b for b in found if b["article"] >= 0]
+    return found, *beside(found)
+
+
+def beside(blocks: list[dict]) -> tuple[list[dict], int]:
+    """Subtrees that may be template, each with a digest of the longest text outside it; the article's digest."""
+    own = any(not b["around"] and b["article"] >= 0 for b in blocks)
+    mains = {i for i, b in enumerate(blocks) if b["main"] >= 0} or set(range(len(blocks)))
+    rank = sorted(range(len(blocks)), reverse=True,
+                  key=lambda i: (not blocks[i]["around"], blocks[i]["main"] >= 0, len(blocks[i]["text"])))
+    total = sum(len(blocks[i]["text"]) for i in mains)
+    members: dict[int, set[int]] = {}
+    for i, b in enumerate(blocks):
+        for h in b["around"]:
+            members.setdefault(h, set()).add(i)
+    found = []
+    for h, held in members.items():
+        context = next((i for i in rank if i not in held), None)
+        # Outside articles, what holds over half of the text is not a template around it.
+        if context is not None and (own or 2 * sum(len(blocks[i]["text"]) for i in held & mains) <= total):
+            found.append({"hash": h, "context": _digest(blocks[context]["text"])})
+    return found, _digest(blocks[rank[0]]["text"] if rank else "")
+
+
+def main_text(blocks: list[dict]) -> str:
+    """Text of the longest article, else of the longest main element, else of the body without blocks that are mostly links."""
+    for scope in ("article", "main"):
+        texts: dict[int, list[str]] = {}
+        for b in blocks:
+            if b[scope] >= 0:
+                texts.setdefault(b[scope], []).append(b["text"])
+        if texts:
+            return " ".join(max(texts.values(), key=lambda t: sum(map(len, t))))
+    body = [b for b in blocks if b["body"] >= 0] or blocks
+    return " ".join(b["text"] for b in body if 2 * b["linked"] <= len(b["text"]))
+
+
+BLOCK = pa.struct([("text", pa.string()), ("linked", pa.int64()), ("around", pa.list_(pa.int64())), ("article", pa.int64()),
+                   ("main", pa.int64()), ("body", pa.int64())])
+SUBTREE = pa.struct([("hash", pa.int64()), ("context", pa.int64())])
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
     for batch in batches:
-        identities, texts, blocks = [], [], []
+        identities, texts, blocks, subtrees = [], [], [], []
         for page in batch.column("html"):
-            found, identity = extract(page.as_py())
-            plain = not any(around for _, around in found)
+            found, around, identity = extract(page.as_py())
             identities.append(identity)
-            texts.append(" ".join(t for t, _ in found) if plain else None)
-            blocks.append([] if plain else [{"text": t, "around": a} for t, a in found])
+            texts.append(None if around else main_text(found))
+            blocks.append(found if around else [])
+            subtrees.append(around)
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(identities, pa.int64()), pa.array(texts, pa.string()),
-             pa.array(blocks, kind)], ["page_id", "url", "identity", "text", "blocks"])
+             pa.array(blocks, pa.list_(BLOCK)), pa.array(subtrees, pa.list_(SUBTREE))],
+            ["page_id", "url", "identity", "text", "blocks", "subtrees"])
+
+
+def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages less the blocks in subtrees that are gone."""
+    for batch in batches:
+        blocks, subtrees = [], []
+        for found, gone in zip(batch.column("blocks"), batch.column("gone"), strict=True):
+            gone = set(gone.as_py() or ())
+            blocks.append([b for b in found.as_py() if gone.isdisjoint(b["around"])])
+            subtrees.append(beside(blocks[-1])[0])
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("row", "host", "page_id", "url")), pa.array(blocks, pa.list_(BLOCK)),
+             pa.array(subtrees, pa.list_(SUBTREE))], ["row", "host", "page_id", "url", "blocks", "subtrees"])
+
+
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [main_text(found.as_py()) for found in batch.column("blocks")]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+                                         ["page_id", "url", "text"])
 
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
@@ -246,20 +283,26 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
     """page_id, url, text of every row."""
     rows = pick(pages, page_id=id_column, url=url_column, html=html_column)
     kind = rows.schema["page_id"].dataType.simpleString()
+    lists = ("blocks array<struct<text string, linked long, around array<bigint>, article long, main long, body long>>, "
+             "subtrees array<struct<hash long, context long>>")
     parsed = stored(rows.mapInArrow(
-        _parsed, f"page_id {kind}, url string, identity long, text string, "
-        "blocks array<struct<text string, around array<bigint>>>"), "pages")
+        _parsed, f"page_id {kind}, url string, identity long, text string, {lists}"), "pages")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1))
     parsed = parsed.withColumn("host", host)
-    doubtful = parsed.where(F.size("blocks") > 0).withColumn(
-        "row", F.xxhash64("page_id", "url", "identity", F.col("blocks")))
-    around = doubtful.select("host", "identity", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("hash"))
+    left = parsed.where(F.size("blocks") > 0).select(
+        F.xxhash64("page_id", "url", "identity", "blocks").alias("row"), "host", "page_id", "url", "blocks", "subtrees")
     articles = parsed.select("host", "identity").distinct().groupBy("host").agg(F.count("*").alias("articles"))
-    often = around.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).join(articles, "host")
-    often = often.where((F.col("n") >= least_articles) & (F.col("n") >= least_share * F.col("articles"))).select("host", "hash")
-    deleted = doubtful.select("row", "host", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("hash")).distinct()
-    deleted = deleted.join(often, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("gone"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("gone", F.array().cast("array<bigint>"))))
-    cleaned = doubtful.join(deleted, "row", "left").select(
-        "page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"))
+    # What is gone no longer stands beside the rest, so that is counted again.
+    while True:
+        around = left.select("host", F.explode("subtrees").alias("s")).select("host", "s.hash", "s.context")
+        often = around.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).join(articles, "host")
+        often = often.where((F.col("n") >= least_articles) & (F.col("n") >= least_share * F.col("articles")))
+        often = stored(often.select("host", "hash"), "often")
+        if not often.head(1):
+            break
+        deleted = left.select("row", "host", F.explode("subtrees.hash").alias("hash")).distinct()
+        deleted = deleted.join(often, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("gone"))
+        left = stored(left.join(deleted, "row", "left").select("row", "host", "page_id", "url", "blocks", "gone").mapInArrow(
+            _without, f"row long, host string, page_id {kind}, url string, {lists}"), "left")
+    cleaned = left.mapInArrow(_texts, f"page_id {kind}, url string, text string")
     return parsed.where(F.size("blocks") == 0).select("page_id", "url", "text").union(cleaned)

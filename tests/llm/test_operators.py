@@ -49,6 +49,21 @@ def test_templates_of_pages_without_article(spark):
     assert all(r.text == f"News number {r.page_id}: {'w ' * 20}".strip() for r in got)
 
 
+def test_bare_recurring_paragraphs_and_boxes_go(spark):
+    news = lambda i: " ".join(f"news{i}x{j}" for j in range(9))
+    notice = "Our office is closed and no letters are read before spring " * 2
+    rows = [(i, "http://a.org/", f"<body><main><h2>Daily</h2><p>{notice}</p><p>{news(i)}</p><p>{news(-i - 1)}</p><div>box</div>"
+             "</main></body>") for i in range(10)]
+    rows += [(100 + i, "http://b.org/", f"<body><main><h1>Title</h1><p>{news(0)}</p><p>{news(1)}</p><p>day {i}</p></main></body>")
+             for i in range(10)]  # one article, copied
+    rows += [(200 + i, "http://c.org/", f"<body><article><div>{notice}</div><p>More {i}</p></article><article><p>{news(i)}</p></article></body>")
+             for i in range(10)]  # the longer article is mostly a box
+    got = {r.page_id: r.text for r in html_extract.extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{news(i)} {news(-i - 1)}" for i in range(10)} | {
+        100 + i: f"Title {news(0)} {news(1)} day {i}" for i in range(10)} | {200 + i: news(i) for i in range(10)}
+
+
 # Chat
 
 
