@@ -67,13 +67,13 @@ def _classes(value: str) -> str:
 
 
 def features(value: str, before: str, after: str, path: str) -> list[float]:
-    n, kinds = len(value), _classes(value[:4096])
-    counts, seen = Counter(kinds), Counter(value[:4096])
+    n, kinds = len(value), _classes(value)
+    counts, seen = Counter(kinds), Counter(value)
     m = max(1, len(kinds))
     entropy = -sum(c / m * math.log2(c / m) for c in seen.values())
-    covered = sum(len(x.group()) for x in DICTIONARY.finditer(value[:4096]))
-    letters = max(map(len, re.findall(r"[A-Za-z]+", value[:4096])), default=0)
-    return [min(n, 4096), counts["d"] / m, counts["u"] / m, counts["l"] / m, counts["m"] / m,
+    covered = sum(len(x.group()) for x in DICTIONARY.finditer(value))
+    letters = max(map(len, re.findall(r"[A-Za-z]+", value)), default=0)
+    return [n, counts["d"] / m, counts["u"] / m, counts["l"] / m, counts["m"] / m,
             sum(a != b for a, b in zip(kinds, kinds[1:])) / m, entropy,
             float(all(c in "0123456789abcdefABCDEF" for c in seen)),
             sum(seen[c] for c in "aeiouAEIOU") / m, covered / m, float(bool(PLACEHOLDER.search(value))),

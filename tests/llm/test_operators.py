@@ -354,6 +354,30 @@ def test_forest_removes_false_positives(spark):
     assert all(secret_scan.MASK in r.text and "between" in r.text and r.text.endswith("end") for r in masked)
 
 
+def test_features_judge_whole_runs():
+    value = "a1" * 3000 + "Z" * 3000
+    found = dict(zip(secret_scan.NAMES, secret_scan.features(value, "", "", ""), strict=True))
+    assert (found["length"], found["upper"], found["digits"], found["longest_letters"]) == (9000, 1 / 3, 1 / 3, 3000)
+
+
+def test_forest_learns_planted_labels(spark):
+    """Bare keys of mixed case, which the rules call harmless, are told from bare digests by labels of another origin."""
+    rng = random.Random(6)
+    rows, planted = [], set()
+    for i in range(400):
+        if secret := rng.random() < 0.5:
+            planted.add(i)
+        letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789" if secret else "0123456789abcdef"
+        rows.append((i, "see 1 word " + "".join(rng.choice(letters) for _ in range(38)) + "a1 end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    taught = secret_scan.find_candidates(docs.where("doc_id < 250"), path_column=None)
+    assert taught.where("label = 1").count() == 0
+    taught = taught.withColumn("label", F.col("doc_id").isin(sorted(planted)).cast(taught.schema["label"].dataType))
+    found, _ = secret_scan.scan(docs.where("doc_id >= 250"), taught, path_column=None)
+    got = [(r.doc_id in planted) == r.secret for r in found.collect()]
+    assert len(got) == 150 and sum(got) >= 0.97 * len(got)
+
+
 # Archives
 
 
