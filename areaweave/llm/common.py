@@ -41,10 +41,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/areaweave-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._areaweave_path = path
     return out

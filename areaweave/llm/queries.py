@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm import chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, suffix_dedup, warc
+from areaweave.llm import alignment, chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, suffix_dedup, warc
 
 #: A public vocabulary file; the environment may name another place.
 TOKENIZER = os.environ.get("AREAWEAVE_TOKENIZER", "")
@@ -27,6 +27,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def vocabulary_paths() -> tuple[str, str]:
+    """Files of the byte-level and of the sentence-piece vocabulary; the environment may name other places."""
+    names = (("AREAWEAVE_BYTE_BPE", "byte_bpe_50k.json"), ("AREAWEAVE_PIECE_BPE", "piece_bpe_32k.model"))
+    if all(os.environ.get(name) for name, _ in names):
+        return tuple(os.environ[name] for name, _ in names)
+    import public_tokenizers
+
+    return tuple(os.environ.get(name) or public_tokenizers.path(file) for name, file in names)
+
+
 def hex16(number) -> DataFrame:
     return F.lpad(F.lower(F.hex(number)), 16, "0")
 
@@ -105,6 +115,10 @@ def op10_language_model(spark: SparkSession, sf: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents"), *vocabulary_paths())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
-    op8_secret_scan, op9_warc, op10_language_model)}
+    op8_secret_scan, op9_warc, op10_language_model, op13_alignment)}
