@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm import alignment, chat_format, decontamination, html_extract, language_model, packing, quality_rules, secret_scan, simhash, suffix_dedup, warc
+from areaweave.llm import alignment, chat_format, conversation_repair, decontamination, html_extract, language_model, license_scan, packing, quality_rules, secret_scan, simhash, suffix_dedup, warc
 
 #: A public vocabulary file; the environment may name another place.
 TOKENIZER = os.environ.get("AREAWEAVE_TOKENIZER", "")
@@ -115,10 +115,29 @@ def op10_language_model(spark: SparkSession, sf: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf, "documents"))
+    labels = F.array_sort(F.array_union("base_labels", F.transform("matches", lambda m: m["label"])))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), "score")
+
+
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    found, turns = conversation_repair.repair(conversation_repair.damaged(rows))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    zero, key = F.lit(0).cast("bigint"), conversation_repair.key_of(F.col("conv_id")).alias("key")
+    done = rows.select("conv_id", key).distinct().join(found, "key", "left").join(
+        conversation_repair.digests(turns), "key", "left")
+    return done.select("conv_id", *[F.coalesce(c, zero).alias(c) for c in counts],
+                       F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(table(spark, sf, "documents"), *vocabulary_paths())
 
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_chat_format, op3_suffix_dedup, op4_quality_rules, op5_decontamination, op6_simhash, op7_packing,
-    op8_secret_scan, op9_warc, op10_language_model, op13_alignment)}
+    op8_secret_scan, op9_warc, op10_language_model, op11_license_scan, op12_conversation_repair, op13_alignment)}
