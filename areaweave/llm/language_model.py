@@ -2,15 +2,19 @@
 
 Counts.  Each task turns its documents into chunks: numbers of words and the chunk's own vocabulary.
 The vocabularies, not the words, are shuffled, by a hash of the word, and every chunk gets back the
-corpus counts of its words.  Nothing is broadcast that grows with the data, and a frequent word is
-one entry per chunk.
+corpus counts of its words.  Nothing is broadcast that grows with the data but the table of classes, which is
+bounded by the root of the corpus, and a frequent word is one entry per chunk.
 
-Model.  The output softmax is factored: over classes by the network, within a class by the corpus
-counts.  A class is one of the most frequent counts, or a range of counts and a form of the word's
-end; words seen once and unknown words are types of the rarest range, so probabilities add up to
-one.  Each chunk trains a gated recurrent network by backpropagation through windows of ``STEPS``
+Model.  The output softmax is factored.  Words belong to classes of about equal mass in the corpus, about as
+many as the root of the number of different words, so the model grows with the vocabulary: a frequent word is
+a class alone and has an embedding and a probability of its own; rarer words share one, by count and, where many
+have one count, by hash.  Classes in turn lie in groups; the network gives probabilities
+of a group and of a class in its group, the counts that of a word in its class.  Words never seen share the classes of the
+rarest words, each of which has one place for them, so probabilities add up to one.
+
+Each chunk trains a gated recurrent network by backpropagation through windows of ``STEPS``
 tokens, all training documents once, from the same start, the classes' unigram; the chunks' weights
-are averaged by their tokens.  Scoring carries the state from window to window, so a score is that
+are averaged by their tokens, slice by slice.  Scoring carries the state from window to window, so a score is that
 of the complete document.
 
 Null and empty texts have one token, the end.  Rows that repeat an id are documents of their own.
@@ -26,21 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import drop_stored, new_folder, partitions_for, pick, stored
+from areaweave.llm.common import drop_stored, new_folder, partitions_for, pick, stored, wide
 
 HIDDEN, STEPS = 16, 16
 #: Documents side by side, in training and in scoring.
 TRAINED, SCORED = 512, 1024
-TOP = 31
-FORMS = 8
-#: Counts from which a word belongs to the next range.
-RANGES = (2, 8, 64)
 #: Characters of text in a chunk, about; a longer document is a chunk alone.
-CHUNK_CHARS = 24_000_000
-CLASSES = TOP + FORMS * (len(RANGES) + 1) + 1
-END = CLASSES - 1
-ENTRY = np.dtype([("hash", "<u8"), ("check", "<u4"), ("count", "<u4"), ("form", "u1")])
-CHUNK = ("chunk string, doc_ids array<bigint>, held array<boolean>, lengths array<int>, words binary, places binary, forms binary, "
+CHUNK_CHARS = 16_000_000
+#: Weights in a slice of the average.
+SLICE = 4096
+ENTRY = np.dtype([("hash", "<u8"), ("check", "<u4"), ("count", "<u4")])
+#: What comes back of a word: its count in the corpus, and a number from its hash that parts words of one count.
+COUNTED = np.dtype([("count", "<i8"), ("part", "<u2")])
+CHUNK = ("chunk string, doc_ids array<bigint>, held array<boolean>, lengths array<int>, words binary, places binary, "
          "bucket int, entries binary")
 
 CLASSIFIED = ("chunk string, doc_ids array<bigint>, held array<boolean>, lengths array<int>, classes binary, "
@@ -68,8 +70,8 @@ def _chunked(buckets: int):
 
         task, nth = TaskContext.get().partitionId(), 0
         kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(),
-                 pa.binary(), pa.int32(), pa.binary()]
-        names = ["chunk", "doc_ids", "held", "lengths", "words", "places", "forms", "bucket", "entries"]
+                 pa.int32(), pa.binary()]
+        names = ["chunk", "doc_ids", "held", "lengths", "words", "places", "bucket", "entries"]
 
         def row(*values) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], names)
@@ -87,13 +89,12 @@ def _chunked(buckets: int):
             digests = np.frombuffer(b"".join(map(xxh3_128_digest, numbers)), "<u8").reshape(-1, 2)
             entries = np.empty(len(numbers), ENTRY)
             entries["hash"], entries["check"], entries["count"] = digests[:, 0], digests[:, 1] & 0xFFFFFFFF, counts
-            entries["form"] = np.fromiter((w[-1] for w in numbers), np.uint8, len(numbers)) % FORMS
             of = (entries["hash"] % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(of, kind="stable").astype(np.int32)
             cuts = np.searchsorted(of[order], np.arange(buckets + 1))
-            yield row(chunk, docs, held, lengths, words.tobytes(), order.tobytes(), entries["form"].tobytes(), None, None)
+            yield row(chunk, docs, held, lengths, words.tobytes(), order.tobytes(), None, None)
             for b in np.flatnonzero(np.diff(cuts)).tolist():  # empty ones are not sent
-                yield row(chunk, *[None] * 6, b, entries[order[cuts[b]:cuts[b + 1]]].tobytes())
+                yield row(chunk, *[None] * 5, b, entries[order[cuts[b]:cuts[b + 1]]].tobytes())
 
         numbers, docs, held, lengths, parts, chars = _Numbers(), [], [], [], [], 0
         for doc, out, text in rows():
@@ -114,7 +115,7 @@ def _chunked(buckets: int):
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Corpus counts of every chunk's entries, and how many types have which count and form."""
+    """What comes back of every chunk's entries, and, without a chunk, the same of the bucket's different words."""
     rows = [(c, b, np.frombuffer(e.as_buffer(), ENTRY)) for batch in batches for c, b, e in zip(
         batch.column("chunk").to_pylist(), batch.column("bucket").to_pylist(), batch.column("entries"), strict=True)]
     if not rows:
@@ -124,72 +125,107 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, checks = every["hash"][order], every["check"][order]
     new = np.r_[True, (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])][:len(every)]
     kind = np.cumsum(new) - 1
-    total = np.bincount(kind, weights=every["count"][order], minlength=new.sum()).astype(np.int64)
-    back = np.empty(len(every), np.int64)
-    back[order] = total[kind]
-    code, types = np.unique(total * FORMS + every["form"][order][new], return_counts=True)
+    words = np.empty(int(new.sum()), COUNTED)
+    words["count"] = np.bincount(kind, weights=every["count"][order], minlength=len(words))
+    words["part"] = hashes[new] >> np.uint64(48)
+    back = np.empty(len(every), COUNTED)
+    back[order] = words[kind]
     at, chunks, buckets, found = 0, [], [], []
     for chunk, bucket, own in rows:
         chunks.append(chunk)
         buckets.append(bucket)
-        found.append(back[at:at + len(own)].astype("<i8").tobytes())
+        found.append(back[at:at + len(own)].tobytes())
         at += len(own)
-    n = len(chunks)
     yield pa.RecordBatch.from_arrays(
-        [pa.array([*chunks, None]), pa.array([*buckets, None], pa.int32()), pa.array([*found, None], pa.binary()),
-         pa.array([None] * n + [code.tolist()], pa.list_(pa.int64())),
-         pa.array([None] * n + [types.tolist()], pa.list_(pa.int64()))], ["chunk", "bucket", "counts", "code", "types"])
+        [pa.array([*chunks, None]), pa.array([*buckets, None], pa.int32()), pa.array([*found, words.tobytes()], pa.binary())],
+        ["chunk", "bucket", "counts"])
+
+
+def _kinds(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many words of a task's buckets have each count; those that training never met have none."""
+    for batch in batches:
+        for data in batch.column("counts"):
+            count, types = np.unique(np.frombuffer(data.as_buffer(), COUNTED)["count"], return_counts=True)
+            seen = count > 0
+            yield pa.RecordBatch.from_arrays([pa.array(count[seen]), pa.array(types[seen].astype(np.int64))], ["count", "types"])
+
+
+def _class_sums(vocabulary: Vocabulary):
+    """Words and tokens of each class in a task's buckets."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("counts"):
+                words = np.frombuffer(data.as_buffer(), COUNTED)
+                words = words[words["count"] > 0]
+                own = vocabulary.classes(words["count"], words["part"])
+                types = np.bincount(own, minlength=vocabulary.size)
+                mass = np.bincount(own, weights=words["count"], minlength=vocabulary.size)
+                some = np.flatnonzero(types)
+                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(types[some].astype(np.int64)),
+                                                  pa.array(mass[some].astype(np.int64))], ["class", "types", "mass"])
+
+    return run
 
 
 class Vocabulary:
-    """What the corpus counts make of a word: its class, and its probability within the class."""
-
-    def __init__(self, top: list[int], types: dict[tuple[int, int], int], mass: dict[tuple[int, int], int],
-                 top_mass: list[int], documents: int, distinct: int, tokens: int):
-        self.top, self.top_mass = np.array(top, np.int64), np.array(top_mass, np.int64)
-        self.once = np.array([types.get((0, f), 0) for f in range(FORMS)])
-        self.mass = np.array([[mass.get((r, f), 0) for f in range(FORMS)] for r in range(len(RANGES) + 1)])
-        self.documents, self.tokens, self.distinct = documents, tokens, distinct
-
-    def classes(self, count: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and natural logarithm of the probability within it."""
-        reach = np.searchsorted(RANGES, count, "right")
-        own = TOP + reach * FORMS + form
-        within = np.where(reach == 0, -np.log(self.once[form] + 1.0),
-                          np.log(np.maximum(count, 1)) - np.log(np.maximum(self.mass[reach, form], 1)))
-        if len(self.top):
-            place = np.minimum(np.searchsorted(self.top, count), len(self.top) - 1)
-            frequent = self.top[place] == count
-            own = np.where(frequent, place, own)
-            within = np.where(frequent, np.log(np.maximum(count, 1)) - np.log(self.top_mass[place]), within)
-        return own.astype(np.uint8), within
+    """Which class a word belongs to by its count, and its probability in the class.
+
+    ``counts`` are the different counts, rising, ``types`` how many words have each.  From the greatest count down, words
+    fill classes of an equal share of all tokens; a count that needs several classes parts its words by hash, and the
+    least count has classes of its own, which words never seen share.  The last class is the end of a document.
+    """
+
+    def __init__(self, counts: np.ndarray, types: np.ndarray, documents: int):
+        self.counts, self.documents = np.asarray(counts, np.int64), documents
+        self.tokens, self.distinct = int((counts * types).sum()) + documents, int(types.sum()) + (documents > 0)
+        share = max(1.0, (self.tokens - documents) / max(1, round(self.distinct ** 0.5)))
+        self.first, self.parts = np.zeros(len(counts), np.int64), np.ones(len(counts), np.int64)
+        at, filled = 0, 0.0
+        for i in range(len(counts) - 1, -1, -1):
+            mass = float(counts[i] * types[i])
+            if filled and (filled + mass > share or i == 0):
+                at, filled = at + 1, 0.0
+            self.first[i] = at
+            if mass >= share or i == 0:
+                self.parts[i] = min(types[i], 1 << 16, max(1, round(mass / share)))
+                at, filled = at + int(self.parts[i]), 0.0
+            else:
+                filled += mass
+        if not len(counts):  # nothing was seen: one class for all words
+            self.counts, self.first, self.parts, at = np.ones(1, np.int64), np.zeros(1, np.int64), np.ones(1, np.int64), 1
+        self.size = at + 1
+        self.end = at
+        self.types = self.mass = np.zeros(self.size, np.int64)
+
+    def classes(self, count: np.ndarray, part: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.counts, np.maximum(count, self.counts[0]))
+        return self.first[place] + part.astype(np.int64) % self.parts[place]
+
+    def within(self, count: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Natural logarithm of a word's probability in its class."""
+        rare = own >= self.first[0]
+        return np.where(rare, -np.log(self.types[own] + 1.0), np.log(np.maximum(count, 1)) - np.log(np.maximum(self.mass[own], 1)))
 
     def unigram(self) -> np.ndarray:
-        n = np.zeros(CLASSES)
-        n[:len(self.top)] = self.top_mass
-        n[TOP:END] = self.mass.ravel()
-        n[END] = self.documents
-        return np.log((n + 1) / (n.sum() + CLASSES))
+        """Logarithms of the classes' shares, none of them 0."""
+        n = self.mass.astype(float) + (np.arange(self.size) >= self.first[0])
+        n[self.end] = self.documents + 1
+        return np.log((n + 1e-3) / (n + 1e-3).sum())
 
 
 def vocabulary(merged: DataFrame, documents: int) -> Vocabulary:
-    """From counts of counts: the driver sees the most frequent counts and sums by range and form."""
-    kinds = merged.where(F.col("code").isNotNull()).select(F.explode(F.arrays_zip("code", "types")).alias("x"))
-    kinds = kinds.groupBy(F.col("x.code").alias("code")).agg(F.sum("x.types").alias("types")).select(
-        F.floor(F.col("code") / FORMS).alias("count"), (F.col("code") % FORMS).alias("form"), "types").where("count > 0")
-    kinds = stored(kinds, "counts")
-    top = kinds.where(F.col("count") >= RANGES[-1]).groupBy("count").agg(F.sum("types").alias("types"))
-    top = sorted((r["count"], r["types"]) for r in top.orderBy(F.desc("count")).limit(TOP).collect())
-    reach = sum((F.when(F.col("count") >= r, 1).otherwise(0) for r in RANGES), F.lit(0))
-    rest = kinds.where(F.col("count") < top[0][0]) if top else kinds
-    sums = rest.groupBy(reach.alias("reach"), "form").agg(
-        F.sum("types").alias("types"), F.sum(F.col("types") * F.col("count")).alias("mass")).collect()
-    every = kinds.agg(F.sum("types").alias("types"), F.sum(F.col("types") * F.col("count")).alias("mass")).first()
-    drop_stored(kinds)
-    return Vocabulary(
-        [c for c, _ in top], {(r["reach"], r["form"]): r["types"] for r in sums},
-        {(r["reach"], r["form"]): r["mass"] for r in sums}, [c * n for c, n in top], documents,
-        (every["types"] or 0) + (documents > 0), (every["mass"] or 0) + documents)
+    """From counts of counts.  The driver sees the different counts, fewer than the root of twice the tokens, and the classes."""
+    words = merged.where(F.col("chunk").isNull()).select("counts")
+    kinds = words.mapInArrow(_kinds, "count long, types long").groupBy("count").agg(F.sum("types").alias("types"))
+    kinds = kinds.orderBy("count").toArrow()
+    found = Vocabulary(kinds["count"].to_numpy(), kinds["types"].to_numpy(), documents)
+    sums = words.mapInArrow(_class_sums(found), "class long, types long, mass long").groupBy("class").agg(
+        F.sum("types").alias("types"), F.sum("mass").alias("mass")).toArrow()
+    found.types, found.mass = np.zeros(found.size, np.int64), np.zeros(found.size, np.int64)
+    found.types[sums["class"].to_numpy()] = sums["types"].to_numpy()
+    found.mass[sums["class"].to_numpy()] = sums["mass"].to_numpy()
+    return found
 
 
 def _classified(vocabulary: Vocabulary):
@@ -205,15 +241,17 @@ def _classified(vocabulary: Vocabulary):
                 lengths = batch.column("lengths")[row].values.to_numpy()
                 # Entries were sent by bucket; places are the words' numbers in that order.
                 found = batch.column("found")[row]
-                got = {x["bucket"].as_py(): np.frombuffer(x["counts"].as_buffer(), "<i8") for x in found} if found.is_valid else {}
+                got = {x["bucket"].as_py(): np.frombuffer(x["counts"].as_buffer(), COUNTED) for x in found} if found.is_valid else {}
                 places = np.frombuffer(batch.column("places")[row].as_buffer(), np.int32)
-                form = np.frombuffer(batch.column("forms")[row].as_buffer(), np.uint8).astype(np.int64)
-                count = np.empty(len(places), np.int64)
-                count[places] = np.concatenate([got[b] for b in sorted(got)]) if got else 0
-                own, within = vocabulary.classes(count, form)
+                entry = np.zeros(len(places), COUNTED)
+                if got:
+                    entry[places] = np.concatenate([got[b] for b in sorted(got)])
+                count = entry["count"]
+                own = vocabulary.classes(count, entry["part"])
+                within = vocabulary.within(count, own)
                 ends = np.cumsum(lengths)
                 # A document's words, then its end.
-                classes = np.insert(own[words], ends, END) if len(lengths) else np.empty(0, np.uint8)
+                classes = np.insert(own.astype(np.int32)[words], ends, vocabulary.end) if len(lengths) else np.empty(0, np.int32)
 
                 def by_doc(values: np.ndarray) -> np.ndarray:
                     sums = np.r_[0, np.cumsum(values[words])]
@@ -224,7 +262,7 @@ def _classified(vocabulary: Vocabulary):
                 inner = by_doc(within)
                 columns = [batch.column("chunk").slice(row, 1), batch.column("doc_ids").slice(row, 1),
                            batch.column("held").slice(row, 1), batch.column("lengths").slice(row, 1),
-                           pa.array([classes.astype(np.uint8).tobytes()], pa.binary()), pa.array([known], pa.list_(pa.int64())),
+                           pa.array([classes.astype("<i4").tobytes()], pa.binary()), pa.array([known], pa.list_(pa.int64())),
                            pa.array([base], pa.list_(pa.float64())), pa.array([inner], pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -232,34 +270,92 @@ def _classified(vocabulary: Vocabulary):
 
 
 class Network:
-    """A gated recurrent network over classes: the class before is the input, the class of the token the output."""
+    """A gated recurrent network over classes: the class before is the input, the class of the token the output.
+
+    Classes lie in groups of ``k``, which is about the root of their number: ``g`` and ``a`` give the group's probability,
+    ``v`` and ``b`` that of a class in its group.
+    """
+
+    NAMES = "xugavb"
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
 
+    @staticmethod
+    def shapes(classes: int, hidden: int = HIDDEN) -> dict[str, tuple[int, ...]]:
+        k = max(1, int(np.ceil(classes ** 0.5)))
+        groups = -(-classes // k)
+        return {"x": (classes, 3 * hidden), "u": (hidden, 3 * hidden), "g": (hidden, groups), "a": (groups,),
+                "v": (groups, k, hidden), "b": (groups, k)}
+
     @staticmethod
     def start(unigram: np.ndarray, hidden: int = HIDDEN, seed: int = 7) -> Network:
-        rng = np.random.default_rng(seed)
-        draw = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-        return Network({"x": draw(CLASSES, 3 * hidden, scale=0.5), "u": draw(hidden, 3 * hidden, scale=hidden ** -0.5),
-                        "v": draw(hidden, CLASSES, scale=0.05), "b": unigram.astype(np.float32)})
+        """Random weights; the biases give the classes' unigram."""
+        rng, shapes = np.random.default_rng(seed), Network.shapes(len(unigram), hidden)
+        groups, k = shapes["b"]
+        own = np.full(groups * k, -1e9)  # places that no class has
+        own[:len(unigram)] = unigram
+        own = own.reshape(groups, k)
+        whole = np.logaddexp.reduce(own, axis=1)
+        draw = lambda name, scale: (rng.standard_normal(shapes[name]) * scale).astype(np.float32)
+        return Network({"x": draw("x", 0.5), "u": draw("u", hidden ** -0.5), "g": draw("g", 0.05), "a": whole.astype(np.float32),
+                        "v": draw("v", 0.05), "b": (own - whole[:, None]).astype(np.float32)})
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.w[k].ravel() for k in "xuvb"])
+        return np.concatenate([self.w[k].ravel() for k in self.NAMES])
 
     @staticmethod
-    def of(flat: np.ndarray, hidden: int = HIDDEN) -> Network:
-        shapes = {"x": (CLASSES, 3 * hidden), "u": (hidden, 3 * hidden), "v": (hidden, CLASSES), "b": (CLASSES,)}
+    def of(flat: np.ndarray, classes: int, hidden: int = HIDDEN) -> Network:
         out, at = {}, 0
-        for k, shape in shapes.items():
+        for name, shape in Network.shapes(classes, hidden).items():
             n = int(np.prod(shape))
-            out[k], at = np.asarray(flat[at:at + n], np.float32).reshape(shape), at + n
+            out[name], at = np.array(flat[at:at + n], np.float32).reshape(shape), at + n
         return Network(out)
 
+    def _output(self, out: np.ndarray, goal: np.ndarray, scale: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, dict]:
+        """Log probabilities of the goals after states ``out``; with ``scale`` also what the loss pulls the states to, and gradients."""
+        g, a, v, b = (self.w[k] for k in "gavb")
+        k, rows = b.shape[1], np.arange(len(out))
+        group, place = goal // k, goal % k
+        p = out @ g
+        p += a
+        p -= p.max(axis=1, keepdims=True)
+        log_p = p[rows, group]
+        np.exp(p, out=p)
+        total = p.sum(axis=1)
+        log_p = log_p - np.log(total)
+        grads, up = {}, None
+        if scale is not None:
+            p *= (scale / total)[:, None]
+            p[rows, group] -= scale
+            grads = {"g": out.T @ p, "a": p.sum(axis=0), "v": np.zeros_like(v), "b": np.zeros_like(b)}
+            up = p @ g.T
+        # Tokens by group, so that each group's classes are worked out for its own tokens alone.
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(len(b) + 1))
+        out, place = out[order], place[order]
+        for n in np.flatnonzero(np.diff(cuts)):
+            some = slice(cuts[n], cuts[n + 1])
+            q = out[some] @ v[n].T
+            q += b[n]
+            q -= q.max(axis=1, keepdims=True)
+            own = np.arange(len(q))
+            chosen = q[own, place[some]]
+            np.exp(q, out=q)
+            total = q.sum(axis=1)
+            log_p[order[some]] += chosen - np.log(total)
+            if scale is not None:
+                weight = scale[order[some]]
+                q *= (weight / total)[:, None]
+                q[own, place[some]] -= weight
+                grads["v"][n], grads["b"][n] = q.T @ out[some], q.sum(axis=0)
+                up[order[some]] += q @ v[n]
+        return log_p, up, grads
+
     def window(self, state: np.ndarray, before: np.ndarray, target: np.ndarray, mask: np.ndarray,
                train: bool = False) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray] | None]:
         """One window of (steps, slots): log probabilities, the state after it, gradients of the mean loss."""
-        x, u, v, b = (self.w[k] for k in "xuvb")
+        x, u = self.w["x"], self.w["u"]
         steps, slots = before.shape
         h = u.shape[0]
         states = np.empty((steps + 1, slots, h), np.float32)
@@ -273,21 +369,13 @@ class Network:
             if train:
                 kept.append((zr, rec[:, 2 * h:], new))
         out = states[1:].reshape(-1, h)
-        p = out @ v
-        p += b
-        p -= p.max(axis=1, keepdims=True)
-        rows, goal = np.arange(len(p)), target.ravel()
-        chosen = p[rows, goal]
-        np.exp(p, out=p)
-        total = p.sum(axis=1)
-        log_p = (chosen - np.log(total)).reshape(steps, slots)
+        scale = mask.ravel().astype(np.float32) / max(1, int(mask.sum())) if train else None
+        log_p, up, grads = self._output(out, target.ravel(), scale)
+        log_p = log_p.reshape(steps, slots)
         if not train:
             return log_p, states[-1], None
-        scale = mask.ravel().astype(np.float32) / max(1, int(mask.sum()))
-        p *= (scale / total)[:, None]
-        p[rows, goal] -= scale
-        grads = {"v": out.T @ p, "b": p.sum(axis=0), "u": np.zeros_like(u)}
-        up = (p @ v.T).reshape(steps, slots, h)
+        grads["u"] = np.zeros_like(u)
+        up = up.reshape(steps, slots, h)
         gates = np.empty((steps, slots, 3 * h), np.float32)
         down = np.zeros((slots, h), np.float32)
         for t in range(steps - 1, -1, -1):
@@ -311,10 +399,10 @@ class Network:
         return log_p, states[-1], grads
 
 
-def _windows(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, slots: int):
+def _windows(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, slots: int, end: int):
     """Windows over many documents side by side: (slots' documents, before, target, mask, which start anew).
 
-    Long documents first; a slot whose document has ended takes the next one.
+    Long documents first; a slot whose document has ended takes the next one.  Before a document stands ``end``.
     """
     queue = np.argsort(-lengths, kind="stable")
     width = min(slots, len(queue))
@@ -327,7 +415,7 @@ def _windows(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, slots
         place = np.where(mask, starts[doc] + at + span[:, None], 0)
         target = classes[place]
         before = classes[np.maximum(place - 1, 0)]
-        before[0, at == 0] = END
+        before[0, at == 0] = end
         yield doc, before, target, mask, fresh
         at = at + STEPS
         over = np.flatnonzero(at >= lengths[doc])
@@ -344,7 +432,7 @@ def _windows(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, slots
 
 
 def _chunk(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    classes = np.frombuffer(batch.column("classes")[row].as_buffer(), np.uint8)
+    classes = np.frombuffer(batch.column("classes")[row].as_buffer(), "<i4")
     lengths = batch.column("lengths")[row].values.to_numpy().astype(np.int64) + 1
     return classes, np.cumsum(lengths) - lengths, lengths, np.array(batch.column("held")[row].as_py(), bool)
 
@@ -359,7 +447,7 @@ def train_chunk(network: Network, classes: np.ndarray, starts: np.ndarray, lengt
     own = Network(w)
     first, second, step = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}, 0
     state, slots, seen, total = None, int(np.clip(len(lengths) // 8, 16, TRAINED)), 0, int(lengths.sum())
-    for doc, before, target, mask, fresh in _windows(classes, starts, lengths, slots):
+    for doc, before, target, mask, fresh in _windows(classes, starts, lengths, slots, len(w["x"]) - 1):
         if doc is None:
             state = state[before]
             continue
@@ -380,7 +468,7 @@ def train_chunk(network: Network, classes: np.ndarray, starts: np.ndarray, lengt
 def score_chunk(network: Network, classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probability of the classes of every document."""
     scores, state = np.zeros(len(lengths)), None
-    for doc, before, target, mask, fresh in _windows(classes, starts, lengths, SCORED):
+    for doc, before, target, mask, fresh in _windows(classes, starts, lengths, SCORED, len(network.w["x"]) - 1):
         if doc is None:
             state = state[before]
             continue
@@ -390,43 +478,55 @@ def score_chunk(network: Network, classes: np.ndarray, starts: np.ndarray, lengt
     return scores
 
 
-def _trained(start: np.ndarray):
+def _trained(start: np.ndarray, classes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                classes, starts, lengths, held = _chunk(batch, row)
+                own, starts, lengths, held = _chunk(batch, row)
                 n = int(lengths[~held].sum())
                 if n:
-                    own = train_chunk(Network.of(start), classes, starts[~held], lengths[~held])
-                    yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array(
-                        [own.flat().astype(np.float64)], pa.list_(pa.float64()))], ["n", "weights"])
+                    flat = train_chunk(Network.of(start, classes), own, starts[~held], lengths[~held]).flat().astype("<f4")
+                    cuts = range(0, len(flat), SLICE)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(range(len(cuts))), pa.int32()), pa.array([n] * len(cuts), pa.int64()),
+                         pa.array([flat[at:at + SLICE].tobytes() for at in cuts], pa.binary())], ["slice", "n", "weights"])
 
     return run
 
 
+def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The average of each slice over all chunks, by their tokens."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for at, n, weights in zip(batch.column("slice").to_pylist(), batch.column("n").to_pylist(), batch.column("weights"), strict=True):
+            own = n * np.frombuffer(weights.as_buffer(), "<f4").astype(np.float64)
+            have = sums.setdefault(at, [0, 0.0])
+            sums[at] = [have[0] + n, have[1] + own]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int32()), pa.array([(w / n).astype("<f4").tobytes() for n, w in sums.values()], pa.binary())],
+        ["slice", "weights"])
+
+
 def train(chunks: DataFrame, vocabulary: Vocabulary) -> Network:
-    """The average of the chunks' networks; Spark sums the weights, the driver gets one network."""
+    """The average of the chunks' networks; tasks average slices of the weights, the driver gets one network."""
     start = Network.start(vocabulary.unigram())
-    each = chunks.mapInArrow(_trained(start.flat()), "n long, weights array<double>")
-    sums = each.select("n", F.posexplode("weights").alias("i", "w")).groupBy("i").agg(
-        (F.sum(F.col("n") * F.col("w")) / F.sum("n")).alias("w")).collect()
-    if not sums:
+    each = chunks.mapInArrow(_trained(start.flat(), vocabulary.size), "slice int, n long, weights binary")
+    slices = each.repartition(wide(chunks.sparkSession), "slice").mapInArrow(_averaged, "slice int, weights binary").collect()
+    if not slices:
         return start
-    flat = np.zeros(len(sums))
-    for r in sums:
-        flat[r["i"]] = r["w"]
-    return Network.of(flat)
+    slices.sort(key=lambda r: r["slice"])
+    return Network.of(np.concatenate([np.frombuffer(r["weights"], "<f4") for r in slices]), vocabulary.size)
 
 
-def _scored(weights: np.ndarray, tokens: int):
+def _scored(weights: np.ndarray, classes: int, tokens: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network.of(weights)
+        network = Network.of(weights, classes)
         for batch in batches:
             for row in range(batch.num_rows):
-                classes, starts, lengths, held = _chunk(batch, row)
-                scores = score_chunk(network, classes, starts, lengths)
+                own, starts, lengths, held = _chunk(batch, row)
+                scores = score_chunk(network, own, starts, lengths)
                 within = batch.column("within")[row].values.to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_ids")[row].values, pa.array(held), pa.array(lengths),
@@ -452,15 +552,15 @@ def score_documents(docs: DataFrame, held: Column | None = None, id_column: str
     table = spark.read.schema(CHUNK + ", kind string").parquet(path)
     chunks, entries = table.where("kind = 'docs'"), table.where("kind = 'words'").select("chunk", "bucket", "entries")
     merged = stored(entries.repartition(buckets, "bucket").mapInArrow(
-        _merged, "chunk string, bucket int, counts binary, code array<bigint>, types array<bigint>"), "merged")
+        _merged, "chunk string, bucket int, counts binary"), "merged")
     documents = chunks.select(F.size(F.filter("held", lambda x: ~x)).alias("n")).agg(F.sum("n")).first()[0] or 0
     known = vocabulary(merged, documents)
     found = merged.where(F.col("chunk").isNotNull()).groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "counts")).alias("found"))
-    classified = stored(chunks.select("chunk", "doc_ids", "held", "lengths", "words", "places", "forms").join(
+    classified = stored(chunks.select("chunk", "doc_ids", "held", "lengths", "words", "places").join(
         found, "chunk", "left").mapInArrow(_classified(known), CLASSIFIED), "classes")
     drop_stored(merged)
     network = train(classified, known)
     return classified.mapInArrow(
-        _scored(network.flat(), known.tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, "
+        _scored(network.flat(), known.size, known.tokens), "doc_id long, held_out boolean, n_tokens long, n_known long, "
         "train_tokens long, base_score double, score double")

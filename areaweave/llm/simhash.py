@@ -60,16 +60,17 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and fingerprint (a signed 64-bit number) of every row."""
+    """doc_id, digest of the text and fingerprint (a signed 64-bit number) of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(shingle_hashes(t.as_py(), shingle)) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())],
-                                             ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(found, pa.int64())],
+                                             ["doc_id", "digest", "fingerprint"])
 
-    rows = pick(docs, doc_id=id_column, text=text_column)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fingerprint long")
+    rows = pick(docs, doc_id=id_column, text=text_column).withColumn("digest", F.xxhash64("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, digest long, fingerprint long")
 
 
 def covering_masks(free: list[int], radius: int) -> list[int]:
@@ -161,15 +162,20 @@ def _links(radius: int):
     return run
 
 
-def links(nodes: DataFrame, radius: int) -> DataFrame:
-    """Edges (a, b) that connect whatever fingerprints in the column ``node`` reach each other."""
+def links(nodes: DataFrame, radius: int, used: list[DataFrame] | None = None) -> DataFrame:
+    """Edges (a, b) that connect whatever fingerprints in the column ``node`` reach each other.
+
+    Tables that the edges are read from are added to ``used``, to be dropped once the edges are stored.
+    """
     spark = nodes.sparkSession
+    used = [] if used is None else used
     rows = nodes.select(F.lit(0).cast("bigint").alias("kept"), F.lit(0).cast("bigint").alias("bucket"), "node")
     edges = None
     while True:
         rows = stored(rows.mapInArrow(_tables(radius), "kept long, bucket long, node long"), "tables")
         full = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)
         full = stored(full, "full")
+        used += [rows, full]
         small = rows.join(full, "bucket", "left_anti") if full.head(1) else rows
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 2_000_000)
         found = small.repartition(parts, "bucket").mapInArrow(_links(radius), "a long, b long")
@@ -184,6 +190,17 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
         rows = rows.where(~tight)
 
 
+def _rooted(own: DataFrame, radius: int) -> DataFrame:
+    """fingerprint and root (the least fingerprint that it reaches by links) of all fingerprints in ``own``."""
+    nodes, used = own.select(F.col("fingerprint").alias("node")).distinct(), []
+    edges = stored(links(nodes, radius, used), "links")
+    for frame in used:
+        drop_stored(frame)
+    roots = components(edges)
+    drop_stored(edges)
+    return nodes.join(roots, "node", "left").select(F.col("node").alias("fingerprint"), F.coalesce("root", "node").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """doc_id, fingerprint and component_id (the least id reachable by links) of every row.
@@ -192,14 +209,35 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, id_colum
     it reaches another.
     """
     own = stored(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
-    nodes = own.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select("node"), radius))
-    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    rooted = nodes.join(_rooted(own, radius), "fingerprint")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = rooted.join(least, "root").select(F.col("node").alias("fingerprint"), "component_id")
+    member = rooted.join(least, "root").select("fingerprint", "component_id")
     return own.join(member, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def first_of_each(docs: DataFrame, radius: int = 4, shingle: int = 4, id_column: str = "doc_id",
+                  text_column: str = "text") -> DataFrame:
+    """The row with the least id of each component of ``near_duplicates``, with all its columns.
+
+    Rows without an id come after all others; of different texts under the least id the one with the least digest stays,
+    and of rows that repeat both, one.
+    """
+    own = stored(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
+    rows = own.groupBy("fingerprint", "doc_id", "digest").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "n")
+    first = rows.groupBy("fingerprint").agg(F.min(place).alias("first"))
+    kept = first.join(_rooted(own, radius), "fingerprint").groupBy("root").agg(F.min("first").alias("k")).select(
+        F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest"), F.col("k.n").alias("_n"))
+    # One id and text may be the first of one component only, since equal texts have equal fingerprints.
+    kept = stored(kept, "kept")
+    drop_stored(own)
+    same = docs[f"`{id_column}`"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[f"`{text_column}`"]) == F.col("_digest"))
+    out = docs.join(kept, same)
+    single = out.where("_n = 1").select(*docs.columns)
+    return single.union(out.where("_n > 1").dropDuplicates(["_id", "_digest"]).select(*docs.columns))
+
+
 #: Least values under random orders of the shingles: so many bands of so many.
 BANDS, ROWS = 16, 5
 
@@ -418,7 +456,8 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     signed = stored(texts.mapInArrow(_signatures(shingle), "node long, fingerprint long, bands array<bigint>")
                     .dropDuplicates(["node"]), "signatures")
     prints = signed.groupBy("fingerprint").agg(F.min("node").alias("node"))
-    near = links(prints.select(F.col("fingerprint").alias("node")), radius)
+    used: list[DataFrame] = []
+    near = links(prints.select(F.col("fingerprint").alias("node")), radius, used)
     by_print = prints.select("fingerprint", "node")
     pairs = near.join(by_print.toDF("a", "x"), "a").join(by_print.toDF("b", "y"), "b").select(
         F.col("x").alias("a"), F.col("y").alias("b"))
@@ -430,6 +469,8 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     pairs = pairs.union(banded.repartitionByRange(parts, "band", "key", "node").sortWithinPartitions("band", "key", "node")
                         .select(F.col("band").cast("int").alias("band"), "key", "node").mapInArrow(_neighbours, "a long, b long"))
     pairs = stored(pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    for frame in (*used, signed):
+        drop_stored(frame)
 
     def checked(pairs: DataFrame) -> DataFrame:
         once = texts.join(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "node",
@@ -438,6 +479,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
         return told.mapInArrow(_similar(shingle, similar), "a long, b long")
 
     groups = components(checked(pairs))
+    drop_stored(pairs)
     missed = _missed(texts, groups, shingle, similar)
     if missed.head(1):
         groups = components(checked(missed).union(groups))
@@ -450,6 +492,6 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similar: float = 0.8, radius:
     single = out.where("_n = 1").select(*docs.columns)
     # Of rows that repeat id and text one stays.
     many = out.where("_n > 1").dropDuplicates(["_node"]).select(*docs.columns)
-    for frame in (firsts, texts, signed, pairs, missed):
+    for frame in (firsts, texts, missed):
         drop_stored(frame)
     return single.union(many)

@@ -211,9 +211,9 @@ def shingles(text, n=5):
     return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
 
 
-def test_stage_keeps_one_of_each_near_copy(spark, sf):
+def test_similar_texts_leave_one_of_each(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
+    kept = {r.doc_id for r in simhash.one_of_each(docs, 5, 0.8).collect()}
     rows = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
     root = {i: i for i, _ in rows}
 
@@ -231,7 +231,7 @@ def test_stage_keeps_one_of_each_near_copy(spark, sf):
 
 
 @pytest.mark.parametrize("few, many", [(simhash.FEW, simhash.MANY), (3, 7)])
-def test_stage_links_copies_that_are_only_like_their_base(spark, sf, monkeypatch, few, many):
+def test_copies_that_are_only_like_their_base_are_linked(spark, sf, monkeypatch, few, many):
     monkeypatch.setattr(simhash, "FEW", few)
     monkeypatch.setattr(simhash, "MANY", many)
     rng = random.Random(8)
@@ -251,7 +251,34 @@ def test_stage_links_copies_that_are_only_like_their_base(spark, sf, monkeypatch
     assert min(like) >= 0.8
     frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
         "doc_id", "text", "'en' lang", "'x' source", "length(text) n_chars")
-    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, sf).collect()} == expected
+    assert {r.doc_id for r in simhash.one_of_each(frame, 5, 0.8).collect()} == expected
+
+
+def test_stage_keeps_the_first_of_each_component(spark, sf):
+    """The stage against fingerprints compared pair by pair, with rows that repeat an id or a text."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    first = docs.orderBy("doc_id").first()
+    more = [(first.doc_id, first.text, "x", "s", 1), (first.doc_id, "another text under this id", "x", "s", 1), (None, first.text, "x", "s", 1),
+            (None, None, "x", "s", 1), (None, "", "x", "s", 1), (None, "words of their own here", "x", "s", 1)]
+    docs = docs.union(spark.createDataFrame(more, docs.schema))
+    rows = [(r.doc_id, simhash.fingerprint(simhash.shingle_hashes(r.text, 4))) for r in docs.collect()]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for n, (_, a) in enumerate(rows):
+        for m, (_, b) in enumerate(rows[:n]):
+            if ((a ^ b) & (2 ** 64 - 1)).bit_count() <= 4:
+                root[find(n)] = find(m)
+    groups = {}
+    for n, (i, _) in enumerate(rows):
+        groups.setdefault(find(n), []).append((i is None, i or 0, i))
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert kept.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(min(g)[2]) for g in groups.values())
 
 
 # Packing
@@ -419,15 +446,17 @@ def test_scores_against_brute_force(spark, sf):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
-def test_gradients_and_normalisation():
+@pytest.mark.parametrize("classes", [1, 2, 7, 40])
+def test_gradients_and_normalisation(classes):
     rng = np.random.default_rng(0)
-    network = language_model.Network.start(np.log(np.full(language_model.CLASSES, 1 / language_model.CLASSES)))
+    unigram = rng.standard_normal(classes)
+    network = language_model.Network.start(unigram - np.logaddexp.reduce(unigram))
     network.w = {k: a.astype(np.float64) for k, a in network.w.items()}
-    before, target = (rng.integers(0, language_model.CLASSES, (4, 3)) for _ in range(2))
+    before, target = (rng.integers(0, classes, (4, 3)) for _ in range(2))
     mask, state = np.ones((4, 3), bool), rng.standard_normal((3, language_model.HIDDEN)).astype(np.float32)
     _, _, grads = network.window(state, before, target, mask, train=True)
     loss = lambda: -float(network.window(state, before, target, mask)[0].astype(np.float64).mean())
-    for name in "xuvb":
+    for name in network.NAMES:
         place = np.unravel_index(np.abs(grads[name]).argmax(), grads[name].shape)
         old, step = network.w[name][place], 1e-2
         network.w[name][place] = old + step
@@ -435,11 +464,70 @@ def test_gradients_and_normalisation():
         network.w[name][place] = old - step
         down = loss()
         network.w[name][place] = old
-        assert (up - down) / (2 * step) == pytest.approx(float(grads[name][place]), rel=0.05)
-    total = sum(np.exp(network.window(state, before[:1], np.full((1, 3), c), mask[:1])[0]) for c in range(language_model.CLASSES))
+        assert (up - down) / (2 * step) == pytest.approx(float(grads[name][place]), rel=0.05, abs=1e-6)
+    total = sum(np.exp(network.window(state, before[:1], np.full((1, 3), c), mask[:1])[0]) for c in range(classes))
     assert total == pytest.approx(np.ones((1, 3)), rel=1e-3)
 
 
+def test_classes_grow_with_the_vocabulary_and_probabilities_add_up():
+    rng = random.Random(9)
+    sizes = []
+    for words in (30, 900, 30_000):
+        counts = Counter(max(1, int(words / (i + 1) ** 1.1)) for i in range(words))
+        own = language_model.Vocabulary(np.array(sorted(counts)), np.array([counts[c] for c in sorted(counts)]), 17)
+        entries = np.array([(c, rng.randrange(1 << 16)) for c, n in counts.items() for _ in range(n)], language_model.COUNTED)
+        classes = own.classes(entries["count"], entries["part"])
+        own.types, own.mass = np.bincount(classes, minlength=own.size), np.bincount(
+            classes, weights=entries["count"], minlength=own.size).astype(np.int64)
+        assert classes.max() < own.end == own.size - 1 and own.types.sum() == words
+        share = np.exp(own.within(entries["count"], classes))
+        sums = np.bincount(classes, weights=share, minlength=own.size)
+        rare = np.arange(own.size) >= own.first[0]
+        sums[rare] += 1 / (own.types[rare] + 1.0)  # the place of words never seen
+        assert sums[:-1][own.types[:-1] > 0] == pytest.approx(1)
+        # No class but that of one frequent word has much more than an equal share.
+        fair = (own.tokens - 17) / round(own.distinct ** 0.5)
+        assert all(m <= 2.5 * fair or t == 1 or counts[int(m // t)] for m, t in zip(own.mass, own.types))
+        sizes.append(own.size)
+    assert sizes[0] >= 4 and sizes[1] > 3 * sizes[0] / 2 and sizes[2] > 3 * sizes[1]
+
+
+def test_scores_are_those_of_one_document_after_the_other(spark):
+    """The score by windows side by side against plain steps, word by word, with the same weights."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(rng.choice([0, 1, 15, 16, 17, 90])))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = {}
+    plain_train = language_model.train
+
+    def train(chunks, known):
+        kept["network"], kept["known"] = plain_train(chunks, known), known
+        return kept["network"]
+
+    language_model.train = train
+    try:
+        got = {r.doc_id: r.score for r in language_model.score_documents(docs).collect()}
+    finally:
+        language_model.train = plain_train
+    network, known = kept["network"], kept["known"]
+    counts = Counter(w for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2 for w in t.split())
+    from xxhash import xxh3_128_digest
+    h = language_model.HIDDEN
+    for doc, text in rows:
+        state, before, score = np.zeros((1, h), np.float32), known.end, 0.0
+        for word in [*text.split(), None]:
+            if word is None:
+                own, within = known.end, 0.0
+            else:
+                part = np.frombuffer(xxh3_128_digest(word.encode()), "<u8")[0] >> np.uint64(48)
+                count = np.array([counts[word]])
+                own = known.classes(count, np.array([part]))[0]
+                within = known.within(count, np.array([own]))[0]
+            log_p, state, _ = network.window(state, np.array([[before]]), np.array([[own]]), np.ones((1, 1), bool))
+            score, before = score + float(log_p[0, 0]) + within, own
+        assert got[doc] == pytest.approx(score / math.log(10), rel=1e-4, abs=1e-4)
+
+
 # Pipeline
 
 
