@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -41,9 +42,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordIds:
     """Ids of texts, as bytes, from remembered ids of their words.
 
-    White space ends every token of the tokenizer, so a text's ids are those of its words in turn.
-    A full stop or comma after a letter is a token of its own, and ASCII letters are lowered by
-    the tokenizer anyway, so forms that differ in these share an entry.
+    Where white space ends every token, which is tried out on the file at hand, a text's ids are those of its
+    words in turn; texts pass any other tokenizer whole.  Where a full stop or comma after a letter is a token of
+    its own and ASCII letters are lowered anyway, which is tried out too, forms that differ in these share an entry.
     """
 
     def __init__(self, path: str):
@@ -51,6 +52,13 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        one, ids = "Aword bz, 17", lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        ended = getattr(self.tokenizer.model, "end_of_word_suffix", None) == "</w>"
+        spaces = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000"]
+        self.by_word = ended and all(ids(f"{s}{one}{s}{one}{s}") == 2 * ids(one) for s in spaces) and ids(one) == sum(
+            (ids(w) for w in one.split()), [])
+        self.lowers = all(ids(c) == ids(c.lower()) for c in string.ascii_uppercase)
+        self.tails = all(ids(f"word{c}") == ids("word") + ids(c) for c in ",.")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
@@ -85,9 +93,9 @@ class WordIds:
             if (found := self.older.get(word)) is not None:
                 self.words[word] = found
                 continue
-            tail = word[-1] if word[-1] in ".," and len(word) > 1 and word[-2].isalpha() else ""
+            tail = word[-1] if self.tails and word[-1] in ".," and len(word) > 1 and word[-2].isalpha() else ""
             base = word[:-1] if tail else word
-            base = base.lower() if base.isascii() else base
+            base = base.lower() if self.lowers and base.isascii() else base
             need.add(base)
             parts.append((word, base, tail))
         for base in list(need):
@@ -98,7 +106,7 @@ class WordIds:
             self.words[word] = self.words[base] + (self.words[tail] if tail else b"")
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [None if _SEPARATORS.search(text) else text.split() for text in texts]
+        split = [None if not self.by_word or _SEPARATORS.search(text) else text.split() for text in texts]
         new = set().union(*[words for words in split if words]).difference(self.words)
         if len(self.words) + len(new) > 2 * REMEMBERED:
             self.words, self.older = {}, self.words
@@ -204,8 +212,10 @@ def reduce_instance(counts: dict[int, int], capacity: int) -> tuple[list[tuple[t
             members = (j, *chosen)
             need = {s: members.count(s) for s in members}
             times = min(left[s] // n for s, n in need.items())
-            if len(chosen) == 2:  # whether it dominates depends on what is left: once at a time
-                times = min(times, 1)
+            if len(chosen) == 2:
+                # Whether it dominates depends on which lengths are left, and on whether there are two or three of one:
+                # as long as four of each stay, the same set comes out again.
+                times = max(1, min((left[s] - 4) // n for s, n in need.items()))
             fixed.append((members, times))
             for s, n in need.items():
                 drop(s, n * times)
