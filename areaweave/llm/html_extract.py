@@ -1,12 +1,16 @@
 """Main text of web pages, with site templates removed.
 
-A page becomes a tree once, in the task that reads it.  Elements that are boilerplate by their tag,
-role, class or id go at once: menus, headers and footers of the site, sidebars, notices, adverts,
-forms, scripts, styles and reader comments.  Of the rest, every subtree that could belong to the
-site's template is hashed; Spark counts the hashes per host over different texts beside them, and
-subtrees that recur beside many are deleted.  Copies of one article count once, paragraphs and
-headings of an article element are never template, and neither is elsewhere what holds over half of
-the text, so an article that a host repeats stays.
+A page becomes a tree once, in the task that reads it.  What is no text, such as scripts and styles, is left
+out.  Every subtree that could belong to the site's template is hashed, menus, headers and footers
+among them; Spark counts the hashes per host over different texts beside them, and subtrees that
+recur beside many are deleted.  Copies of one article count once, paragraphs and headings of an
+article element are never template, and neither is elsewhere what holds over half of the text, so
+an article that a host repeats stays.
+
+Menus, sidebars, notices, adverts, forms, comments and the like need not recur.  What the counts leave of
+them goes by its tag, role, class or id, which is a weaker sign: it says nothing where it only tells of a
+state ("has-sidebar") or names a section of an article, and an element that holds the article, the main element
+or, without being a list of links, most of the text stays whatever it is called.  Comments stay comments.
 
 Of what is left, the text is that of the article element (the longest, if there are several), else
 of the main element, else of the body without blocks that are mostly links.  Character references are decoded,
@@ -27,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import pick, stored
+from areaweave.llm.common import drop_stored, pick, stored
 
 #: A subtree is template where it stands under so many different articles of a host, and so large a share of them.
 LEAST_ARTICLES = 5
@@ -37,17 +41,23 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
-#: Never part of the main text.
-DROPPED = frozenset("head nav footer aside form menu dialog button select option template svg canvas object "
-                    "audio video map fieldset script style textarea title noscript iframe noembed noframes".split())
+#: Elements that hold no text of the page.
+DROPPED = frozenset("head button select option template svg canvas object audio video map script style textarea title "
+                    "noscript iframe noembed noframes".split())
+#: Elements beside the main text; with a main element in them, they are not.
+BESIDE = frozenset("nav footer aside menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
-#: Words of a class or id that mark boilerplate.
+#: Words of a class or id that mark boilerplate, those that mark readers' comments, and those by which it tells of a state.
 MARKS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs header masthead topbar banner footer colophon sidebar "
     "aside widget widgets notice notices cookie cookies consent gdpr alert alerts ad ads advert adverts advertisement "
-    "advertising sponsor sponsored sponsors promo promotion promoted comment comments commentlist disqus respond reply "
-    "replies discussion share sharing social related recommended recommendations newsletter subscribe subscription "
-    "signup login popup modal overlay pagination pager toolbar skip copyright legal disclaimer".split())
+    "advertising sponsor sponsored sponsors promo promotion promoted discussion share sharing social related recommended "
+    "recommendations newsletter subscribe subscription signup login popup modal overlay pagination pager toolbar skip "
+    "copyright legal disclaimer".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+STATES = frozenset("has have with no not without is open closed enabled disabled on off".split())
+#: Elements whose id names a section of an article.
+SECTIONS = frozenset("section h1 h2 h3 h4 h5 h6 p dl dt".split())
 CLOSED_BY = {  # an open element that a start tag ends
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th"}}
@@ -57,29 +67,76 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+#: Why an element may be boilerplate: not at all, by its class, by its tag, as a comment.
+PLAIN, MARKED, ASIDE, COMMENT = range(4)
+
+
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "role")
+    __slots__ = ("tag", "parent", "children", "dropped", "role", "kind")
+
+    def __init__(self, tag: str, parent: Element | None, kind: int = PLAIN, role: str = ""):
+        self.tag, self.parent, self.children, self.role, self.kind = tag, parent, [], role, kind
+        self.dropped = tag in DROPPED
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool = False, role: str = ""):
-        self.tag, self.parent, self.children, self.dropped, self.role = tag, parent, [], dropped, role
 
+def _marked(value: str) -> int:
+    """What a class or id says: names of several words say nothing if they tell of a state."""
+    kind = PLAIN
+    for name in value.split():
+        words = SPLIT.split(name)
+        if STATES.isdisjoint(words):
+            if not COMMENTS.isdisjoint(words):
+                return COMMENT
+            if not MARKS.isdisjoint(words):
+                kind = MARKED
+    return kind
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
-    """Whether an element is boilerplate, and its role; ``inside`` an article, a header is the article's own."""
-    if tag in DROPPED or (tag == "header" and not inside):
-        return True, ""
-    role = ""
+
+def _boilerplate(tag: str, attributes: str, inside: bool) -> tuple[int, str]:
+    """Why an element may be boilerplate, and its role; ``inside`` an article, a header is the article's own."""
+    kind, role = ASIDE if tag in BESIDE else MARKED if tag in ("form", "fieldset") or (tag == "header" and not inside) else PLAIN, ""
     if attributes and "=" in attributes:
         for name, a, b, c in ATTRIBUTE.findall(attributes):
-            value = (a or b or c).lower()
-            if name.lower() == "role":
+            value, name = (a or b or c).lower(), name.lower()
+            if name == "role":
                 role = value
-                if value in ROLES:
-                    return True, role
-            elif tag not in ("html", "body", "article", "main") or "comment" in value:
-                if not MARKS.isdisjoint(SPLIT.split(value)):
-                    return True, role
-    return False, role
+                kind = max(kind, MARKED if value in ROLES else PLAIN)
+                continue
+            found = _marked(value)
+            if tag in ("html", "body", "main") or (tag == "article" and found != COMMENT):
+                continue
+            if found == MARKED and name == "id" and inside and tag in SECTIONS:
+                continue
+            kind = max(kind, found)
+    return kind, role
+
+
+def _judge(root: Element) -> None:
+    """Elements that hold the article, the main element or most of the text are not boilerplate, whatever they are called."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if not isinstance(c, str) and not c.dropped]
+    # Characters, those in links, and whether there is an article or a main element.
+    sums: dict[int, list] = {}
+    for node in reversed(order):
+        own = [0, 0, node.tag == "article" and node.kind != COMMENT, node.tag == "main" or node.role == "main"]
+        for c in node.children:
+            if isinstance(c, str):
+                own[0] += len(c.strip())
+            elif not c.dropped:
+                own = [x + y for x, y in zip(own, sums[id(c)])]
+        if node.tag == "a":
+            own[1] = own[0]
+        sums[id(node)] = own
+    total = sums[id(root)][0]
+    for node in order:
+        size, linked, articles, mains = sums[id(node)]
+        inner = mains - (node.tag == "main" or node.role == "main")
+        most = 2 * size > total and 2 * linked <= size
+        if (node.kind == MARKED and (articles or inner or most)) or (node.kind == ASIDE and inner):
+            node.kind = PLAIN
 
 
 def parse(page: str) -> Element:
@@ -123,8 +180,8 @@ def parse(page: str) -> Element:
         inside, node = False, here
         while node is not root and not inside:
             inside, node = node.tag == "article", node.parent
-        dropped, role = _boilerplate(tag, match[3] or "", inside)
-        element = Element(tag, here, dropped, role)
+        kind, role = _boilerplate(tag, match[3] or "", inside)
+        element = Element(tag, here, kind, role)
         here.children.append(element)
         if tag in RAW:
             close = re.compile(f"</{tag}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
@@ -143,7 +200,8 @@ def _digest(text: str) -> int:
 def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
     """Blocks of text, each with the hashes of the subtrees around it; what ``beside`` tells of them."""
     root = parse(page or "")
-    blocks: list[list] = []  # text, characters in links, containers, article, main, whether in a body
+    _judge(root)
+    blocks: list[list] = []  # text, characters in links, containers, article, main, body, whether in boilerplate
     parts: list[str] = []
     linked = 0
     open_: list[int] = []  # numbers of containers
@@ -151,6 +209,7 @@ def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
     tags: list[str] = []
     numbers = [0, 0, 0]  # articles, mains and bodies so far
     place = (-1, -1, -1)
+    depth = 0  # of elements that may be boilerplate
 
     def close() -> None:
         nonlocal parts, linked
@@ -158,7 +217,7 @@ def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
         if text:
             for c in open_:
                 members[c].append(len(blocks))
-            blocks.append([text, linked, list(open_), *place])
+            blocks.append([text, linked, list(open_), *place, depth > 0])
         parts, linked = [], 0
 
     stack: list = [("in", root, False)]
@@ -169,7 +228,7 @@ def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
             linked += len(node.strip()) if link else 0
         elif what == "out":
             close()
-            candidate, place = node
+            candidate, place, depth = node
             if candidate:
                 open_.pop()
         else:
@@ -178,10 +237,12 @@ def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
             outer = scope is not None and place[scope] < 0
             # Paragraphs and headings of an article are its text; any other block may be template.
             candidate = node.tag not in INLINE and not outer and node.tag not in ("#root", "html", "br") and (
-                place[0] < 0 or node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
+                place[0] < 0 or depth > 0 or node.kind > PLAIN
+                or node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
             if node.tag not in INLINE or outer:
                 close()
-                stack.append(("out", (candidate, place), False))
+                stack.append(("out", (candidate, place, depth), False))
+            depth += node.kind > PLAIN
             if outer:
                 place = (*place[:scope], numbers[scope], *place[scope + 1:])
                 numbers[scope] += 1
@@ -193,24 +254,23 @@ def extract(page: str | None) -> tuple[list[dict], list[dict], int]:
             for c in reversed(node.children):
                 if isinstance(c, str):
                     stack.append(("text", c, link))
-                elif not c.dropped:
+                elif not c.dropped and not (c.kind and c.tag in INLINE):
                     stack.append(("in", c, link))
     close()
     hashes = [_digest(tag + "\0" + "\0".join(blocks[i][0] for i in held)) for tag, held in zip(tags, members, strict=True)]
     found = [{"text": b[0], "linked": b[1], "around": sorted({hashes[c] for c in b[2]}), "article": b[3], "main": b[4],
-              "body": b[5]} for b in blocks]
-    # An article with text of its own is not left, whatever goes.
-    if any(not b["around"] and b["article"] >= 0 for b in found):
-        found = [b for b in found if b["article"] >= 0]
+              "body": b[5], "aside": b[6]} for b in blocks]
     return found, *beside(found)
 
 
 def beside(blocks: list[dict]) -> tuple[list[dict], int]:
     """Subtrees that may be template, each with a digest of the longest text outside it; the article's digest."""
-    own = any(not b["around"] and b["article"] >= 0 for b in blocks)
-    mains = {i for i, b in enumerate(blocks) if b["main"] >= 0} or set(range(len(blocks)))
-    rank = sorted(range(len(blocks)), reverse=True,
-                  key=lambda i: (not blocks[i]["around"], blocks[i]["main"] >= 0, len(blocks[i]["text"])))
+    inner = [b for b in blocks if not b["aside"]]
+    own = any(not b["around"] and b["article"] >= 0 for b in inner)
+    mains = ({i for i, b in enumerate(blocks) if b["main"] >= 0 and not b["aside"]}
+             or {i for i, b in enumerate(blocks) if not b["aside"]})
+    rank = sorted(range(len(blocks)), reverse=True, key=lambda i: (
+        not blocks[i]["aside"], not blocks[i]["around"], blocks[i]["main"] >= 0, len(blocks[i]["text"])))
     total = sum(len(blocks[i]["text"]) for i in mains)
     members: dict[int, set[int]] = {}
     for i, b in enumerate(blocks):
@@ -227,6 +287,7 @@ def beside(blocks: list[dict]) -> tuple[list[dict], int]:
 
 def main_text(blocks: list[dict]) -> str:
     """Text of the longest article, else of the longest main element, else of the body without blocks that are mostly links."""
+    blocks = [b for b in blocks if not b["aside"]]
     for scope in ("article", "main"):
         texts: dict[int, list[str]] = {}
         for b in blocks:
@@ -239,7 +300,7 @@ def main_text(blocks: list[dict]) -> str:
 
 
 BLOCK = pa.struct([("text", pa.string()), ("linked", pa.int64()), ("around", pa.list_(pa.int64())), ("article", pa.int64()),
-                   ("main", pa.int64()), ("body", pa.int64())])
+                   ("main", pa.int64()), ("body", pa.int64()), ("aside", pa.bool_())])
 SUBTREE = pa.struct([("hash", pa.int64()), ("context", pa.int64())])
 
 
@@ -280,10 +341,14 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
                   least_articles: int = LEAST_ARTICLES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """page_id, url, text of every row."""
+    """page_id, url, text of every row.
+
+    Counts go round by round: what is deleted no longer stands beside the rest, and no longer counts as it.
+    """
     rows = pick(pages, page_id=id_column, url=url_column, html=html_column)
     kind = rows.schema["page_id"].dataType.simpleString()
-    lists = ("blocks array<struct<text string, linked long, around array<bigint>, article long, main long, body long>>, "
+    lists = ("blocks array<struct<text string, linked long, around array<bigint>, article long, main long, body long, "
+             "aside boolean>>, "
              "subtrees array<struct<hash long, context long>>")
     parsed = stored(rows.mapInArrow(
         _parsed, f"page_id {kind}, url string, identity long, text string, {lists}"), "pages")
@@ -299,10 +364,14 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
         often = often.where((F.col("n") >= least_articles) & (F.col("n") >= least_share * F.col("articles")))
         often = stored(often.select("host", "hash"), "often")
         if not often.head(1):
+            drop_stored(often)
             break
         deleted = left.select("row", "host", F.explode("subtrees.hash").alias("hash")).distinct()
         deleted = deleted.join(often, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("gone"))
-        left = stored(left.join(deleted, "row", "left").select("row", "host", "page_id", "url", "blocks", "gone").mapInArrow(
+        after = stored(left.join(deleted, "row", "left").select("row", "host", "page_id", "url", "blocks", "gone").mapInArrow(
             _without, f"row long, host string, page_id {kind}, url string, {lists}"), "left")
+        for frame in (often, *([left] if hasattr(left, "_areaweave_path") else [])):
+            drop_stored(frame)
+        left = after
     cleaned = left.mapInArrow(_texts, f"page_id {kind}, url string, text string")
     return parsed.where(F.size("blocks") == 0).select("page_id", "url", "text").union(cleaned)
