@@ -94,12 +94,14 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     found, _ = secret_scan.scan(docs)
     span = F.when(F.col("secret"), F.concat_ws("-", "start", "end"))
-    by_doc = found.groupBy("doc_id").agg(
+    # Rows that repeat id and text have each finding once for each of them.
+    by_row = found.dropDuplicates(["doc_id", "digest", "nth"]).groupBy(F.struct("doc_id", "digest").alias("row")).agg(
         F.count("*").alias("n_candidates"), F.count(span).alias("n_secrets"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("secret"), F.struct("start", "end")))),
                                  lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("secrets"))
     zero = F.lit(0).cast("bigint")
-    return docs.select("doc_id").join(by_doc, "doc_id", "left").select(
+    rows = docs.select("doc_id", F.struct("doc_id", F.xxhash64("text").alias("digest")).alias("row"))
+    return rows.join(by_row, "row", "left").select(
         "doc_id", F.coalesce("n_candidates", zero).alias("n_candidates"),
         F.coalesce("n_secrets", zero).alias("n_secrets"), F.coalesce("secrets", F.lit("")).alias("secrets"))
 

@@ -1,19 +1,27 @@
 """Secret scans: candidates by shape and context, false positives removed by a random forest.
 
-A candidate is a run of key characters that mixes letters and digits, a value given to a credential
-name, or a private key block.  Its features are length, character classes and transitions between
-them, entropy, dictionary coverage, the path it comes from and the words beside it.  The forest is
-fitted on the driver to a bounded sample of labelled findings (``LABELLED``, the least by a hash);
-all candidates of all texts are judged.  Labels come from a table, or else from provider formats
-and credential assignments as positive and everything else as negative.
+A candidate is a value of any marks given to a credential name, a run of key characters that mixes
+letters and digits, or a private key block.  Its features are length, character classes and
+transitions between them, entropy, dictionary coverage, the path it comes from and the words beside
+it.  The forest is fitted on the driver to a bounded sample of labelled findings (``LABELLED``, the
+least by a hash); all candidates of all texts are judged.
+
+Labels come from a table of findings.  Where none is given, ``planted`` makes one: secrets and
+harmless look-alikes are written into copies of some of the texts, and a finding is labelled by which of the two
+was written there.  So labels come from what was planted and not from rules over the features.
 
 Null and empty texts have no candidates.  A run may have any length; whole texts are read once.
+Findings carry their row's id and a digest of its text: rows that repeat an id keep their own
+findings, rows that repeat both have the same ones.
 """
 
 from __future__ import annotations
 
+import base64
 import math
+import random
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -24,8 +32,11 @@ from pyspark.sql import functions as F
 
 from areaweave.llm.common import pick, stored
 
-#: Labelled findings that the forest is fitted to, at most.
+#: Labelled findings that the forest is fitted to, at most, and documents into whose copies findings are planted, at most.
 LABELLED = 20_000
+PLANTED = 1_000
+#: Findings planted into each of these documents at least, and in all at least.
+EACH, IN_ALL = 12, 8_000
 TREES, DEPTH, LEAF = 24, 7, 3
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -83,15 +94,65 @@ def features(value: str, before: str, after: str, path: str) -> list[float]:
             letters]
 
 
+#: A credential name and what is given to it: in quotes as a whole, else up to white space.
+GIVEN = re.compile(
+    r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)s?"
+    r"[\"']?(?:\s*(?:[=:]|\bis\b)\s*|\s+)(?:([\"'])(?=\S)(.{8,}?)\1|([^\s\"'<>]{8,}))", re.I)
+#: One of these is in every credential name.
+NAMED = ("pass", "pwd", "secret", "token", "key", "auth", "credential", "bearer")
+
+
+def _given(text: str) -> Iterator[tuple[int, int]]:
+    """Places of values given to credential names, in order and apart; a word alone is none."""
+    low = text.lower()
+    if not any(name in low for name in NAMED):
+        return
+    position = 0
+    while (hit := GIVEN.search(text, position)) is not None:
+        group = 2 if hit[1] else 3
+        start, end = hit.span(group)
+        while group == 3 and end > start and text[end - 1] in ".,;:)]}!?":
+            end -= 1
+        value = text[start:end]
+        # After a name without a sign or "is", a run must look like a key.
+        assigned = text[hit.start():start].rstrip("\"' \t\r\n")[-1:] in ("=", ":") or re.search(r"\bis\s+[\"']?$", text[hit.start():start], re.I)
+        if len(value) >= 8 and not value.isalpha() and not value.startswith("-----BEGIN") and (
+                assigned or (any(c.isdigit() for c in value) and any(c.isalpha() for c in value))):
+            yield start, end
+            position = end
+        else:
+            position = hit.start() + 1 if start == end else start
+
+
 def candidates(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, words before, words after) of every candidate, in order and apart from each other."""
+    given, done = list(_given(text)), 0
+    nth = 0
+    for start, end in _runs(text):
+        while nth < len(given) and given[nth][0] < end:
+            a, b = given[nth]
+            nth += 1
+            if a >= done:
+                yield a, b, text[max(0, a - 40):a], text[b:b + 20]
+                done = b
+        if start >= done:
+            yield start, end, text[max(0, start - 40):start], text[end:end + 20]
+            done = end
+    for a, b in given[nth:]:
+        if a >= done:
+            yield a, b, text[max(0, a - 40):a], text[b:b + 20]
+            done = b
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Private key blocks, and runs of key characters that mix letters and digits."""
     done, position = 0, 0
     while (hit := TRIGGER.search(text, position)) is not None:
         at = hit.start()
         if text.startswith("-----BEGIN", at):
             block = KEY_BLOCK.match(text, at)
             if block:
-                yield at, block.end(), text[max(done, at - 40):at], ""
+                yield at, block.end()
                 done = position = block.end()
                 continue
             position = at + 10
@@ -100,39 +161,120 @@ def candidates(text: str) -> Iterator[tuple[int, int, str, str]]:
         while text[at] != ":" and start > done and (c := text[start - 1]).isascii() and (c.isalnum() or c in "+/_-=.~"):
             start -= 1
         run = RUN.match(text, start)
-        if run is None:  # a colon: what follows may be a value
-            start = at + 1
-            while start < len(text) and start - at < 4 and text[start] in " \"'":
-                start += 1
-            run = RUN.match(text, start) if CREDENTIAL.search(text[max(done, at - 40):at + 1]) else None
-            if run is None:
-                position = at + 1
-                continue
+        if run is None:
+            position = at + 1
+            continue
         position = end = run.end()
         value = run.group()
         equals = value.find("=")
         if 0 < equals < len(value.rstrip("=")) and value[:equals].replace("_", "").replace("-", "").replace(".", "").isalnum():
             start += equals + 1
-        elif value.strip("=") == "":  # " = value"
-            start = end
-            while start < len(text) and start - end < 4 and text[start] in " \"'":
-                start += 1
-            run = RUN.match(text, start)
-            if run is None or not CREDENTIAL.search(text[max(done, at - 40):end]):
-                continue
-            position = end = run.end()
         while end > start and text[end - 1] in ".-_/~+":
             end -= 1
         value = text[start:end]
-        before, after = text[max(0, start - 40):start], text[end:end + 20]
-        mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        if (len(value) >= 12 and mixed) or (len(value) >= 8 and CREDENTIAL.search(before)):
-            yield start, end, before, after
+        if len(value) >= 12 and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+            yield start, end
             done = end
 
 
+def _draw(rng: random.Random, alphabet: str, low: int, high: int) -> str:
+    return "".join(rng.choice(alphabet) for _ in range(rng.randint(low, high)))
+
+
+_LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_MIXED = _LOWER + _LOWER.upper() + _DIGITS
+_NAMES = ("password", "passwd", "pwd", "secret", "client_secret", "token", "auth_token", "api_key", "apikey", "API-KEY", "access_key",
+          "private_key", "credential", "DB_PASSWORD", "passphrase")
+_WORDS = ("account admin build cache client cloud code config content data default device domain error event file group header image "
+          "index input item level library light line list local main master media message model name network node number object "
+          "order output page payload photo point port profile project public query random record remote report request resource "
+          "result sample script server service session setting source state static storage string style system table target "
+          "template thread time title unique update upload user value version video view window word year zone").split()
+
+
+def plant(rng: random.Random) -> tuple[str, str, str, int]:
+    """Text before, value, text after, and whether the value is a secret."""
+    quote = rng.choice(["", "", "\"", "'"])
+    name, sign = rng.choice(_NAMES), rng.choice([" = ", "=", ": ", ":", " is "])
+    key = rng.choice([lambda: _draw(rng, _MIXED, 16, 48), lambda: _draw(rng, "0123456789abcdef", 16, 64),
+                      lambda: base64.b64encode(rng.randbytes(rng.randint(16, 40))).decode(),
+                      lambda: _draw(rng, _MIXED + "-_", 20, 60)])
+    kind = rng.randrange(12)
+    if kind < 3:  # a password with marks
+        value = _draw(rng, _MIXED + "!@#$%^&*?-_+.", 9, 24) + rng.choice(_DIGITS) + rng.choice("!@#$%^&*?x")
+        return f"{name}{sign}{quote}", value, quote, 1
+    if kind == 3:
+        return f"{name}{sign}{quote}", key(), quote, 1
+    if kind == 4:  # a provider's format, wherever it stands
+        value = rng.choice([lambda: "AKIA" + _draw(rng, _LOWER.upper() + _DIGITS, 16, 16), lambda: "ghp_" + _draw(rng, _MIXED, 36, 36),
+                            lambda: "sk_live_" + _draw(rng, _MIXED, 24, 24), lambda: "xoxb-" + _draw(rng, _DIGITS, 11, 11) + "-" + _draw(rng, _MIXED, 24, 24),
+                            lambda: "AIza" + _draw(rng, _MIXED + "_-", 35, 35), lambda: "glpat-" + _draw(rng, _MIXED, 20, 20)])()
+        return rng.choice(["", "key ", "use ", f"{name}{sign}", "\""]), value, rng.choice(["", " now", "\""]), 1
+    if kind == 5:
+        return rng.choice(["", "with ", "-H Authorization: Bearer ", "https://user:"]), key(), rng.choice(["", " "]), 1
+    if kind == 6:
+        return rng.choice(["commit ", "sha256:", "md5 = ", "checksum: ", "etag \"", "digest ", "revision "]), _draw(
+            rng, "0123456789abcdef", 32, 64), rng.choice(["", "\""]), 0
+    if kind == 7:
+        return rng.choice(["id ", "uuid: ", "request ", "", "order "]), str(uuid.UUID(int=rng.getrandbits(128))), "", 0
+    if kind == 8:  # words with numbers: names of files, hosts, styles, versions
+        words = rng.sample(_WORDS, rng.randint(2, 4))
+        value = rng.choice("-_./").join([*words, str(rng.randrange(10_000))]) + rng.choice(["", ".html", ".com", ".js", "v2"])
+        return rng.choice(["see ", "", "src=", "in ", "file: "]), value, "", 0
+    if kind == 9:  # what stands in for a secret
+        value = rng.choice(["changeme", "your-", "example", "<", "xxxx", "placeholder", "sample"]).strip("<") + rng.choice(
+            ["-key-here", "123456", "_token_1", "-password1", "xxxxxxxx", "****1234"])
+        return f"{name}{sign}{quote}", value, quote, 0
+    if kind == 10:  # a name for another value
+        words = rng.sample(_WORDS, 2)
+        value = rng.choice([f"{words[0]}_{words[1]}_{rng.randrange(9)}", f"get{words[0].title()}{words[1].title()}()", f"${{{words[0].upper()}_{words[1].upper()}}}",
+                            f"config.{words[0]}.{words[1]}", f"os.environ[{words[0]}_{words[1]}]"])
+        return f"{name}{sign}{quote}", value, quote, 0
+    value = rng.choice([lambda: f"{rng.randrange(1990, 2030)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}T{rng.randrange(10, 24)}:00Z",
+                        lambda: "ISBN" + _draw(rng, _DIGITS, 10, 13), lambda: _draw(rng, _DIGITS, 6, 9) + _draw(rng, "kmgeuro", 3, 6),
+                        lambda: "a" * rng.randint(6, 12) + _draw(rng, _DIGITS, 6, 8), lambda: "INV" + _draw(rng, _DIGITS, 9, 12)])()
+    return rng.choice(["invoice ", "at ", "", "number ", "no. "]), value, "", 0
+
+
+def planted(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source",
+            most: int = PLANTED, seed: int = 1) -> DataFrame:
+    """Labelled findings, like those of ``find_candidates``: ``most`` texts, the least by a digest, with values planted.
+
+    Values stand between words of the texts.  Findings that are none of them have no label and are left out.  A text that has
+    no words yet is planted into all the same; where there are few texts, each gets more.
+    """
+    rows = stored(_rows(docs, id_column, text_column, path_column).orderBy("digest", "doc_id").limit(most), "planted")
+    each = max(EACH, -(-IN_ALL // max(1, rows.count())))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], [], [], []]
+            for doc, digest, path, text in zip(*[batch.column(c) for c in ("doc_id", "digest", "path", "text")], strict=True):
+                rng = random.Random(f"{seed} {doc.as_py()} {digest.as_py()}")
+                words = (text.as_py() or "").split(" ")[:2_000]
+                labels, parts, size, at = {}, [], 0, sorted(rng.randrange(len(words) + 1) for _ in range(each))
+                times = Counter(at)
+                for i in range(len(words) + 1):
+                    for _ in range(times[i]):
+                        before, value, after, label = plant(rng)
+                        labels[size + len(before), size + len(before) + len(value)] = label
+                        parts.append(f"{before}{value}{after}{rng.choice(' ,;') if after == '' else ''} ")
+                        size += len(parts[-1])
+                    if i < len(words):
+                        parts.append(words[i] + rng.choice([" ", " ", " ", "\n"]))
+                        size += len(parts[-1])
+                written, where = "".join(parts), path.as_py() or ""
+                for nth, (start, end, before, after) in enumerate(candidates(written)):
+                    if (label := labels.get((start, end))) is not None:
+                        _append(out, doc.as_py(), digest.as_py(), nth, start, end, features(written[start:end], before, after, where), label)
+            yield _finding_batch(out, batch.column("doc_id").type)
+
+    return rows.mapInArrow(run, f"doc_id {kind}, {FINDING}")
+
+
 def weak_label(value: str, before: str) -> int:
-    """What rules alone say of a finding."""
+    """What rules alone say of a finding; nothing is fitted to it."""
     if value.startswith("-----BEGIN") or PROVIDERS.fullmatch(value):
         return 1
     return int(bool(CREDENTIAL.search(before)) and not PLACEHOLDER.search(value) and any(c.isdigit() for c in value)
@@ -200,31 +342,44 @@ class Forest:
         return votes / len(self.trees)
 
 
+FINDING = "digest long, nth long, start long, end long, features array<double>, label int"
+
+
+def _append(out: list[list], *values) -> None:
+    for column, value in zip(out, values, strict=True):
+        column.append(value)
+
+
+def _finding_batch(out: list[list], id_type: pa.DataType) -> pa.RecordBatch:
+    kinds = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                                      ["doc_id", "digest", "nth", "start", "end", "features", "label"])
+
+
 def _found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: list[list] = [[], [], [], [], [], []]
-        for doc, path, text in zip(*[batch.column(c) for c in ("doc_id", "path", "text")], strict=True):
+        out: list[list] = [[], [], [], [], [], [], []]
+        for doc, digest, path, text in zip(*[batch.column(c) for c in ("doc_id", "digest", "path", "text")], strict=True):
             text, where = text.as_py() or "", path.as_py() or ""
             for nth, (start, end, before, after) in enumerate(candidates(text)):
                 value = text[start:end]
-                row = (doc.as_py(), nth, start, end, features(value, before, after, where), weak_label(value, before))
-                for column, x in zip(out, row, strict=True):
-                    column.append(x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], batch.column("doc_id").type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-             pa.array(out[3], pa.int64()), pa.array(out[4], pa.list_(pa.float64())), pa.array(out[5], pa.int32())],
-            ["doc_id", "nth", "start", "end", "features", "label"])
+                _append(out, doc.as_py(), digest.as_py(), nth, start, end, features(value, before, after, where), weak_label(value, before))
+        yield _finding_batch(out, batch.column("doc_id").type)
 
 
-def find_candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    path_column: str | None = "source") -> DataFrame:
-    """doc_id, nth, start, end, features and label by rule of every candidate."""
+def _rows(docs: DataFrame, id_column: str, text_column: str, path_column: str | None) -> DataFrame:
     rows = pick(docs, doc_id=id_column, text=text_column, **({"path": path_column} if path_column else {}))
     if not path_column:
         rows = rows.withColumn("path", F.lit(""))
-    rows = rows.withColumn("path", F.col("path").cast("string"))
+    return rows.withColumns({"path": F.col("path").cast("string"), "digest": F.xxhash64("text")})
+
+
+def find_candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    path_column: str | None = "source") -> DataFrame:
+    """doc_id, digest of the text, nth, start, end, features and label by rule of every candidate."""
+    rows = _rows(docs, id_column, text_column, path_column)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_found, f"doc_id {kind}, nth long, start long, end long, features array<double>, label int")
+    return rows.mapInArrow(_found, f"doc_id {kind}, {FINDING}")
 
 
 def fit_forest(findings: DataFrame, most: int = LABELLED) -> Forest:
@@ -245,11 +400,11 @@ def judge(findings: DataFrame, forest: Forest, threshold: float = THRESHOLD) ->
             flat = batch.column("features").flatten().to_numpy(zero_copy_only=False)
             score = forest.predict(flat.reshape(batch.num_rows, -1)) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "nth", "start", "end")], pa.array(score), pa.array(score >= threshold)],
-                ["doc_id", "nth", "start", "end", "score", "secret"])
+                [*[batch.column(c) for c in ("doc_id", "digest", "nth", "start", "end")], pa.array(score), pa.array(score >= threshold)],
+                ["doc_id", "digest", "nth", "start", "end", "score", "secret"])
 
     kind = findings.schema["doc_id"].dataType.simpleString()
-    return findings.mapInArrow(run, f"doc_id {kind}, nth long, start long, end long, score double, secret boolean")
+    return findings.mapInArrow(run, f"doc_id {kind}, digest long, nth long, start long, end long, score double, secret boolean")
 
 
 def redact(docs: DataFrame, forest: Forest, id_column: str = "doc_id", text_column: str = "text",
@@ -275,7 +430,8 @@ def redact(docs: DataFrame, forest: Forest, id_column: str = "doc_id", text_colu
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text",
          path_column: str | None = "source") -> tuple[DataFrame, Forest]:
-    """Judged findings of all of ``docs``, and the forest, fitted to ``labelled`` findings or to those of ``docs``."""
-    findings = stored(find_candidates(docs, id_column, text_column, path_column), "findings")
-    forest = fit_forest(findings if labelled is None else labelled)
-    return judge(findings, forest), forest
+    """Judged findings of all of ``docs``, and the forest, fitted to ``labelled`` findings or to planted ones."""
+    if labelled is None:
+        labelled = stored(planted(docs, id_column, text_column, path_column), "planted")
+    forest = fit_forest(labelled)
+    return judge(find_candidates(docs, id_column, text_column, path_column), forest), forest
