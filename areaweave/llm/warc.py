@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import new_folder, pick, wide
+from areaweave.llm.common import new_folder, pick, stored, wide
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n"
@@ -193,6 +193,15 @@ def merge_runs(runs: list[list]) -> Iterator:
         champion = play(champion)
 
 
+def _segments(entries: list) -> Iterator[list]:
+    """Entries cut wherever one is less than the one before: each piece is in order."""
+    first = 0
+    for i in range(1, len(entries) + 1):
+        if i == len(entries) or entries[i] < entries[i - 1]:
+            yield entries[first:i]
+            first = i
+
+
 def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
     if table is None or not table.num_rows:
@@ -202,18 +211,23 @@ def _merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     runs: dict[str, list] = {}
     for row, ((key, captured, archive, offset), page) in enumerate(zip(keys, ids, strict=True)):
         runs.setdefault(archive, []).append((key, captured, page, archive, offset, row))
-    for run in runs.values():
-        run.sort()  # already in order but where the shuffle fetched blocks in another one
-    order = [entry[-1] for entry in merge_runs([runs[a] for a in sorted(runs)])]
+    # An archive's entries come in its own order; where the shuffle brought their blocks in another one, each block is a run.
+    segments = [segment for archive in sorted(runs) for segment in _segments(runs[archive])]
+    order = [entry[-1] for entry in merge_runs(segments)]
     yield from table.take(pa.array(order, pa.int64())).combine_chunks().to_batches(max_chunksize=10_000)
 
 
+#: Captures in one range, about, which a task holds.
+RANGE = 100_000
+
+
 def merge_index(captures: DataFrame, partitions: int | None = None) -> DataFrame:
     """The captures in global order of URL key, time and id: ordered partitions of ordered rows.
 
-    Memory is that of one range of index entries; the place in its archive is part of the key, so
-    a URL with any share of the captures is dealt over many ranges.
+    There are so many ranges that each holds about ``RANGE`` entries, which bounds a task's memory whatever the archives'
+    size; the place in its archive is part of the key, so a URL with any share of the captures is dealt over many ranges.
     """
-    count = partitions or wide(captures.sparkSession)
+    captures = stored(captures, "captures")  # archives are read once: the ranges are chosen from their entries
+    count = partitions or max(wide(captures.sparkSession), -(-captures.count() // RANGE))
     ranged = captures.repartitionByRange(count, "url_key", "captured", "page_id", "archive", "offset")
     return ranged.mapInArrow(_merge, captures.schema)
