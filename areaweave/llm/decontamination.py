@@ -25,8 +25,8 @@ BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Lists of positions that are intersected before the words themselves are compared.
 LISTS = 2
-#: Terms that are sent to all tasks at most; beyond it the index is built by a shuffled join.
-TERMS_SENT = 200_000
+#: Rows and bytes that are sent to all tasks at most; beyond them the join is shuffled.
+TERMS_SENT, BYTES_SENT = 200_000, 64_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -43,8 +43,9 @@ def windows_of(items: DataFrame, size: int = WINDOW, id_column: str = "item_id",
 
 
 def _send(spark, df: DataFrame, most: int) -> DataFrame:
-    """A hint to send ``df`` to all tasks, if its counted rows are few enough."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """A hint to send ``df`` to all tasks, if its counted rows and their bytes are few enough."""
+    size = df.limit(most + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return F.broadcast(df) if size["n"] <= most and (size["bytes"] or 0) <= BYTES_SENT else df
 
 
 def lookups(windows: DataFrame, docs: DataFrame, lists: int = LISTS) -> DataFrame:
@@ -65,7 +66,7 @@ def lookups(windows: DataFrame, docs: DataFrame, lists: int = LISTS) -> DataFram
 
 
 def occurrences(docs: DataFrame, looked: DataFrame) -> DataFrame:
-    """Every occurrence of a window: doc, start, length, items.  ``docs``: doc (key), text and words."""
+    """Every occurrence of a window: doc, start, length, window.  ``docs``: doc (key), text and words."""
     spark = docs.sparkSession
     wanted = looked.select(F.explode("terms").alias("t")).select(F.col("t.term").alias("term")).distinct()
     index = docs.select("doc", F.posexplode("words").alias("at", "term")).join(
@@ -86,13 +87,13 @@ def occurrences(docs: DataFrame, looked: DataFrame) -> DataFrame:
             left.where("has").drop("has").join(starts, ["window", "doc", "start"], "left_semi"))
     # A document has one possible start at most for each window and position.
     possible = found.distinct().join(_send(
-        spark, looked.select("window", F.col("words").alias("expected"), "items"), TERMS_SENT), "window")
-    possible = possible.groupBy("doc").agg(F.collect_list(F.struct("start", "expected", "items")).alias("possible"))
+        spark, looked.select("window", F.col("words").alias("expected")), TERMS_SENT), "window")
+    possible = possible.groupBy("doc").agg(F.collect_list(F.struct("start", "expected", "window")).alias("possible"))
     checked = docs.select("doc", "text").join(possible, "doc").select("doc", "possible", tokens(F.col("text")).alias("words"))
     same = F.filter("possible", lambda p: (p["start"] + F.size(p["expected"]) <= F.size("words")) & (
         F.slice("words", p["start"] + 1, F.size(p["expected"])) == p["expected"]))
     return checked.select("doc", F.explode(same).alias("p")).select(
-        "doc", "p.start", F.size("p.expected").alias("length"), "p.items")
+        "doc", "p.start", F.size("p.expected").alias("length"), "p.window")
 
 
 def proximity(docs: DataFrame, queries: DataFrame, within: int, id_column: str = "doc_id", text_column: str = "text",
@@ -149,7 +150,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_colu
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     covered = spans.withColumn("reach", F.greatest(F.coalesce(reach, F.col("start")), F.col("start")))
     n_hit = covered.groupBy("doc").agg(F.sum(F.greatest(F.col("end") - F.col("reach"), F.lit(0))).alias("n_hit"))
-    named = hits.select("doc", F.explode(F.col("items").cast("array<string>")).alias("item")).groupBy("doc").agg(
+    # Many items may share a passage: their ids meet the documents that hold it, not its every occurrence.
+    holders = windows.select("window", F.explode(F.col("items").cast("array<string>")).alias("item"))
+    named = hits.select("doc", "window").distinct().join(holders, "window").groupBy("doc").agg(
         F.sort_array(F.collect_set("item")).alias("items"))
     figures = n_hit.join(named, "doc")
     return worded.select("doc", F.size("words").cast("bigint").alias("n_words")).join(figures, "doc", "left").select(
