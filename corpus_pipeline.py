@@ -16,8 +16,8 @@ from areaweave.llm.common import stored
 from areaweave.llm.queries import table, tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Words in a shingle, and the share of common shingles from which two documents are one.
-SHINGLE, SIMILAR = 5, 0.8
+#: Words in a shingle, and the bits in which fingerprints of near-duplicates may differ.
+SHINGLE, RADIUS = 4, 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates, one row of it."""
-    return simhash.one_of_each(docs.select(*COLUMNS), SHINGLE, SIMILAR)
+    """The document with the least id of each group that fingerprints within the radius connect, one row of it."""
+    return simhash.first_of_each(docs.select(*COLUMNS), RADIUS, SHINGLE)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
