@@ -35,49 +35,77 @@ def _spread(boxes: DataFrame) -> DataFrame:
     return boxes
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str) -> DataFrame:
+def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str, y: str, on: Sequence[str] = ()) -> DataFrame:
     """Every point with every box it lies in, edges included.
 
     A point has one cell per level and a box is on one level, so no pair can
-    come up twice.
+    come up twice.  ``on`` names key columns of both that must be equal besides.
     """
     looked_up = (points.withColumn("_levels", _levels(boxes))
                  .withColumn("level", F.explode("_levels")).drop("_levels")
                  .withColumns({"gx": F.expr(CELL.format(x)), "gy": F.expr(CELL.format(y))}))
     celled = _spread(boxes.withColumn("level", F.expr(LEVEL)))
-    return (looked_up.join(celled, ["level", "gx", "gy"])
+    return (looked_up.join(celled, [*on, "level", "gx", "gy"])
             .filter(f"{x} between minx and maxx and {y} between miny and maxy").drop("level", "gx", "gy"))
 
 
 def boxes_in_boxes(a: DataFrame, b: DataFrame, a_key: Sequence[str], b_key: Sequence[str],
-                   on: tuple[str, str] | None = None) -> DataFrame:
+                   on: Sequence[str] = ()) -> DataFrame:
     """Pairs of boxes that touch or overlap, with their common box.
 
     Inputs have ``minx, miny, maxx, maxy``; keys must not share names.  ``on``
-    names a key column of each side that must be equal, which replaces the grid.
+    names key columns of both sides that must be equal besides; boxes under one
+    such key meet by cell like any others.
+
+    One of the two is on its own level: small boxes never meet other small ones
+    in the large cells that only a large box uses.  ``role`` says which one.
     """
-    left = a.selectExpr(*a_key, *[f"{c} as a_{c}" for c in BOX])
-    right = b.selectExpr(*b_key, *[f"{c} as b_{c}" for c in BOX])
+    def celled(side: DataFrame, key: Sequence[str], name: str, other: list[int], own: int) -> DataFrame:
+        # The first box is on its own level against boxes as fine or finer, the second against finer ones.
+        levels = f"filter(_all, l -> l {'>' if own == 0 else '>='} _own)"
+        places = (f"concat(array(named_struct('role', {own}, 'level', _own)), "
+                  f"transform({levels}, l -> named_struct('role', {1 - own}, 'level', l)))")
+        known = f"cast(array({', '.join(map(str, other))}) as array<int>)"
+        return (_spread(side.selectExpr(*on, *key, *BOX, f"{LEVEL} as _own").withColumn("_all", F.expr(known))
+                        .withColumn("_at", F.expr(f"explode({places})"))
+                        .withColumns({"role": F.col("_at.role"), "level": F.col("_at.level")}))
+                .selectExpr(*on, *key, "role", "level", "gx", "gy", *[f"{c} as {name}_{c}" for c in BOX]))
+
+    # Asked for at once: a handful of numbers that would else bring each side's whole plan in once more.
+    a_levels, b_levels = (side.agg(F.expr(f"collect_set({LEVEL}) as levels")).first()["levels"] for side in (a, b))
+    met = celled(a, a_key, "a", b_levels, 0).join(celled(b, b_key, "b", a_levels, 1), [*on, "role", "level", "gx", "gy"])
     common = {c: F.expr(f"{'greatest' if c.startswith('min') else 'least'}(a_{c}, b_{c})") for c in BOX}
-    meets = "minx <= maxx and miny <= maxy"
-    if on is not None:
-        pairs = left.join(right, F.col(on[0]) == F.col(on[1])).withColumns(common).filter(meets)
-        return pairs.select(*a_key, *b_key, *BOX)
-
-    def celled(side: DataFrame, key: Sequence[str], name: str, levels: Column, which: str) -> DataFrame:
-        return (_spread(side.selectExpr(*key, *BOX, f"{LEVEL} as _own").withColumn("_all", levels)
-                        .withColumn("level", F.explode("_all")).filter(which))
-                .selectExpr(*key, "level", "gx", "gy", *[f"{c} as {name}_{c}" for c in BOX]))
-
-    # One of the two is on its own level: small boxes never meet other small ones
-    # in the large cells that only a large box uses.
-    own = F.array("_own")
-    own_a, own_b = celled(a, a_key, "a", own, "true"), celled(b, b_key, "b", own, "true")
-    finer_b = celled(b, b_key, "b", _levels(a), "level >= _own")
-    finer_a = celled(a, a_key, "a", _levels(b), "level > _own")
-    cell = ["level", "gx", "gy"]
-    met = own_a.join(finer_b, cell).unionByName(finer_a.join(own_b, cell))
     # Boxes share many cells; the one holding the corner of their common box
     # reports the pair.
     once = f"gx = {CELL.format('minx')} and gy = {CELL.format('miny')}"
-    return met.withColumns(common).filter(f"{meets} and {once}").select(*a_key, *b_key, *BOX)
+    return (met.withColumns(common).filter(f"minx <= maxx and miny <= maxy and {once}")
+            .select(*on, *a_key, *b_key, *BOX))
+
+
+def spans_meet(a: DataFrame, b: DataFrame, on: Sequence[str], top: str) -> DataFrame:
+    """Rows of both with equal ``on`` whose spans of whole numbers share one.
+
+    Spans are ``a_first`` to ``a_last`` and ``b_first`` to ``b_last``, from 0 to
+    less than 2 to the power of column ``top``, which both have and which ``on`` determines.
+    A span is kept on the level where at most two cells hold it, so a long one has
+    no more copies than a short one; the other side is looked up there and on
+    each coarser level.
+    """
+    def celled(side: DataFrame, name: str) -> DataFrame:
+        first, last = f"{name}_first", f"{name}_last"
+        own = f"cast(ceil(log2({last} - {first} + 1)) as int)"
+        # As in boxes_in_boxes; a second span on the finest level is met by nothing finer.
+        if name == "a":
+            levels, role, level = f"sequence({own}, {top})", f"int(l > {own})", "l"
+        else:
+            levels, role, level = f"sequence({own} - int({own} > 0), {top})", f"int(l < {own})", f"greatest(l, {own})"
+        cells = (f"transform({levels}, l -> transform(sequence(shiftright({first}, {level}), shiftright({last}, {level})), "
+                 f"c -> named_struct('role', {role}, 'level', {level}, 'cell', c)))")
+        # Where one cell holds everything there is nothing to work out.
+        only = "array(named_struct('role', 0, 'level', 0, 'cell', 0L))"
+        return side.selectExpr("*", f"inline(if({top} = 0, {only}, flatten({cells}))) as (role, level, cell)")
+
+    met = celled(a, "a").join(celled(b, "b").drop(top), [*on, "role", "level", "cell"])
+    # A coarse cell may hold both without a common number.
+    return met.filter("a_first <= b_last and b_first <= a_last and cell = shiftright(greatest(a_first, b_first), level)").drop(
+        "role", "level", "cell")

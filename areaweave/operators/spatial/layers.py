@@ -19,16 +19,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EDGE_SCHEMA = ("layer string, bdy_id string, bdy_name string, part_id int, ring_id int, "
+EDGE_SCHEMA = ("layer string, bdy_id string, bdy_name string, part_id long, ring_id int, "
                "is_hole boolean, x1 double, y1 double, x2 double, y2 double")
 BDY = ["layer", "bdy_id"]
 PART = [*BDY, "part_id"]
 RING = [*BDY, "bdy_name", "part_id", "ring_id", "is_hole"]
-RINGS_TYPE = "array<struct<part_id:int,ring_id:int,is_hole:boolean,points:array<struct<x:double,y:double>>>>"
+RINGS_TYPE = "array<struct<part_id:bigint,ring_id:int,is_hole:boolean,points:array<struct<x:double,y:double>>>>"
 
 POINTS_PER_FRAME = 100_000
-# Parts one row of a boundary may have; a boundary may have half as many rows.
-PARTS_PER_ROW = 2 ** 16
+# Parts one row of a boundary may have; a boundary may have half as many rows as this times 2 ** 16.
+PARTS_PER_ROW = 2 ** 31
 
 
 def ring(points: list[tuple], part_id: Column | int = 0, ring_id: int = 0, is_hole: bool = False) -> Column:
@@ -36,7 +36,7 @@ def ring(points: list[tuple], part_id: Column | int = 0, ring_id: int = 0, is_ho
     corners = [F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
                for x, y in [*points, points[0]]]
     part = part_id if isinstance(part_id, Column) else F.lit(part_id)
-    return F.struct(part.cast("int").alias("part_id"), F.lit(ring_id).alias("ring_id"),
+    return F.struct(part.cast("bigint").alias("part_id"), F.lit(ring_id).alias("ring_id"),
                     F.lit(is_hole).alias("is_hole"), F.array(*corners).alias("points"))
 
 
@@ -96,12 +96,12 @@ def _wkb_rings(wkb: bytes, offset: int = 0) -> tuple[list[list[np.ndarray]], int
 
 
 def _edge_frame(rings: list[tuple]) -> pd.DataFrame:
-    """One frame for many rings of (layer, id, name, part, ring, points)."""
-    sizes = [len(r[5]) - 1 for r in rings]
+    """One frame for many rings of (layer, id, name, part, ring, feature, points)."""
+    sizes = [len(r[-1]) - 1 for r in rings]
     columns = {name: np.repeat(np.array([r[i] for r in rings], dtype=kind), sizes)
                for i, (name, kind) in enumerate((("layer", object), ("bdy_id", object), ("bdy_name", object),
-                                                 ("part_id", "i4"), ("ring_id", "i4")))}
-    start, end = (np.concatenate([r[5][cut] for r in rings]) for cut in (slice(None, -1), slice(1, None)))
+                                                 ("part_id", "i8"), ("ring_id", "i4"), ("feature", object)))}
+    start, end = (np.concatenate([r[-1][cut] for r in rings]) for cut in (slice(None, -1), slice(1, None)))
     return pd.DataFrame({**columns, "is_hole": columns["ring_id"] > 0,
                          "x1": start[:, 0], "y1": start[:, 1], "x2": end[:, 0], "y2": end[:, 1]})
 
@@ -119,7 +119,7 @@ def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     # Outside anticlockwise, holes clockwise.
                     x, y = points[:, 0], points[:, 1]
                     turn = np.sum((x[:-1] - x[1:]) * (y[:-1] + y[1:] - 2 * y.min()))
-                    held.append((row.layer, row.bdy_id, row.bdy_name, part_id, ring_id,
+                    held.append((row.layer, row.bdy_id, row.bdy_name, part_id, ring_id, row.feature,
                                  points[::-1] if (turn < 0) != (ring_id > 0) else points))
                     points_held += len(points)
             if points_held > POINTS_PER_FRAME:
@@ -129,17 +129,24 @@ def _wkb_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield _edge_frame(held)
 
 
-def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column, wkb: Column) -> DataFrame:
+def edges_from_wkb(df: DataFrame, layer: str, bdy_id: Column, bdy_name: Column, wkb: Column,
+                   feature: Column | None = None) -> DataFrame:
     """Edges of polygons held as (extended) well-known binary.
 
     Each row turns into its edges where it is read, which lets Python see a
-    geometry once; everything after works on numbers in columns.  Rows of one
-    boundary are numbered, so that each keeps its own parts.
+    geometry once; everything after works on numbers in columns.  A boundary may
+    have several rows, each of which keeps its own parts.  ``feature`` is a key that
+    tells them apart: the edges carry it as a column, geometries stay where they are read, and parts
+    are numbered by it.  Without one, rows of a boundary are numbered by name and digest of the geometry.
     """
     rows = df.select(F.lit(layer).alias("layer"), bdy_id.cast("string").alias("bdy_id"),
-                     bdy_name.cast("string").alias("bdy_name"), wkb.alias("wkb")).filter("wkb is not null")
-    nth = F.row_number().over(Window.partitionBy(*BDY).orderBy("bdy_name", "wkb")) - 1
-    return rows.withColumn("nth", nth).mapInPandas(_wkb_edges, EDGE_SCHEMA)
+                     bdy_name.cast("string").alias("bdy_name"), wkb.alias("wkb"),
+                     (F.lit(None) if feature is None else feature).cast("string").alias("feature")).filter("wkb is not null")
+    schema = f"{EDGE_SCHEMA}, feature string"
+    if feature is not None:
+        return collect_parts(rows.withColumn("nth", F.lit(0)).mapInPandas(_wkb_edges, schema), "feature")
+    nth = F.row_number().over(Window.partitionBy(*BDY).orderBy("bdy_name", F.sha2("wkb", 256))) - 1
+    return rows.withColumn("nth", nth).mapInPandas(_wkb_edges, schema).drop("feature")
 
 
 def orient(edges: DataFrame) -> DataFrame:
@@ -162,15 +169,15 @@ def collect_parts(edges: DataFrame, part_key: str) -> DataFrame:
     numbered = edges.alias("e").join(pairs.withColumn("_nth", number).alias("p"), [
         F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}")) for c in (*BDY, part_key)]
         + [F.col("e.part_id").eqNullSafe(F.col("p._part"))])
-    return numbered.select(*[F.col("p._nth").cast("int").alias(c) if c == "part_id" else F.col(f"e.{c}")
+    return numbered.select(*[F.col("p._nth").cast("long").alias(c) if c == "part_id" else F.col(f"e.{c}")
                              for c in edges.columns])
 
 
 def parts(edges: DataFrame) -> DataFrame:
-    """One row per polygon part: bounding box, edge statistics and the start of a
-    leftmost edge that is not vertical."""
+    """One row per polygon part: bounding box, edge statistics, the start of a
+    leftmost edge that is not vertical, and the number of its last ring."""
     return edges.groupBy(*PART, "bdy_name").agg(*map(F.expr, (
         "min(least(x1, x2)) as minx", "min(least(y1, y2)) as miny",
         "max(greatest(x1, x2)) as maxx", "max(greatest(y1, y2)) as maxy",
         "count(1) as edge_count", "sum(abs(y2 - y1)) as climb",
-        "min(if(x1 <> x2, struct(x1, y1), null)) as corner")))
+        "min(if(x1 <> x2, struct(x1, y1), null)) as corner", "max(ring_id) as rings")))

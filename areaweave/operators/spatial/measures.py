@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areaweave.operators.spatial.grid import BOX
+from areaweave.operators.spatial.chains import differing_ids
 from areaweave.operators.spatial.layers import BDY, parts
-from areaweave.operators.spatial.predicates import corner_inside, edge_pairs, edges_touch, named, part_pairs
+from areaweave.operators.spatial.predicates import (
+    APART, MEET, TOUCH, contacts, corner_inside, edge_pairs, named, part_pairs, stored_parts, wanted_ids,
+)
+from areaweave.sources.steps import step_table
 
 # Rounding of a sum of doubles, as a share of the sum of their sizes.
 ROUNDING = 2.0 ** -46
@@ -98,59 +102,94 @@ def _pieces(u: str, v: str, f: str, g: str) -> tuple[str, str, str]:
             f"({v} - {u}) * ({f} * {f} + {f} * {g} + {g} * {g}) / 6")
 
 
-def _measure(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, touching: bool = False) -> DataFrame:
-    """Overlap of pairs of boundaries; with ``touching``, those of no area too.
+NAMES = ["a_layer", "a_id", "a_name", "b_layer", "b_id", "b_name"]
 
-    A point is in a polygon as often as the polygon's edges above it, counted
-    with their direction, add up to.  The overlap of two polygons is therefore a
-    signed sum over pairs of edges of the region under both, which needs one
-    equi-join and one sum and no clipping: two straight lines cross at most once,
-    so under a pair of edges lie two trapezoids.
+
+def _met(edges_a: DataFrame, edges_b: DataFrame, wanted: DataFrame | str | None = None) -> DataFrame:
+    """Edges of parts that may meet, how they touch, and which of them tell that a part holds the other's corner."""
+    a, b = stored_parts(edges_a), stored_parts(edges_b)
+    if isinstance(wanted, str):
+        wanted = wanted_ids(a, b)
+    # Pairs are dealt out anew: they are few to move, and all that follows from one of them is many.
+    pairs = part_pairs(a, b, wanted)
+    pairs = pairs.repartition("a_id", "a_part", "b_id", "b_part")
+    met = contacts(edge_pairs(pairs, named(edges_a, a, "a"), named(edges_b, b, "b")))
+    return met.withColumns({"_a_in": corner_inside("b", "a"), "_b_in": corner_inside("a", "b")})
+
+
+#: Instead of a table of pairs: those of equal ids.
+SAME_IDS = "same ids"
+
+
+def _measure(edges_a: DataFrame, edges_b: DataFrame, wanted: DataFrame | str | None = None, least: int = MEET) -> DataFrame:
+    """Pairs of boundaries whose insides meet, or with ``least`` TOUCH those that share any point,
+    and the size of what they share.
+
+    Two passes over one join of edges.  Which pairs there are is decided by how
+    boundaries touch, exactly; an area only sizes what was found.  A point is in
+    a polygon as often as the polygon's edges above it, counted with their
+    direction, add up to.  The overlap of two polygons is therefore a signed sum
+    over pairs of edges of the region under both, which needs one equi-join and
+    one sum and no clipping: two straight lines cross at most once, so under a
+    pair of edges lie two trapezoids.  A sum within its own rounding, where insides
+    do meet, is given as that rounding.
     """
-    a, b = named(edges_a, "a"), named(edges_b, "b")
-    if not touching:
-        a, b = a.filter("x1 <> x2"), b.filter("x1 <> x2")
-    met = edge_pairs(part_pairs(edges_a, edges_b, same_id), a, b)
+    met = _met(edges_a, edges_b, wanted)
     for step in (RANGE, HEIGHTS, CROSSING, MIDDLE):
         met = met.withColumns({name: F.expr(value) for name, value in step.items()})
     sign = "signum(ax1 - ax2) * signum(bx1 - bx2)"
     pieces = _pieces("_u", "_mid", "_f", "_h"), _pieces("_mid", "_v", "_h", "_g")
     terms, first = zip(("s", "mx", "my"), *pieces), [p[0] for p in pieces]
-    touch = edges_touch() if touching else F.lit(False)
     summed = met.groupBy("a_id", "a_part", "b_id", "b_part", *BOX, "floor").agg(
         *[F.expr(f"coalesce(sum(if(_u < _v, {sign} * ({p} + {q}), null)), 0D) as {name}") for name, p, q in terms],
         F.expr("coalesce(sum(if(_u < _v, abs({}) + abs({}), null)), 0D) as mass".format(*first)),
-        F.max(touch.cast("int")).alias("touch"),
-        F.sum(corner_inside("a", "b")).alias("b_inside"), F.sum(corner_inside("b", "a")).alias("a_inside"))
-    # What is no more than rounding is no area, unless one part holds the other.
-    summed = summed.withColumn("holds", F.expr("int(touch = 0 and (a_inside <> 0 or b_inside <> 0))"))
-    summed = summed.withColumns({m: F.expr(f"if(holds = 1 or s > {ROUNDING!r}D * mass, {m}, 0D)") for m in ("mx", "my", "s")})
+        F.max("contact").alias("contact"), F.sum("_a_in").alias("a_in"), F.sum("_b_in").alias("b_in"),
+        F.min("a_name").alias("a_name"), F.min("b_name").alias("b_name"))
+    # Parts without a common point of their boundaries are apart, or one holds the other.
+    kind = f"if(contact = {APART} and (a_in <> 0 or b_in <> 0), {MEET}, contact)"
+    summed = summed.withColumn("kind", F.expr(kind)).filter(F.col("kind") >= least)
+    rounding = f"{ROUNDING!r}D * mass"
+    sized = {"mx": f"if(s > {rounding}, mx, {rounding} * (maxx - minx) / 2)",
+             "my": f"if(s > {rounding}, my, {rounding} * ((miny + maxy) / 2 - floor))",
+             "s": f"greatest(s, {rounding}, {2.0 ** -1022!r}D)"}
+    summed = summed.withColumns({m: F.expr(f"if(kind = {MEET}, {value}, 0D)") for m, value in sized.items()})
     # Back to layer coordinates, over all parts of the two boundaries.
-    placed = summed.groupBy("a_id", "a_part.layer", "b_id", F.col("b_part.layer").alias("b_layer")).agg(*map(F.expr, (
-        "sum(s) as area", "max(greatest(touch, holds)) as meets",
-        "sum(mx + minx * s) as mx", "sum(my + floor * s) as my",
-        "min(minx) as minx", "min(miny) as miny", "max(maxx) as maxx", "max(maxy) as maxy")))
-    return (placed.filter("area > 0 or meets = 1")
-            .selectExpr("layer as a_layer", "a_id", "b_layer", "b_id", "area", "try_divide(mx, area) as cx",
-                        "try_divide(my, area) as cy", *BOX))
+    placed = summed.groupBy(F.col("a_part.layer").alias("a_layer"), "a_id", F.col("b_part.layer").alias("b_layer"), "b_id").agg(
+        *map(F.expr, ("min(a_name) as a_name", "min(b_name) as b_name", "sum(s) as area", "max(kind) as kind",
+                      "sum(mx + minx * s) as mx", "sum(my + floor * s) as my",
+                      "min(minx) as minx", "min(miny) as miny", "max(maxx) as maxx", "max(maxy) as maxy")))
+    return placed.selectExpr(*NAMES, "area", "try_divide(mx, area) as cx", "try_divide(my, area) as cy", *BOX, "kind")
 
 
-def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:
-    """Pairs of boundaries that overlap: layer and id of both, area, centroid and
-    the common bounding box.  ``same_id`` pairs equal ids only."""
-    return _measure(edges_a, edges_b, same_id)
+def overlap(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+    """Pairs of boundaries whose insides meet: layer, id and name of both, the area, which is never 0, its centroid
+    and the bounding box that the parts have in common.
+
+    ``same_id`` pairs equal ids only, ``wanted`` the given ``a_id, b_id`` only; the work follows these pairs.
+    """
+    return _measure(edges_a, edges_b, SAME_IDS if same_id else wanted).drop("kind")
 
 
 def overlap_report(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
-    """Every pair of boundaries that share a point, with the size and centroid of
+    """Every pair of boundaries that share a point, with layers, names, and the size and centroid of
     what they share.  Pairs that only touch have area 0 and no centroid."""
-    return _measure(edges_a, edges_b, touching=True).select("a_id", "b_id", "area", "cx", "cy")
+    return _measure(edges_a, edges_b, least=TOUCH).select(*NAMES, "area", "cx", "cy")
+
 
+def _pairs_that_meet(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
+    """Pairs of boundaries that share any point; sides alone, no area."""
+    judged = _met(edges_a, edges_b).groupBy("a_id", "a_part", "b_id", "b_part").agg(
+        F.max("contact").alias("contact"), F.sum("_a_in").alias("a_in"), F.sum("_b_in").alias("b_in"),
+        F.min("a_name").alias("a_name"), F.min("b_name").alias("b_name"))
+    return (judged.filter(f"contact > {APART} or a_in <> 0 or b_in <> 0")
+            .groupBy(F.col("a_part.layer").alias("a_layer"), "a_id", F.col("b_part.layer").alias("b_layer"), "b_id")
+            .agg(F.min("a_name").alias("a_name"), F.min("b_name").alias("b_name")))
 
-def polygons_meet(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
+
+def polygons_meet(edges_a: DataFrame, edges_b: DataFrame, names: bool = False) -> DataFrame:
     """Pairs ``a_id, b_id`` of boundaries that share any point: edges of theirs
-    touch, or one holds the other and so all of its area."""
-    return _measure(edges_a, edges_b, touching=True).select("a_id", "b_id")
+    touch, or one holds the other; with ``names`` also layers and names of both."""
+    return _pairs_that_meet(edges_a, edges_b).select(*(NAMES if names else ("a_id", "b_id")))
 
 
 def percent_overlap(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
@@ -158,24 +197,28 @@ def percent_overlap(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
     size = area_by_key(edges_a, BDY).select(
         F.col("layer").alias("a_layer"), F.col("bdy_id").alias("a_id"), F.col("area").alias("from_area"))
     return overlap(edges_a, edges_b).join(size, ["a_layer", "a_id"]).select(
-        "a_id", "b_id", (F.col("area") / F.col("from_area") * 100.0).alias("percent_area"))
+        *NAMES, (F.col("area") / F.col("from_area") * 100.0).alias("percent_area"))
 
 
-def geometry_diff(edges_a: DataFrame, edges_b: DataFrame, tolerance: float = 2.0 ** -40) -> DataFrame:
-    """Boundaries in both layers under one id whose shapes are not equal.
+def geometry_diff(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
+    """Boundaries in both layers under one id whose shapes are not equal, with both areas and that of the overlap.
 
-    Two shapes are equal when nothing is left of either outside their overlap but
-    the rounding of the sums, a share ``tolerance`` of the larger.
+    Shapes are equal when their edges, cut where corners lie on them, cancel out; there is no tolerance.  Only those
+    that differ are measured.
     """
+    ids = step_table(differing_ids(edges_a, edges_b), "differing")
+
+    def kept(edges: DataFrame) -> DataFrame:
+        return edges.join(ids, "bdy_id", "left_semi")
+
     def sizes(edges: DataFrame, name: str) -> DataFrame:
-        return area_by_key(edges, ["bdy_id"]).withColumnRenamed("area", name)
+        return area_by_key(kept(edges), ["bdy_id"]).withColumnRenamed("area", name)
 
-    shared = overlap(edges_a, edges_b, same_id=True).select(
-        F.col("a_id").alias("bdy_id"), F.col("area").alias("overlap_area"))
-    both = (sizes(edges_a, "a_area").join(sizes(edges_b, "b_area"), "bdy_id")
+    pairs = ids.select(F.col("bdy_id").alias("a_id"), F.col("bdy_id").alias("b_id"))
+    shared = overlap(kept(edges_a), kept(edges_b), wanted=pairs).groupBy(F.col("a_id").alias("bdy_id")).agg(
+        F.sum("area").alias("overlap_area"))
+    return (sizes(edges_a, "a_area").join(sizes(edges_b, "b_area"), "bdy_id")
             .join(shared, "bdy_id", "left").withColumn("overlap_area", F.coalesce("overlap_area", F.lit(0.0))))
-    rest = F.col("a_area") + F.col("b_area") - 2 * F.col("overlap_area")
-    return both.filter(rest > tolerance * F.greatest("a_area", "b_area"))
 
 
 def unmatched(edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:

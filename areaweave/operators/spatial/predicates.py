@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaweave.operators.spatial.grid import boxes_in_boxes, points_in_boxes
+from areaweave.operators.spatial.chains import cut_at_corners
+from areaweave.operators.spatial.exact import side_of, sides_of
+from areaweave.operators.spatial.grid import BOX, boxes_in_boxes, points_in_boxes, spans_meet
 from areaweave.operators.spatial.layers import BDY, PART, parts
+from areaweave.sources.steps import step_table
 
 # Edges per horizontal strip of a polygon.  Fewer means more strips, less work
 # per point and more copies of edges that span several strips.
@@ -33,7 +36,8 @@ def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
     Candidates come from the grid.  Each polygon is cut into horizontal strips, a
     candidate meets only the edges of its strip in an equi-join, and an
     aggregate counts crossings to the right.  Parts are judged one by one, so
-    overlapping parts of one boundary do not cancel out.
+    overlapping parts of one boundary do not cancel out.  On which side of an
+    edge a point lies is decided exactly.
     """
     boxes = parts(edges).withColumn("strips", F.expr(STRIPS)).withColumn(
         "per_unit", F.expr("coalesce(try_divide(double(strips), maxy - miny), 0D)"))
@@ -46,11 +50,11 @@ def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
                 .withColumn("strip", F.expr(f"explode({strips})"))
                 .select(*PART, "strip", "x1", "y1", "x2", "y2"))
     near = "py between least(y1, y2) and greatest(y1, y2) and px <= greatest(x1, x2)"
-    side = "((x2 - x1) * (py - y1) - (px - x1) * (y2 - y1))"
-    on_edge = f"{side} = 0 and px >= least(x1, x2)"
+    side = side_of(("x1", "y1"), ("x2", "y2"), ("px", "py"))
+    on_edge = "side = 0 and px >= least(x1, x2)"
     # Half-open in y, so that a vertex counts for one of its two edges.
-    crosses = f"(y1 > py) <> (y2 > py) and ({side} > 0) = (y2 > y1)"
-    judged = (candidates.join(stripped, [*PART, "strip"]).filter(near)
+    crosses = "(y1 > py) <> (y2 > py) and (side > 0) = (y2 > y1)"
+    judged = (candidates.join(stripped, [*PART, "strip"]).filter(near).withColumn("side", F.expr(side))
               .groupBy("point_id", "px", "py", *PART, "bdy_name")
               .agg(F.expr(f"bit_xor(int({crosses})) as odd"), F.expr(f"max(int({on_edge})) as edge")))
     return (judged.filter("odd = 1 or edge = 1")
@@ -84,93 +88,182 @@ def point_on_surface(edges: DataFrame) -> DataFrame:
 def edge_pairs(pairs: DataFrame, edges_a: DataFrame, edges_b: DataFrame) -> DataFrame:
     """Edges of two layers that share some x, for given pairs of parts.
 
-    ``pairs`` comes from ``part_pairs`` and the edges from ``named``.  The common
-    box is cut into vertical strips, so edges meet in an equi-join on pair
-    and strip, and a pair of edges is reported from the first strip both are in.
+    ``pairs`` comes from ``part_pairs`` and the edges from ``named``.  Each part is
+    cut into bands of x, in proportion to its edges.  Edges of the first
+    layer meet the pairs whose box they share x with; what they share with the
+    box then meets the edges of the second.  Long edges have few copies in either
+    join, see ``spans_meet``.
+    """
+    def band(side: str, value: str) -> str:
+        return (f"cast(greatest(0, least(floor(({value} - {side}_start) * {side}_per_unit), "
+                f"{side}_bands - 1)) as bigint)")
+
+    def banded(edges: DataFrame, side: str, name: str) -> DataFrame:
+        return edges.withColumns({
+            f"{name}_first": F.expr(band(side, "least(x1, x2)")), f"{name}_last": F.expr(band(side, "greatest(x1, x2)"))
+        }).drop(f"{side}_start", f"{side}_bands", f"{side}_per_unit")
+
+    boxed = pairs.withColumns({"b_first": F.expr(band("a", "minx")), "b_last": F.expr(band("a", "maxx"))})
+    own = spans_meet(banded(edges_a, "a", "a"), boxed, ["a_id", "a_part"], "a_top")
+    own = own.filter("greatest(x1, x2) >= minx and least(x1, x2) <= maxx").drop("a_first", "a_last", "b_first", "b_last")
+    shared = {"a_first": F.expr(band("b", "greatest(minx, least(x1, x2))")),
+              "a_last": F.expr(band("b", "least(maxx, greatest(x1, x2))"))}
+    met = spans_meet(_prefixed(own.withColumns(shared), "a"), _prefixed(banded(edges_b, "b", "b"), "b"),
+                     ["b_id", "b_part"], "b_top")
+    return met.filter("greatest(least(ax1, ax2), least(bx1, bx2), minx) <= "
+                      "least(greatest(ax1, ax2), greatest(bx1, bx2), maxx)")
+
+
+#: Columns of an edge beside its part: ends, the corner before its start, and the turn there.
+EDGE = ["x1", "y1", "x2", "y2", "x0", "y0", "bend"]
+
+
+def _prefixed(edges: DataFrame, side: str) -> DataFrame:
+    return edges.withColumnsRenamed({c: f"{side}{c}" for c in EDGE})
+
+
+def stored_parts(edges: DataFrame) -> DataFrame:
+    """The rows of ``parts`` as a table: they are read several times, and are few beside the edges."""
+    return step_table(parts(edges), "parts")
+
+
+def named(edges: DataFrame, sizes: DataFrame, side: str) -> DataFrame:
+    """Edges by their part's key, each with its part's bands, the boundary's next corner anticlockwise around its
+    start (``x0, y0``) and the side of the edge on which that corner is (``bend``): the inside is what lies between.
+
+    ``sizes`` comes from ``stored_parts``.  The next corner is the one before on the ring.  Rings of one part may touch,
+    so parts with several rings are cut at their own corners, and of several corners before the next
+    anticlockwise is taken, by angles in doubles.
+    """
+    real = edges.select(*PART, "ring_id", "x1", "y1", "x2", "y2").filter("x1 <> x2 or y1 <> y2")
+    at = [*PART, "x1", "y1"]
+    before = lambda df: df.selectExpr(*PART, "x2 as x1", "y2 as y1", "x1 as x0", "y1 as y0")
+    columns = [*PART, "x1", "y1", "x2", "y2", "before.x0", "before.y0"]
+
+    def plain(one: DataFrame) -> DataFrame:
+        return one.join(before(one).groupBy(*at).agg(F.min(F.struct("x0", "y0")).alias("before")), at, "left").select(*columns)
+
+    holed = sizes.filter("rings > 0").select(*PART)
+    if holed.isEmpty():
+        cornered = plain(real)
+    else:
+        cut = step_table(cut_at_corners(step_table(real.join(holed, PART, "left_semi"), "rings"), PART), "cut")
+        turn = "pmod(atan2(y0 - y1, x0 - x1) - atan2(y2 - y1, x2 - x1), 2 * pi())"
+        many = cut.join(before(cut), at, "left").withColumn("turn", F.expr(turn)).groupBy(*at, "x2", "y2").agg(
+            F.min(F.struct("turn", "x0", "y0")).alias("before"))
+        cornered = plain(real.join(holed, PART, "left_anti")).union(many.select(*columns))
+    bend = side_of(("x1", "y1"), ("x2", "y2"), ("x0", "y0"))
+    bands = sizes.selectExpr(*PART, *[f"{value} as {side}_{name}" for name, value in BANDS.items()])
+    return cornered.join(bands, PART).selectExpr(
+        f"bdy_id as {side}_id", f"struct(layer, part_id) as {side}_part", *EDGE[:-1], f"if(x0 is null, null, {bend}) as bend",
+        *[f"{side}_{name}" for name in BANDS])
+
+
+#: A part's bands of x, from its row of ``parts``: where they start, how many there are and in a unit of x, and the level
+#: on which one cell holds them all.
+_COUNT = f"cast(greatest(1, ceil(edge_count / {EDGES_PER_STRIP})) as bigint)"
+BANDS = {"start": "minx", "bands": _COUNT, "per_unit": f"coalesce(try_divide(double({_COUNT}), maxx - minx), 0D)",
+         "top": f"cast(ceil(log2({_COUNT})) as int)"}
+
+
+def part_pairs(sizes_a: DataFrame, sizes_b: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Parts of two layers, from ``stored_parts``, whose boxes meet: keys, names, common box, the foot of the
+    lower part and the bands of each.  Ids of different layers stay apart.
+
+    ``wanted`` (``a_id, b_id``) leaves only parts of these pairs of boundaries, before any box is looked at.
+    """
+    def boxes(sizes: DataFrame, side: str) -> DataFrame:
+        found = sizes.selectExpr(
+            f"bdy_id as {side}_id", f"struct(layer, part_id) as {side}_part", f"bdy_name as {side}_name", *BOX,
+            f"corner as {side}_corner", f"miny as {side}_low", *[f"{value} as {side}_{name}" for name, value in BANDS.items()])
+        if wanted is not None:
+            found = found.join(wanted.select("a_id", "b_id", F.struct("a_id", "b_id").alias("pair")).distinct(), f"{side}_id")
+        return found
+
+    a_key, b_key = ([f"{side}_{c}" for c in ("id", "name", "part", "low", "corner", *BANDS)] for side in "ab")
+    pairs = boxes_in_boxes(boxes(sizes_a, "a"), boxes(sizes_b, "b"), a_key, b_key, on=[] if wanted is None else ["pair"])
+    return pairs.withColumn("floor", F.least("a_low", "b_low")).drop("a_low", "b_low", "pair")
+
+
+def wanted_ids(sizes_a: DataFrame, sizes_b: DataFrame) -> DataFrame:
+    """Pairs of equal ids of two layers, for ``part_pairs``."""
+    ids = sizes_a.select(F.col("bdy_id").alias("a_id")).distinct()
+    return ids.join(sizes_b.select(F.col("bdy_id").alias("a_id")).distinct(), "a_id", "left_semi").select(
+        "a_id", F.col("a_id").alias("b_id"))
+
+
+#: What two edges, or two parts by the most of their edges, have to do with each other.
+APART, TOUCH, MEET = 0, 1, 2
+
+
+def _point(name: str) -> tuple[str, str]:
+    """The coordinates of a corner such as ``a1``: x and y."""
+    return f"{name[0]}x{name[1]}", f"{name[0]}y{name[1]}"
+
+
+def _equal(p: str, q: str) -> str:
+    (px, py), (qx, qy) = _point(p), _point(q)
+    return f"({px} = {qx} and {py} = {qy})"
+
+
+_SAME_WAY = ("(signum(ax2 - ax1) = signum(bx2 - bx1) and signum(ay2 - ay1) = signum(by2 - by1))")
+
+#: Sides that a contact needs: start, end and point of each, by the corners of two edges; 0 is the corner before 1.
+#: The first four are column ``sides``; the others are worked out, as ``o``, for edges that touch.
+SIDES = [name.split() for name in ("b1 b2 a1", "b1 b2 a2", "a1 a2 b1", "a1 a2 b2")]
+MORE = [name.split() for name in ("b1 b2 a0", "a1 a2 b0", "a1 b2 a0", "b1 a2 b0")]
+
+
+def _side(name: str) -> str:
+    triple = name.split()
+    return f"get(sides, {SIDES.index(triple)})" if triple in SIDES else f"get(o, {MORE.index(triple)})"
+
+
+def _corner_on_edge(p: str, q: str) -> str:
+    """Whether the inside of ``p`` at its edge's start reaches the inside of ``q``, on the middle of whose edge it lies.
+
+    The inside of ``q`` is left of its edge.  That of ``p`` is what is swept anticlockwise from its edge to the corner
+    before: some of it is left of ``q`` if either ray is, if the sweep is more than half a turn, or if it is half a turn
+    and starts along ``q``.
+    """
+    x, y = _point(f"{p}1")
+    place = (f"{_side(f'{q}1 {q}2 {p}1')} = 0 and not {_equal(f'{p}1', f'{q}1')} and not {_equal(f'{p}1', f'{q}2')} and "
+             f"{x} between least({q}x1, {q}x2) and greatest({q}x1, {q}x2) and "
+             f"{y} between least({q}y1, {q}y2) and greatest({q}y1, {q}y2)")
+    return (f"({place} and {p}bend is not null and ({p}bend < 0 or ({p}bend = 0 and {_SAME_WAY}) "
+            f"or {_side(f'{q}1 {q}2 {p}2')} > 0 or {_side(f'{q}1 {q}2 {p}0')} > 0))")
+
+
+def _ray_within(p: str, q: str) -> str:
+    """Whether the edge of ``q`` sets out into the inside of ``p``, or along its edge, from a corner of both."""
+    left, right = f"{_side(f'{p}1 {p}2 {q}2')} > 0", f"{_side(f'{p}1 {q}2 {p}0')} > 0"
+    along = f"({_side(f'{p}1 {p}2 {q}2')} = 0 and {_SAME_WAY})"
+    return (f"({along} or ({p}bend > 0 and {left} and {right}) or ({p}bend = 0 and {left}) "
+            f"or ({p}bend < 0 and ({left} or {right})))")
+
+
+def contacts(met: DataFrame) -> DataFrame:
+    """Rows of ``edge_pairs`` with ``contact``: whether the edges share no point, touch, or show that the insides meet.
+
+    Insides meet where edges cross, and where corners or edges touch so that the inside of one reaches into
+    the other's; if boundaries share a point and insides meet anywhere, they do so at a point that both boundaries share.
+    Only edges whose boxes meet are looked at, and all their sides are decided exactly.
     """
-    keys = ["a_id", "a_part", "b_id", "b_part"]
-
-    def by_band(edges: DataFrame, side: str) -> DataFrame:
-        """Edges with the pairs whose box they share x with.
-
-        Each part is cut into bands of x, in proportion to its edges; edges and
-        pairs meet in a band, and the first band of both reports them.
-        """
-        part = [f"{side}_id", f"{side}_part"]
-        spans = pairs.selectExpr(*part, f"{side}_start", f"{side}_bands", f"{side}_per_unit").distinct()
-
-        def band(value: str) -> str:
-            return (f"cast(greatest(0, least(floor(({value} - {side}_start) * {side}_per_unit), "
-                    f"{side}_bands - 1)) as bigint)")
-
-        cut = (edges.join(spans, part).withColumn("edge_band", F.expr(band("least(x1, x2)")))
-               .withColumn("band", F.expr(f"explode(sequence(edge_band, {band('greatest(x1, x2)')}))"))
-               .select(*part, "band", "edge_band", "x1", "y1", "x2", "y2"))
-        boxed = (pairs.withColumn("pair_band", F.expr(band("minx")))
-                 .withColumn("band", F.expr(f"explode(sequence(pair_band, {band('maxx')}))")))
-        return cut.join(boxed, [*part, "band"]).filter("band = greatest(edge_band, pair_band)")
-
-    def placed(edges: DataFrame, side: str) -> DataFrame:
-        box = ["minx", "miny", "maxx", "maxy", "floor", "a_corner", "b_corner"] if side == "a" else []
-        return (by_band(edges, side)
-                .filter("greatest(x1, x2) >= minx and least(x1, x2) <= maxx")
-                .withColumn("per_unit", F.expr("coalesce(try_divide(double(strips), maxx - minx), 0D)"))
-                .withColumn(f"{side}_first", F.expr(_strip("least(x1, x2)", "minx")))
-                .withColumn("strip", F.expr(f"explode(sequence({side}_first, {_strip('greatest(x1, x2)', 'minx')}))"))
-                .selectExpr(*keys, "strip", f"{side}_first", *box,
-                            *[f"{c} as {side}{c}" for c in ("x1", "y1", "x2", "y2")]))
-
-    shared = "least(ax1, ax2) <= greatest(bx1, bx2) and least(bx1, bx2) <= greatest(ax1, ax2)"
-    return (placed(edges_a, "a").join(placed(edges_b, "b"), [*keys, "strip"])
-            .filter(f"strip = greatest(a_first, b_first) and {shared}")
-            .drop("strip", "a_first", "b_first"))
-
-
-def named(edges: DataFrame, side: str) -> DataFrame:
-    return edges.select(F.col("bdy_id").alias(f"{side}_id"), part_of(side), "x1", "y1", "x2", "y2")
-
-
-def part_of(side: str) -> Column:
-    """A part's key beside the boundary's id; ids of different layers stay apart."""
-    return F.struct("layer", "part_id").alias(f"{side}_part")
-
-
-def part_pairs(edges_a: DataFrame, edges_b: DataFrame, same_id: bool = False) -> DataFrame:
-    """Parts of two layers whose boxes meet: keys, common box, the foot of the
-    lower part and the number of strips to work in."""
-    def boxes(edges: DataFrame, side: str) -> DataFrame:
-        return parts(edges).withColumn(f"{side}_part", part_of(side)).withColumnsRenamed(
-            {"bdy_id": f"{side}_id", "edge_count": f"{side}_edges", "corner": f"{side}_corner"}
-        ).withColumns({f"{side}_low": F.col("miny"), f"{side}_start": F.col("minx"), f"{side}_wide": F.expr("maxx - minx")})
-
-    a_key, b_key = ([f"{side}_{c}" for c in ("id", "part", "edges", "low", "corner", "start", "wide")] for side in "ab")
-    pairs = boxes_in_boxes(boxes(edges_a, "a"), boxes(edges_b, "b"), a_key, b_key,
-                           on=("a_id", "b_id") if same_id else None)
-    # Strips for the edges that a part is expected to have over the common box.
-    over = "{0}_edges * least(1D, coalesce(try_divide(maxx - minx, {0}_wide), 1D))"
-    strips = (f"cast(greatest(1, ceil(greatest({over.format('a')}, {over.format('b')}) / {EDGES_PER_STRIP})) "
-              "as bigint) as strips")
-    bands = [f"cast(greatest(1, ceil({s}_edges / {EDGES_PER_STRIP})) as bigint) as {s}_bands" for s in "ab"]
-    found = pairs.selectExpr("a_id", "a_part", "b_id", "b_part", "minx", "miny", "maxx", "maxy", strips, *bands,
-                             "least(a_low, b_low) as floor", "a_corner", "b_corner", "a_start", "b_start",
-                             "a_wide", "b_wide")
-    return found.selectExpr("*", *[f"coalesce(try_divide(double({s}_bands), {s}_wide), 0D) as {s}_per_unit" for s in "ab"])
-
-
-def _side(line: str, point: str) -> str:
-    """Which side of edge ``line`` an end of the other edge is on: -1, 0 or 1."""
-    x, y = f"{point[0]}x{point[1]}", f"{point[0]}y{point[1]}"
-    return (f"signum(({line}x2 - {line}x1) * ({y} - {line}y1) - ({line}y2 - {line}y1) * ({x} - {line}x1))")
-
-
-def edges_touch() -> Column:
-    """Whether the two edges of a row of ``edge_pairs`` share a point: their boxes
-    meet, and neither lies strictly to one side of the other."""
     close = " and ".join(f"least({p}{c}1, {p}{c}2) <= greatest({q}{c}1, {q}{c}2)"
                          for c in "xy" for p, q in ("ab", "ba"))
-    a_ends = f"{_side('a', 'b1')} * {_side('a', 'b2')} <= 0"
-    b_ends = f"{_side('b', 'a1')} * {_side('b', 'a2')} <= 0"
-    return F.expr(f"{close} and {a_ends} and {b_ends}")
+
+    def decided(names: list[list[str]]) -> str:
+        return sides_of([tuple(_point(corner) for corner in triple) for triple in names])
+
+    ends = [_side(" ".join(name)) for name in SIDES]
+    meets = (f"case when {_equal('a1', 'b1')} then abend is not null and bbend is not null "
+             f"and ({_ray_within('a', 'b')} or {_ray_within('b', 'a')}) "
+             f"else {_corner_on_edge('a', 'b')} or {_corner_on_edge('b', 'a')} end")
+    contact = (f"case when sides is null or {ends[0]} * {ends[1]} > 0 or {ends[2]} * {ends[3]} > 0 then {APART} "
+               f"when {ends[0]} * {ends[1]} < 0 and {ends[2]} * {ends[3]} < 0 then {MEET} "
+               f"else get(transform(array({decided(MORE)}), o -> if({meets}, {MEET}, {TOUCH})), 0) end")
+    return (met.withColumn("sides", F.expr(f"if({close}, {decided(SIDES)}, null)"))
+            .withColumn("contact", F.expr(contact)).drop("sides"))
 
 
 def corner_inside(outer: str, inner: str) -> Column:
@@ -183,5 +276,7 @@ def corner_inside(outer: str, inner: str) -> Column:
     x, y = f"{inner}_corner.x1", f"{inner}_corner.y1"
     starts = f"{inner}x1 = {x} and {inner}y1 = {y} and {inner}x1 <> {inner}x2"
     spans = f"({outer}x1 <= {x}) <> ({outer}x2 <= {x})"
-    height = f"{outer}y1 + ({x} - {outer}x1) * try_divide({outer}y2 - {outer}y1, {outer}x2 - {outer}x1)"
-    return F.expr(f"if({starts} and {spans} and {height} > {y}, int(signum({outer}x1 - {outer}x2)), 0)")
+    # Below an edge is to the right of it if it runs to the right.
+    run = f"int(signum({outer}x1 - {outer}x2))"
+    below = f"{side_of(_point(f'{outer}1'), _point(f'{outer}2'), _point(f'{inner}1'))} = {run}"
+    return F.expr(f"if({starts} and {spans} and {below}, {run}, 0)")

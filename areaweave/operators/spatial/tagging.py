@@ -102,7 +102,7 @@ def legacy_pair_spatial(atom_points: DataFrame, units: DataFrame, targets: DataF
                         source_type: str, target_type: str, atom_id: str = "mb_code",
                         unit_id: str = "unit_id") -> DataFrame:
     """Legacy crosswalk whose source ids come from a spatial join, with the
-    overlap of the two shapes beside each pair.
+    overlap of the two shapes beside each pair; no other pairs of shapes are looked at.
 
     ``units`` has ``unit_id, state`` and the atom code; ``targets`` has
     ``unit_id, target_id, target_name, target_state``.
@@ -113,9 +113,12 @@ def legacy_pair_spatial(atom_points: DataFrame, units: DataFrame, targets: DataF
                       F.col("state").alias("source_state")))
     counts = legacy_counts(tagged.join(targets, unit_id))
     rows = legacy_rows(counts, source_type, target_type)
-    shared = overlap(source_layer, target_layer).select(
-        F.col("a_id").alias("source_id"), F.col("b_id").alias("target_id"),
-        F.col("area").alias("overlap_area"), F.col("cx").alias("overlap_x"), F.col("cy").alias("overlap_y"))
+    pairs = rows.select(F.col("source_id").alias("a_id"), F.col("target_id").alias("b_id")).distinct()
+    # Over several layers, a pair's shapes are all those of its two ids.
+    shared = overlap(source_layer, target_layer, wanted=pairs).groupBy(
+        F.col("a_id").alias("source_id"), F.col("b_id").alias("target_id")).agg(
+        F.sum("area").alias("overlap_area"), *[
+            (F.sum(F.col(c) * F.col("area")) / F.sum("area")).alias(f"overlap_{c[1]}") for c in ("cx", "cy")])
     # Both shapes must exist, even where they do not overlap.
     return (rows.join(source_layer.select(F.col("bdy_id").alias("source_id")), "source_id", "left_semi")
             .join(target_layer.select(F.col("bdy_id").alias("target_id")), "target_id", "left_semi")

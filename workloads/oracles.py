@@ -447,6 +447,30 @@ ORACLES: dict[str, str] = {
     "geometry_diff": """
         SELECT CAST(s_suppkey AS VARCHAR) AS bdy_id, 100.0::DOUBLE AS a_area, 75.0::DOUBLE AS b_area,
                75.0::DOUBLE AS overlap_area FROM supplier WHERE s_suppkey % 2 = 1""",
+    "geometry_diff_islet": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS bdy_id, 100.0::DOUBLE AS a_area, 100.00000001::DOUBLE AS b_area,
+               100.0::DOUBLE AS overlap_area FROM supplier WHERE s_suppkey % 2 = 1""",
+    "overlap_slanted": _with(f"""
+        SELECT CAST(atom_id AS VARCHAR) AS a_id, concat('Atom ', atom_id, ' (A)') AS a_name, CAST(id AS VARCHAR) AS b_id,
+               name AS b_name, round(area, 6) AS area, round((mx + 2 * my) / area, 6) AS cx, round((mx + 3 * my) / area, 6) AS cy
+        FROM (SELECT atom_id, id, name, {_AREA} AS area, {_MX} AS mx, {_MY} AS my
+              FROM cell JOIN depot ON {_touches("x", "y", 10, 5)} OR {_touches("x", "y", 5, 10)}) o WHERE area > 0""",
+        "cell", "depot"),
+    "overlap_at_corners": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS a_id, round(17.25 / 7 / 2, 6)::DOUBLE AS area FROM supplier
+        WHERE s_suppkey % 2 = 1""",
+    "atoms_touching_slanted": _with(f"""
+        SELECT CAST(atom_id AS VARCHAR) AS atom_id, CAST(id AS VARCHAR) AS bdy_id FROM cell JOIN square
+          ON id IN (6, 18) AND ({_touches("x", "y", 20, 10)} OR {_touches("x", "y", 10, 20)})""", "cell", "square"),
+    "pip_slanted": _with(f"""
+        SELECT atom_id, 'depot' AS layer, CAST(id AS VARCHAR) AS bdy_id, name AS bdy_name
+        FROM atom JOIN depot ON {DEPOT_ELL}""", "atom", "depot"),
+    "collected_features": _with("""
+        SELECT CAST(nation AS VARCHAR) AS bdy_id, count(*) AS part_count, count(*) AS feature_count,
+               CAST(count(*) * 100 AS DOUBLE) AS area,
+               (SELECT nullif(count(DISTINCT atom_id), 0) FROM atom JOIN depot e ON px BETWEEN e.x AND e.x + 10
+                  AND py BETWEEN e.y AND e.y + 10 WHERE e.nation = d.nation) AS atom_count
+        FROM depot d GROUP BY nation""", "atom", "depot"),
     "unmatched_shapes": """
         SELECT CAST(s_suppkey AS VARCHAR) AS bdy_id FROM supplier
         WHERE s_suppkey NOT IN (SELECT n_nationkey FROM nation)""",

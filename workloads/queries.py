@@ -332,6 +332,38 @@ def geometry_diff(spark, sf):
             .select("bdy_id", *[F.round(c, 6).alias(c) for c in ("a_area", "b_area", "overlap_area")]))
 
 
+def geometry_diff_islet(spark, sf):
+    found = aw.geometry_diff(v.supplier_squares(spark, sf), v.supplier_islets(spark, sf))
+    return found.select("bdy_id", *[F.round(c, 9).alias(c) for c in ("a_area", "b_area", "overlap_area")])
+
+
+def overlap_slanted(spark, sf):
+    found = aw.overlap(v.slanted(v.atom_squares(spark, sf)), v.slanted(v.supplier_ells(spark, sf)))
+    return found.select("a_id", "a_name", "b_id", "b_name", *[F.round(c, 6).alias(c) for c in ("area", "cx", "cy")])
+
+
+def overlap_at_corners(spark, sf):
+    found = aw.overlap(v.supplier_triangles(spark, sf), v.supplier_triangles(spark, sf, second=True), same_id=True)
+    return found.select("a_id", F.round("area", 6).alias("area"))
+
+
+def atoms_touching_slanted(spark, sf):
+    return aw.atoms_touching(v.slanted(v.atom_squares(spark, sf)), v.slanted(v.nation_ells(spark, sf)), ["6", "18"])
+
+
+def pip_slanted(spark, sf):
+    shapes = v.slanted(v.enlarged(v.supplier_ells(spark, sf), 10))
+    return aw.point_in_polygon_join(v.slanted_points(spark, sf), shapes, "atom_id")
+
+
+def collected_features(spark, sf):
+    shapes = v.nation_stores(spark, sf)
+    sizes = shapes.groupBy("bdy_id").agg(F.countDistinct("part_id").alias("part_count"), F.countDistinct("feature").alias("feature_count"))
+    inside = aw.point_in_polygon_join(v.atom_points(spark, sf), shapes, "atom_id").groupBy("bdy_id").agg(
+        F.count(F.lit(1)).alias("atom_count"))
+    return sizes.join(aw.area_by_key(shapes, ["bdy_id"]), "bdy_id").join(inside, "bdy_id", "left")
+
+
 def unmatched_shapes(spark, sf):
     return aw.unmatched(v.supplier_squares(spark, sf), v.nation_squares(spark, sf))
 
@@ -363,7 +395,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         duplicate_keys, duplicate_names, null_violations, dropped_units, row_parity, percent_totals,
         pip_join, pip_join_parts_and_holes, tag_units, tag_units_tie_break, tag_units_from_shapes, zonal_sum, point_on_surface_inside,
         two_way_match, name_mismatches, area_by_key, area_from_vertices, albers_area, centroids, overlap_report, percent_overlap,
-        atoms_touching, geometry_diff, unmatched_shapes, overlap_legacy_pair, project_population,
+        atoms_touching, geometry_diff, geometry_diff_islet, overlap_slanted, overlap_at_corners, atoms_touching_slanted,
+        pip_slanted, collected_features, unmatched_shapes, overlap_legacy_pair, project_population,
         strip_code_prefix,
     )
 }

@@ -6,12 +6,15 @@ suppliers and parts play the boundaries.
 
 from __future__ import annotations
 
+import struct
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from areaweave import Boundary, Pair, Registry, Residential, Source, edges_from_rings, ring
+from areaweave import Boundary, Pair, Registry, Residential, Source, edges_from_rings, edges_from_wkb, ring
 
 MONEY = "decimal(18,2)"
 
@@ -192,6 +195,60 @@ def atom_squares(spark: SparkSession, sf: str) -> DataFrame:
                             F.array(box(F.floor("px"), F.floor("py"), 1)))
 
 
+def slanted(edges: DataFrame) -> DataFrame:
+    """The plane sheared both ways: no edge stays level or upright, areas stay, corners stay whole numbers."""
+    return edges.selectExpr("*", *[f"x{n} + 2 * y{n} as u{n}" for n in (1, 2)], *[f"x{n} + 3 * y{n} as v{n}" for n in (1, 2)]
+                            ).drop("x1", "y1", "x2", "y2").withColumnsRenamed({"u1": "x1", "v1": "y1", "u2": "x2", "v2": "y2"})
+
+
+def slanted_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' points on the sheared plane, ten times as large, where all are whole numbers."""
+    key = F.col("c_custkey")
+    return read(spark, sf, "customer").select(key.alias("atom_id"), (key * 37 % 1000).alias("x"), (key * 91 % 1000).alias("y")
+                                              ).selectExpr("atom_id", "double(x + 2 * y) as px", "double(x + 3 * y) as py")
+
+
+def enlarged(edges: DataFrame, times: int) -> DataFrame:
+    return edges.withColumns({c: F.col(c) * times for c in ("x1", "y1", "x2", "y2")})
+
+
+def supplier_triangles(spark: SparkSession, sf: str, second: bool = False) -> DataFrame:
+    """Triangles, and with ``second`` others that touch the middle of their slanted sides with a corner.
+
+    The second ones of odd suppliers reach inside.
+    """
+    x, y = _supplier_corner()
+    if second:
+        by = F.col("s_suppkey") % 2
+        corners = [(x + 4 - by, y + 2 - by), (x + 9 - by, y + 3 - by), (x + 6 - by, y + 7 - by)]
+    else:
+        corners = [(x, y), (x + 8, y), (x, y + 4)]
+    return edges_from_rings(read(spark, sf, "supplier"), "second" if second else "first", F.col("s_suppkey"), F.col("s_name"),
+                            F.array(ring(corners)))
+
+
+def supplier_islets(spark: SparkSession, sf: str) -> DataFrame:
+    """Supplier squares; odd ones have an islet of side 1e-4."""
+    x, y = _supplier_corner()
+    islet = box(x + 20, y + 20, 1e-4, part_id=F.lit(1))
+    rings = F.when(F.col("s_suppkey") % 2 == 1, F.array(box(x, y, 10), islet)).otherwise(F.array(box(x, y, 10)))
+    return edges_from_rings(read(spark, sf, "supplier"), "store", F.col("s_suppkey"), F.col("s_name"), rings)
+
+
+@F.pandas_udf(BinaryType())
+def _square_wkb(x: pd.Series, y: pd.Series, side: pd.Series) -> pd.Series:
+    return pd.Series([struct.pack("<BIII10d", 1, 3, 1, 5, u, v, u + s, v, u + s, v + s, u, v + s, u, v)
+                      for u, v, s in zip(x, y, side, strict=True)])
+
+
+def nation_stores(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as the squares of their suppliers, one row of well-known binary each; squares of a nation overlap."""
+    x, y = _supplier_corner()
+    rows = read(spark, sf, "supplier").select("s_suppkey", "s_nationkey", _square_wkb(
+        x.cast("double"), y.cast("double"), F.lit(10.0)).alias("geom"))
+    return edges_from_wkb(rows, "stores", F.col("s_nationkey"), F.lit("stores"), F.col("geom"), feature=F.col("s_suppkey"))
+
+
 def zones(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as buildings with a planning zone by type."""
     kind = F.col("p_type")
