@@ -14,6 +14,7 @@ from areaweave.sources import (
     append_table, export_csv, find_table, open_table, publish, read_crosswalk, read_csv, replace_table, write_crosswalk,
 )
 from areaweave.sources import files
+from areaweave.sources.catalog import layout_of
 
 
 @pytest.fixture(scope="module")
@@ -101,6 +102,39 @@ def test_bucketed_tag_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_published_copies_keep_their_layout_and_join_without_shuffle(spark, crosswalk):
+    spark.sql("create database if not exists work")
+    tags = spark.range(1000).select(F.col("id").alias("gnaf_pid"), (F.col("id") % 9).cast("string").alias("x"))
+    for name in ("tags_one", "tags_two"):
+        replace_table(tags, f"work.{name}", bucket=(4, "gnaf_pid"))
+    replace_table(crosswalk, "work.parted", PAIR_COLUMNS)
+    publish(spark, {"tags_one": ["gnaf_pid"], "tags_two": [], "parted": KEY_COLUMNS}, "work", "verbatim")
+    assert layout_of(spark, "verbatim.tags_one") == layout_of(spark, "work.tags_one") == ((), 4, ("gnaf_pid",), ("gnaf_pid",))
+    assert layout_of(spark, "verbatim.parted") == (tuple(PAIR_COLUMNS), 0, (), ())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = spark.table("verbatim.tags_one").join(spark.table("verbatim.tags_two"), "gnaf_pid")
+        assert joined.count() == 1000
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert values(spark.table("verbatim.parted").select(*CROSSWALK_COLUMNS)) == values(crosswalk)
+
+
+def test_adding_a_pair_again_replaces_it(spark, crosswalk):
+    spark.sql("create database if not exists work")
+    spark.sql("drop table if exists work.replayed")
+    for b in ("b0", "b1", "b1", "b0"):
+        append_table(crosswalk.filter(F.col("from_bdy") == b), "work.replayed", PAIR_COLUMNS)
+    stored = spark.table("work.replayed").select(*CROSSWALK_COLUMNS)
+    assert values(stored) == values(crosswalk.filter("from_bdy in ('b0', 'b1')"))
+    append_table(crosswalk.filter("from_bdy = 'b1'").limit(7), "work.replayed", PAIR_COLUMNS)
+    counts = {r.from_bdy: r["count"] for r in spark.table("work.replayed").groupBy("from_bdy").count().collect()}
+    assert counts == {"b0": 200, "b1": 7}
+    with pytest.raises(ValueError, match="partitioned"):
+        append_table(crosswalk, "work.replayed", ["from_bdy"])
+
+
 def test_source_lookup(spark):
     registry = aw.standard_registry(aw.Namespaces("202508", units="units"))
     assert find_table(registry, "abs 2016") == "units.address_principal_census_2016_boundaries"
