@@ -115,55 +115,57 @@ NESTED_LEVELS = ("sa1", "sa2", "sa3", "sa4", "gcc")
 LAYER_BDYS = ("ced", "lga", "poa", "ra", "sed", "ucl")
 OPTIONAL_LAYERS = ("sed",)
 
+# Stands for the administrative source of the release in use.
+ADMIN = "admin"
+
 # The boundary pairs of the standard build.
-# "admin" stands for the administrative source of the release in use.
-STANDARD_PAIRS_TEXT = """
-abs 2016 | sa2      | abs 2016 | poa
-abs 2016 | sa2      | abs 2016 | lga
-abs 2016 | poa      | abs 2016 | sa4
-abs 2016 | poa      | abs 2016 | sa3
-abs 2016 | poa      | abs 2016 | sa2
-abs 2016 | poa      | abs 2016 | lga
-abs 2016 | sa3      | abs 2016 | lga
-abs 2016 | lga      | abs 2016 | sa3
-abs 2016 | lga      | abs 2016 | gccsa
-abs 2016 | lga      | abs 2016 | ste
-abs 2016 | lga      | abs 2016 | ra
-abs 2021 | sa2      | abs 2021 | poa
-abs 2021 | sa2      | abs 2021 | lga
-abs 2021 | poa      | abs 2021 | sa4
-abs 2021 | poa      | abs 2021 | sa3
-abs 2021 | poa      | abs 2021 | sa2
-abs 2021 | poa      | abs 2021 | lga
-abs 2021 | sa3      | abs 2021 | lga
-abs 2021 | lga      | abs 2021 | sa3
-abs 2021 | lga      | abs 2021 | gccsa
-abs 2021 | lga      | abs 2021 | state
-abs 2021 | lga      | abs 2021 | ra
-abs 2016 | sa2      | admin    | postcode
-abs 2021 | sa2      | admin    | postcode
-admin    | locality | abs 2016 | sa2
-admin    | locality | abs 2016 | sa3
-admin    | locality | abs 2016 | lga
-admin    | postcode | abs 2016 | sa3
-admin    | postcode | abs 2016 | lga
-admin    | lga      | abs 2016 | lga
-admin    | lga      | abs 2016 | gccsa
-admin    | locality | abs 2021 | sa2
-admin    | locality | abs 2021 | sa3
-admin    | locality | abs 2021 | lga
-admin    | postcode | abs 2021 | sa3
-admin    | postcode | abs 2021 | lga
-admin    | lga      | abs 2021 | lga
-admin    | lga      | abs 2021 | gccsa
-admin    | locality | admin    | lga
-admin    | postcode | admin    | lga
-abs 2016 | sa1      | abs 2021 | sa1
-abs 2016 | sa2      | abs 2021 | sa2
-abs 2016 | sa3      | abs 2021 | sa3
-abs 2016 | sa4      | abs 2021 | sa4
-abs 2016 | gcc      | abs 2021 | gccsa
-"""
+STANDARD_PAIRS = (
+    Pair(CENSUS_2016, "sa2", CENSUS_2016, "poa"),
+    Pair(CENSUS_2016, "sa2", CENSUS_2016, "lga"),
+    Pair(CENSUS_2016, "poa", CENSUS_2016, "sa4"),
+    Pair(CENSUS_2016, "poa", CENSUS_2016, "sa3"),
+    Pair(CENSUS_2016, "poa", CENSUS_2016, "sa2"),
+    Pair(CENSUS_2016, "poa", CENSUS_2016, "lga"),
+    Pair(CENSUS_2016, "sa3", CENSUS_2016, "lga"),
+    Pair(CENSUS_2016, "lga", CENSUS_2016, "sa3"),
+    Pair(CENSUS_2016, "lga", CENSUS_2016, "gccsa"),
+    Pair(CENSUS_2016, "lga", CENSUS_2016, "ste"),
+    Pair(CENSUS_2016, "lga", CENSUS_2016, "ra"),
+    Pair(CENSUS_2021, "sa2", CENSUS_2021, "poa"),
+    Pair(CENSUS_2021, "sa2", CENSUS_2021, "lga"),
+    Pair(CENSUS_2021, "poa", CENSUS_2021, "sa4"),
+    Pair(CENSUS_2021, "poa", CENSUS_2021, "sa3"),
+    Pair(CENSUS_2021, "poa", CENSUS_2021, "sa2"),
+    Pair(CENSUS_2021, "poa", CENSUS_2021, "lga"),
+    Pair(CENSUS_2021, "sa3", CENSUS_2021, "lga"),
+    Pair(CENSUS_2021, "lga", CENSUS_2021, "sa3"),
+    Pair(CENSUS_2021, "lga", CENSUS_2021, "gccsa"),
+    Pair(CENSUS_2021, "lga", CENSUS_2021, "state"),
+    Pair(CENSUS_2021, "lga", CENSUS_2021, "ra"),
+    Pair(CENSUS_2016, "sa2", ADMIN, "postcode"),
+    Pair(CENSUS_2021, "sa2", ADMIN, "postcode"),
+    Pair(ADMIN, "locality", CENSUS_2016, "sa2"),
+    Pair(ADMIN, "locality", CENSUS_2016, "sa3"),
+    Pair(ADMIN, "locality", CENSUS_2016, "lga"),
+    Pair(ADMIN, "postcode", CENSUS_2016, "sa3"),
+    Pair(ADMIN, "postcode", CENSUS_2016, "lga"),
+    Pair(ADMIN, "lga", CENSUS_2016, "lga"),
+    Pair(ADMIN, "lga", CENSUS_2016, "gccsa"),
+    Pair(ADMIN, "locality", CENSUS_2021, "sa2"),
+    Pair(ADMIN, "locality", CENSUS_2021, "sa3"),
+    Pair(ADMIN, "locality", CENSUS_2021, "lga"),
+    Pair(ADMIN, "postcode", CENSUS_2021, "sa3"),
+    Pair(ADMIN, "postcode", CENSUS_2021, "lga"),
+    Pair(ADMIN, "lga", CENSUS_2021, "lga"),
+    Pair(ADMIN, "lga", CENSUS_2021, "gccsa"),
+    Pair(ADMIN, "locality", ADMIN, "lga"),
+    Pair(ADMIN, "postcode", ADMIN, "lga"),
+    Pair(CENSUS_2016, "sa1", CENSUS_2021, "sa1"),
+    Pair(CENSUS_2016, "sa2", CENSUS_2021, "sa2"),
+    Pair(CENSUS_2016, "sa3", CENSUS_2021, "sa3"),
+    Pair(CENSUS_2016, "sa4", CENSUS_2021, "sa4"),
+    Pair(CENSUS_2016, "gcc", CENSUS_2021, "gccsa"),
+)
 
 
 def admin_source_name(release: str) -> str:
@@ -173,8 +175,7 @@ def admin_source_name(release: str) -> str:
 def standard_pairs(release: str) -> list[Pair]:
     """The 45 pairs of the standard build for an administrative release."""
     admin = admin_source_name(release)
-    rows = (line.split("|") for line in STANDARD_PAIRS_TEXT.strip().splitlines())
-    return [Pair(*(admin if cell.strip() == "admin" else cell.strip() for cell in row)) for row in rows]
+    return [Pair(*(admin if value == ADMIN else value for value in pair)) for pair in STANDARD_PAIRS]
 
 
 def level_pairs(levels: Iterable[str]) -> list[tuple[str, str]]:
@@ -228,6 +229,7 @@ class Namespaces:
     census_2016: str = "census_2016_bdys"
     census_2021: str = "census_2021_bdys_gda94"
     indicators: str = "census_2016_data"
+    buildings: str = "geoscape_202203"
 
     def units_db(self) -> str:
         return self.units or f"gnaf_{self.release}"
@@ -245,3 +247,36 @@ def standard_registry(ns: Namespaces) -> Registry:
         census_2021_source(f"{db}.address_principal_census_2021_boundaries"),
         admin_source(ns.release, f"{db}.address_principal_admin_boundaries"),
     )
+
+
+class ResidentialSource(NamedTuple):
+    """Where the standard build learns which units are residential: the rule and the table behind it."""
+
+    rule: Residential
+    table: str
+
+
+# Names of the residential sources and of the table of classified units.
+BUILDINGS = "geoscape"
+CLASSIFIED_TABLE = "address_principals_buildings"
+DEFAULT_RESIDENTIAL_SOURCE = CENSUS_2021
+
+
+def residential_sources(ns: Namespaces) -> dict[str, ResidentialSource]:
+    """The three residential sources of a release by name.
+
+    Both census sources keep units by the meshblock categories of 2021; only the buildings bring flags of their own.
+    """
+    registry = standard_registry(ns)
+    return {
+        CENSUS_2021: ResidentialSource(STANDARD_RESIDENTIAL, registry[CENSUS_2021].table),
+        CENSUS_2016: ResidentialSource(STANDARD_RESIDENTIAL, registry[CENSUS_2016].table),
+        BUILDINGS: ResidentialSource(Residential(by_flag=True), f"{ns.buildings}.{CLASSIFIED_TABLE}"),
+    }
+
+
+def residential_source(ns: Namespaces, name: str) -> ResidentialSource:
+    try:
+        return residential_sources(ns)[name]
+    except KeyError:
+        raise ValueError(f"unknown residential source {name!r}") from None

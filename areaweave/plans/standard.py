@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaweave.config import (
-    CENSUS_2016, CENSUS_2021, CROSSWALK_COLUMNS, KEY_COLUMNS, LAYER_BDYS, NESTED_LEVELS, OPTIONAL_LAYERS, PAIR_COLUMNS,
-    STANDARD_RESIDENTIAL, Boundary, Namespaces, Residential, admin_source_name, census_levels,
-    standard_pairs, standard_registry,
+    CENSUS_2016, CENSUS_2021, CROSSWALK_COLUMNS, DEFAULT_RESIDENTIAL_SOURCE, KEY_COLUMNS, LAYER_BDYS, NESTED_LEVELS,
+    OPTIONAL_LAYERS, PAIR_COLUMNS, Boundary, Namespaces, Residential, admin_source_name, census_levels,
+    residential_source, standard_pairs, standard_registry,
 )
 from areaweave.operators.nested import nested_pairs
 from areaweave.operators.quality import assert_unique
+from areaweave.operators.residential import building_zones, residential_units
 from areaweave.operators.score import score_with_error
 from areaweave.operators.spatial.layers import edges_from_wkb
 from areaweave.operators.spatial.predicates import point_on_surface
@@ -79,11 +80,39 @@ def standard_nested(atoms: DataFrame, units: DataFrame, census: str,
     return nested_pairs(atoms, units, census, ATOM_ID[census], UNIT_ATOM[census], census_levels(census), columns)
 
 
-def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential = STANDARD_RESIDENTIAL,
+def store_residential_units(spark: SparkSession, ns: Namespaces, name: str, keep: Sequence[str] = ("reliability", "state"),
+                            buckets: int | None = None) -> DataFrame:
+    """Classify all units by their buildings' zones and their meshblocks, store them as table ``name`` and check its key."""
+    admin = ns.admin_db()
+    old, new = spark.table(f"{admin}.abs_2016_mb"), spark.table(f"{admin}.abs_2021_mb")
+    zones = building_zones(spark.table(f"{ns.buildings}.building_address"), spark.table(f"{ns.buildings}.buildings"))
+    units = spark.table(f"{ns.units_db()}.address_principals")
+    classified = residential_units(
+        units, old.select(F.col("mb_16code").alias("mb_code"), "mb_category"),
+        new.select(F.col("mb21_code").alias("mb_code"), F.col("mb_cat").alias("mb_category")), zones,
+        keep=tuple(c for c in keep if c in units.columns))
+    replace_table(classified, name, bucket=(buckets or buckets_for(units), "gnaf_pid"))
+    return assert_unique(spark.table(name), ["gnaf_pid"])
+
+
+# Units in one bucket of a tag table: some 100 MB of them, compressed.
+UNITS_PER_BUCKET = 2_000_000
+
+
+def buckets_for(units: DataFrame) -> int:
+    """A power of two, so that tables of different releases still join bucket by bucket."""
+    return 1 << max(2, (units.count() // UNITS_PER_BUCKET).bit_length())
+
+
+def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential | str = DEFAULT_RESIDENTIAL_SOURCE,
                  flags: DataFrame | None = None, export_path: str | None = None,
-                 publish_to: str | None = None, buckets: int = 512, tie_break: bool = False) -> None:
+                 publish_to: str | None = None, buckets: int | None = None, tie_break: bool = False) -> None:
     """Build every standard table of a release.
 
+    ``residential`` names a residential source, or is a rule, with the table of classified units in ``flags`` if
+    it goes by flag.  The buildings' table is read if it is stored and else made first.  ``buckets`` of the unit
+    tables are worked out from the number of units where they are not given.
+
     A meshblock whose point lies on the edge of two areas would give its units
     two rows, which stops the build; ``tie_break`` takes the smaller id instead.
 
@@ -92,6 +121,13 @@ def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential =
     """
     db, registry, pairs = ns.units_db(), standard_registry(ns), standard_pairs(ns.release)
     units = spark.table(f"{db}.address_principals")
+    buckets = buckets or buckets_for(units)
+    if isinstance(residential, str):
+        residential, table = residential_source(ns, residential)
+        if residential.by_flag and flags is None:
+            flags = (spark.table(table) if spark.catalog.tableExists(table)
+                     else store_residential_units(spark, ns, table, buckets=buckets))
+            assert_unique(flags, ["gnaf_pid"])
     tags, nested = {}, []
     for census, unit_table in ((CENSUS_2016, TAGS_2016), (CENSUS_2021, TAGS_2021)):
         atoms, layers = census_tables(spark, ns, census)
@@ -109,7 +145,7 @@ def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential =
     woven = build_all_from_atoms(units, "gnaf_pid", tags, {admin: open_table(spark, registry, admin)},
                                  registry, pairs, residential, flags)
     whole = reduce(DataFrame.unionByName, nested, woven)
-    replace_table(whole.hint("rebalance", *PAIR_COLUMNS), f"{db}.{OUTPUT_TABLE}", PAIR_COLUMNS)
+    replace_table(whole, f"{db}.{OUTPUT_TABLE}", PAIR_COLUMNS)
     crosswalk = assert_unique(spark.table(f"{db}.{OUTPUT_TABLE}").select(*CROSSWALK_COLUMNS), KEY_COLUMNS)
 
     inside = [p for p in pairs if p.from_source == p.to_source == CENSUS_2016
@@ -123,4 +159,4 @@ def run_standard(spark: SparkSession, ns: Namespaces, residential: Residential =
         export_csv(scores, f"{export_path}/{SCORE_TABLE}")
     if publish_to:
         publish(spark, {TAGS_2016: [], TAGS_2021: [], SCORE_TABLE: [], OUTPUT_TABLE: KEY_COLUMNS},
-                db, publish_to, {OUTPUT_TABLE: PAIR_COLUMNS})
+                db, publish_to)

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 import areaweave as aw
 from areaweave.config import (
-    CENSUS_2016, CENSUS_2021, CROSSWALK_COLUMNS, KEY_COLUMNS, STANDARD_RESIDENTIAL, Namespaces, standard_pairs,
+    BUILDINGS, CENSUS_2016, CENSUS_2021, CLASSIFIED_TABLE, CROSSWALK_COLUMNS, KEY_COLUMNS, STANDARD_RESIDENTIAL, Namespaces, standard_pairs,
     standard_registry,
 )
 from areaweave.plans.standard import OUTPUT_TABLE, SCORE_TABLE, run_standard
-from areaweave.sources import read_crosswalk
+from areaweave.sources import read_crosswalk, replace_table
 
 SIZE = 6
 NS = Namespaces("202508")
@@ -126,3 +126,48 @@ def test_flagged_residential_rule_end_to_end(spark, country):
     assert values(by_unit) == values(by_atom)
     pair = pairs[25]
     assert values(aw.slice_pair(by_unit, pair)) == values(aw.build_pair(tables, registry, pair, rule, flags))
+
+
+def test_residential_sources_by_name(spark, country):
+    """All three sources end to end: both census ones keep units by category, the buildings by a stored, checked flag."""
+    for db in ("admin_bdys_202508", "geoscape_202203"):
+        spark.sql(f"create database if not exists {db}")
+    atoms_16, atoms_21 = spark.table("census_2016_bdys.mb_2016_aust"), spark.table("census_2021_bdys_gda94.mb_2021_aust_gda94")
+    replace_table(atoms_16.select(F.col("mb_code16").alias("mb_16code"), F.col("mb_cat16").alias("mb_category")), "admin_bdys_202508.abs_2016_mb")
+    replace_table(atoms_21.select(F.col("mb_code_2021").alias("mb21_code"), F.col("mb_category_2021").alias("mb_cat")),
+                  "admin_bdys_202508.abs_2021_mb")
+    units = spark.table("gnaf_202508.address_principals")
+    replace_table(units.select(F.col("gnaf_pid").alias("address_detail_pid"), (F.col("gid") % 4).alias("building_pid")).filter(
+        "building_pid < 3"), "geoscape_202203.building_address")
+    replace_table(spark.createDataFrame([(0, "Low Density Residential"), (1, "Industrial"), (2, None)], "building_pid int, planning_zone string"),
+                  "geoscape_202203.buildings")
+    spark.sql(f"drop table if exists geoscape_202203.{CLASSIFIED_TABLE}")
+    built = {}
+    for name in (CENSUS_2021, CENSUS_2016, BUILDINGS):
+        run_standard(spark, NS, name, buckets=4)
+        built[name] = values(spark.table(f"gnaf_202508.{OUTPUT_TABLE}").select(*CROSSWALK_COLUMNS))
+    assert built[CENSUS_2021] == built[CENSUS_2016] != built[BUILDINGS]
+    classified = spark.table(f"geoscape_202203.{CLASSIFIED_TABLE}")
+    assert classified.count() == units.count()
+    expected = units.join(atoms_21, F.col("mb_2021_code") == F.col("mb_code_2021")).select("gnaf_pid", F.expr(
+        "case gid % 4 when 0 then true when 1 then false else mb_category_2021 = 'Residential' end as is_residential"))
+    assert values(classified.select("gnaf_pid", "is_residential")) == values(expected)
+    registry, pair = standard_registry(NS), standard_pairs("202508")[25]
+    tables = {name: spark.table(s.table) for name, s in registry.sources.items()}
+    got = aw.slice_pair(spark.table(f"gnaf_202508.{OUTPUT_TABLE}").select(*CROSSWALK_COLUMNS), pair)
+    assert values(got) == values(aw.build_pair(tables, registry, pair, aw.Residential(by_flag=True), classified))
+    with pytest.raises(ValueError, match="unknown residential source"):
+        run_standard(spark, NS, "nowhere")
+
+
+def test_score_with_error_is_score_and_error_rate(spark, country):
+    crosswalk = spark.table(f"gnaf_202508.{OUTPUT_TABLE}").select(*CROSSWALK_COLUMNS)
+    indicators = spark.createDataFrame([("sa3", "c0", 310.5), ("sa3", "c1", 99.0), ("lga", "lga0", 100.0), ("lga", "lga1", 200.0),
+                                        ("lga", "lga1", 7.0), ("poa", "poa0", 0.0), ("sa3", "c0", 4.0)], "bdy string, region_id string, value double")
+    got = aw.score_with_error(crosswalk, indicators)
+    apart = aw.score(crosswalk).join(aw.error_rate(crosswalk, indicators), list(aw.Pair._fields), "left")
+    nested = "from_source = 'abs 2016' and to_source = 'abs 2016' and from_bdy in ('sa1', 'sa2', 'sa3', 'sa4', 'gcc') and to_bdy in ('sa2', 'sa3', 'sa4', 'gcc')"
+    assert values(got.filter(f"not ({nested})")) == values(apart.filter(f"not ({nested})"))
+    assert got.filter(nested).filter("error_percent = 0").count() == 10
+    scans = got._jdf.queryExecution().optimizedPlan().toString().count(OUTPUT_TABLE)
+    assert scans == 1
