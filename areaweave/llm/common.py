@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaweave.sources.steps import shared_folder
+
 #: ASCII white space, as a Java regular expression.
 SPACES = r"[ \t\n\x0B\f\r]+"
 BLANK = r"[^ \t\n\x0B\f\r]"
@@ -28,15 +29,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in local tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="areaweave-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/areaweave-{name}-{uuid.uuid4().hex}"
 
