@@ -243,7 +243,11 @@ def planted(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     Values stand between words of the texts.  Findings that are none of them have no label and are left out.  A text that has
     no words yet is planted into all the same; where there are few texts, each gets more.
     """
-    rows = stored(_rows(docs, id_column, text_column, path_column).orderBy("digest", "doc_id").limit(most), "planted")
+    rows = _rows(docs, id_column, text_column, path_column)
+    # Digests are ordered, not texts; what is chosen is no more than ``most`` rows.
+    chosen = rows.select("digest", F.col("doc_id").alias("chosen_id")).distinct().orderBy("digest", "chosen_id").limit(most)
+    rows = rows.join(F.broadcast(chosen), "digest").where(F.col("doc_id").eqNullSafe(F.col("chosen_id"))).drop("chosen_id")
+    rows = stored(rows.dropDuplicates(["digest", "doc_id"]).select("doc_id", "path", "digest", "text"), "planted")
     each = max(EACH, -(-IN_ALL // max(1, rows.count())))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
