@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from areaweave.llm.common import pick, stored
 
 #: Words whose ids a worker remembers: up to twice as many lately seen, and as many from before.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 #: Words that pass the tokenizer at once.
 AT_ONCE = 500
 #: Information separators: Python's split takes them for white space, the tokenizer doesn't.
