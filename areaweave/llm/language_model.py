@@ -34,7 +34,7 @@ from areaweave.llm.common import drop_stored, new_folder, partitions_for, pick,
 
 HIDDEN, STEPS = 16, 16
 #: Documents side by side, in training and in scoring.
-TRAINED, SCORED = 512, 1024
+TRAINED, SCORED = 1024, 4096
 #: Characters of text in a chunk, about; a longer document is a chunk alone.
 CHUNK_CHARS = 16_000_000
 #: Weights in a slice of the average.
