@@ -12,7 +12,7 @@ from areaweave.operators.joins import lookup_join
 from areaweave.operators.legacy import legacy_rows
 from areaweave.operators.pairs import legacy_counts
 from areaweave.operators.spatial.measures import overlap
-from areaweave.operators.spatial.predicates import point_in_polygon_join, point_on_surface
+from areaweave.operators.spatial.predicates import hits, point_in_polygon_join, point_on_surface
 
 
 def tag_atoms(atom_points: DataFrame, layers: DataFrame, names: Sequence[str], atom_id: str,
@@ -61,12 +61,16 @@ def tag_units(units: DataFrame, atoms: DataFrame, layers: DataFrame, names: Sequ
 def zonal_sum(points: DataFrame, layer: DataFrame, values: Sequence[str], point_id: str,
               attributes: DataFrame | None = None) -> DataFrame:
     """Sum of the points' values per boundary; ``attributes`` adds columns by id."""
-    hits = point_in_polygon_join(points, layer, point_id).join(points.select(point_id, *values), point_id)
+    types = points.select(*[F.sum(v).alias(v) for v in values]).schema
+    # Values go along by id and are added up by boundary before anything else is joined.
+    found = hits(points, layer, point_id, sums=values).filter("point_id is not null")
     keys = ["bdy_id", "bdy_name"]
-    if attributes is not None:
-        hits = hits.join(attributes, "bdy_id")
-        keys += [c for c in attributes.columns if c != "bdy_id"]
-    return hits.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
+    found = found.groupBy(*keys).agg(*[F.sum(v).cast(types[v].dataType).alias(v) for v in values])
+    if attributes is None:
+        return found
+    keys += [c for c in attributes.columns if c != "bdy_id"]
+    return found.join(attributes, "bdy_id").groupBy(*keys).agg(
+        *[F.sum(v).cast(types[v].dataType).alias(v) for v in values])
 
 
 def two_way_match(layer_a: DataFrame, layer_b: DataFrame, short_b_names: bool = True) -> DataFrame:

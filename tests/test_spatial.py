@@ -12,6 +12,7 @@ import areaweave as aw
 from areaweave.operators.spatial import grid, predicates
 from areaweave.operators.spatial.layers import RING, parts
 from areaweave.operators.spatial.measures import albers
+from workloads import views as v
 
 ELL = [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
 
@@ -324,3 +325,38 @@ def test_boxes_of_mixed_sizes_meet_once(spark):
     got = values(grid.boxes_in_boxes(frame(a, "ka"), frame(b, "kb"), ["ka"], ["kb"]), "ka", "kb")
     assert got == sorted(((p[0], q[0]) for p in a for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]),
                          key=repr)
+
+
+def test_pairs_of_points_and_shapes_are_not_shuffled(spark):
+    """Many points in many shapes at one place: what is found leaves the grid join as it is."""
+    pts = spark.range(300).select("id", (F.col("id") % 20 / 10.0).alias("px"), F.lit(0.5).alias("py"), F.lit(2).alias("n"))
+    edges = aw.edges_from_rings(spark.range(40), "s", F.col("id"), F.col("id"), F.array(v.box(F.lit(0), F.lit(0), 1)))
+    found = aw.point_in_polygon_join(pts, edges, "id")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Join") < text.index("Exchange")
+    assert found.count() == found.distinct().count() == 300 * 11 // 20 * 40
+    sums = aw.zonal_sum(pts, edges, ["n"], "id")
+    assert values(sums.select("n").distinct()) == [(330,)]
+
+
+def test_several_places_of_an_id_and_several_parts_give_one_row(spark):
+    pts = spark.createDataFrame([(1, .5, .5, 1), (1, .6, .6, 2), (1, .5, .5, 4), (2, 1., .5, 8), (3, None, .5, 16), (None, .5, .5, 32)],
+                                "id int, px double, py double, n int")
+    two = F.array(v.box(F.lit(0), F.lit(0), 1), v.box(F.lit(1), F.lit(0), 1, part_id=1))
+    edges = aw.edges_from_rings(spark.range(1), "s", F.lit("two"), F.lit("two"), two).unionByName(
+        aw.edges_from_rings(spark.range(1), "s", F.lit("one"), F.lit("one"), F.array(v.box(F.lit(0), F.lit(0), 1))))
+    got = aw.point_in_polygon_join(pts, edges, "id").select("id", "bdy_id")
+    assert sorted(got.collect(), key=repr) == sorted(
+        [(i, b) for i in (1, 2, None) for b in ("one", "two")], key=repr)
+    assert values(aw.zonal_sum(pts, edges, ["n"], "id"), "bdy_id", "n") == [("one", 15), ("two", 15)]
+
+
+def test_large_parts_meet_points_by_edge(spark, monkeypatch):
+    """The path of parts that do not fit a row gives the same."""
+    comb = [(0, 0)] + [p for i in range(30) for p in ((30 - i, 0.0), (30 - i - 0.5, 10.0))]
+    edges = aw.edges_from_wkb(spark.createDataFrame([("c", polygon_wkb(comb)), ("q", polygon_wkb(square(0, 0, 9)))], "k string, g binary"),
+                              "l", F.col("k"), F.col("k"), F.col("g"))
+    pts = spark.range(400).select("id", (F.col("id") % 61 / 2.0).alias("px"), (F.col("id") % 13).cast("double").alias("py"))
+    one = values(aw.point_in_polygon_join(pts, edges, "id"))
+    monkeypatch.setattr(predicates, "EDGES_IN_ROW", 10)
+    assert one and values(aw.point_in_polygon_join(pts, edges, "id")) == one
