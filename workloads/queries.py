@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import areaweave as aw
 from areaweave import Boundary, Override
 from areaweave.functions import release_version, strip_prefix
+from areaweave.sources.steps import step_table
 from workloads import views as v
 
 NATION_SEGMENT = v.PAIRS[0]
@@ -357,7 +358,7 @@ def pip_slanted(spark, sf):
 
 
 def collected_features(spark, sf):
-    shapes = v.nation_stores(spark, sf)
+    shapes = step_table(v.nation_stores(spark, sf), "stores")
     sizes = shapes.groupBy("bdy_id").agg(F.countDistinct("part_id").alias("part_count"), F.countDistinct("feature").alias("feature_count"))
     inside = aw.point_in_polygon_join(v.atom_points(spark, sf), shapes, "atom_id").groupBy("bdy_id").agg(
         F.count(F.lit(1)).alias("atom_count"))
