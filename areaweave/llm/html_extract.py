@@ -25,17 +25,20 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaweave.llm.common import drop_stored, pick, stored
+from areaweave.llm.common import drop_stored, new_folder, partitions_for, pick, stored
 
 #: A subtree is template where it stands under so many different articles of a host, and so large a share of them.
 LEAST_ARTICLES = 5
 LEAST_SHARE = 0.05
+#: Characters of the pages in a chunk, about.
+CHUNK_CHARS = 4_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
@@ -302,41 +305,67 @@ def main_text(blocks: list[dict]) -> str:
 BLOCK = pa.struct([("text", pa.string()), ("linked", pa.int64()), ("around", pa.list_(pa.int64())), ("article", pa.int64()),
                    ("main", pa.int64()), ("body", pa.int64()), ("aside", pa.bool_())])
 SUBTREE = pa.struct([("hash", pa.int64()), ("context", pa.int64())])
+SUBTREES = "array<struct<hash long, context long>>"
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages side by side in chunks: their columns as arrays."""
+    from pyspark import TaskContext
+
+    task, nth, size, kinds = TaskContext.get().partitionId(), 0, 0, None
+    names = ["page_id", "url", "identity", "text", "blocks", "subtrees"]
+    columns: list[list] = [[] for _ in names]
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([f"{task}-{nth}"]), *[pa.array([c], pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]], ["chunk", *names])
+
     for batch in batches:
-        identities, texts, blocks, subtrees = [], [], [], []
-        for page in batch.column("html"):
-            found, around, identity = extract(page.as_py())
-            identities.append(identity)
-            texts.append(None if around else main_text(found))
-            blocks.append(found if around else [])
-            subtrees.append(around)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array(identities, pa.int64()), pa.array(texts, pa.string()),
-             pa.array(blocks, pa.list_(BLOCK)), pa.array(subtrees, pa.list_(SUBTREE))],
-            ["page_id", "url", "identity", "text", "blocks", "subtrees"])
-
-
-def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages less the blocks in subtrees that are gone."""
+        kinds = [batch.schema.field("page_id").type, pa.string(), pa.int64(), pa.string(), pa.list_(BLOCK), pa.list_(SUBTREE)]
+        for page_id, url, page in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
+            page = page.as_py()
+            found, around, identity = extract(page)
+            row = (page_id.as_py(), url.as_py(), identity, None if around else main_text(found), found if around else [], around)
+            for column, value in zip(columns, row, strict=True):
+                column.append(value)
+            size += len(page or "")
+            if size >= CHUNK_CHARS:
+                yield flush()
+                columns, size, nth = [[] for _ in names], 0, nth + 1
+    if columns[0]:
+        yield flush()
+
+
+def _left(batch: pa.RecordBatch, row: int) -> Iterator[tuple[int, list[dict]]]:
+    """A chunk's pages with blocks, less those in subtrees that are gone."""
+    gone = {x["nth"]: set(x["gone"]) for x in batch.column("gone")[row].as_py() or ()}
+    for nth, found in enumerate(batch.column("blocks")[row].values):
+        if len(found):
+            out = gone.get(nth, set())
+            yield nth, [b for b in found.as_py() if out.isdisjoint(b["around"])]
+
+
+def _beside(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``beside`` tells of what is left of the pages."""
     for batch in batches:
-        blocks, subtrees = [], []
-        for found, gone in zip(batch.column("blocks"), batch.column("gone"), strict=True):
-            gone = set(gone.as_py() or ())
-            blocks.append([b for b in found.as_py() if gone.isdisjoint(b["around"])])
-            subtrees.append(beside(blocks[-1])[0])
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("row", "host", "page_id", "url")), pa.array(blocks, pa.list_(BLOCK)),
-             pa.array(subtrees, pa.list_(SUBTREE))], ["row", "host", "page_id", "url", "blocks", "subtrees"])
+        for row in range(batch.num_rows):
+            left = [(nth, beside(blocks)[0]) for nth, blocks in _left(batch, row)]
+            urls = batch.column("url")[row].values
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(batch.column("chunk").slice(row, 1).to_pylist() * len(left), pa.string()),
+                 pa.array([nth for nth, _ in left], pa.int32()), urls.take(pa.array([nth for nth, _ in left], pa.int32())),
+                 pa.array([subtrees for _, subtrees in left], pa.list_(SUBTREE))], ["chunk", "nth", "url", "subtrees"])
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(found.as_py()) for found in batch.column("blocks")]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                         ["page_id", "url", "text"])
+        for row in range(batch.num_rows):
+            texts = batch.column("text")[row].as_py()
+            for nth, blocks in _left(batch, row):
+                texts[nth] = main_text(blocks)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id")[row].values, batch.column("url")[row].values, pa.array(texts, pa.string())],
+                ["page_id", "url", "text"])
 
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
@@ -347,16 +376,26 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
     """
     rows = pick(pages, page_id=id_column, url=url_column, html=html_column)
     kind = rows.schema["page_id"].dataType.simpleString()
-    lists = ("blocks array<struct<text string, linked long, around array<bigint>, article long, main long, body long, "
-             "aside boolean>>, "
-             "subtrees array<struct<hash long, context long>>")
-    parsed = stored(rows.mapInArrow(
-        _parsed, f"page_id {kind}, url string, identity long, text string, {lists}"), "pages")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1))
-    parsed = parsed.withColumn("host", host)
-    left = parsed.where(F.size("blocks") > 0).select(
-        F.xxhash64("page_id", "url", "identity", "blocks").alias("row"), "host", "page_id", "url", "blocks", "subtrees")
-    articles = parsed.select("host", "identity").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    # A table bucketed by chunk: what is gone is dealt to the blocks, which are written once and stay where they are.
+    name, spark = f"areaweave_pages_{uuid.uuid4().hex}", pages.sparkSession
+    (rows.mapInArrow(_parsed, f"chunk string, page_id array<{kind}>, url array<string>, identity array<bigint>, text array<string>, "
+                     "blocks array<array<struct<text string, linked long, around array<bigint>, article long, main long, body long, "
+                     f"aside boolean>>>, subtrees array<{SUBTREES}>").write
+     .bucketBy(partitions_for(pages, html_column, 30, least=8), "chunk")
+     .option("path", new_folder(spark, "pages")).option("compression", "zstd").saveAsTable(name))
+    chunks = spark.table(name)
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1)).alias("host")
+    parsed = chunks.select("chunk", F.posexplode(F.arrays_zip("url", "identity", "subtrees")).alias("nth", "page"))
+    parsed = parsed.select("chunk", "nth", "page.*")
+    articles = parsed.select(host, "identity").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    left, gone = parsed.select("chunk", "nth", host, "subtrees"), None
+
+    def dealt(columns: list[str]) -> DataFrame:
+        if gone is None:
+            return chunks.select(*columns, F.lit(None).cast("array<struct<nth int, gone array<bigint>>>").alias("gone"))
+        own = gone.groupBy("chunk").agg(F.collect_list(F.struct("nth", "gone")).alias("gone"))
+        return chunks.select("chunk", *columns).join(own, "chunk", "left")
+
     # What is gone no longer stands beside the rest, so that is counted again.
     while True:
         around = left.select("host", F.explode("subtrees").alias("s")).select("host", "s.hash", "s.context")
@@ -366,12 +405,14 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
         if not often.head(1):
             drop_stored(often)
             break
-        deleted = left.select("row", "host", F.explode("subtrees.hash").alias("hash")).distinct()
-        deleted = deleted.join(often, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("gone"))
-        after = stored(left.join(deleted, "row", "left").select("row", "host", "page_id", "url", "blocks", "gone").mapInArrow(
-            _without, f"row long, host string, page_id {kind}, url string, {lists}"), "left")
-        for frame in (often, *([left] if hasattr(left, "_areaweave_path") else [])):
+        deleted = left.select("chunk", "nth", "host", F.explode("subtrees.hash").alias("hash"))
+        deleted = deleted.join(often, ["host", "hash"], "left_semi").select("chunk", "nth", "hash")
+        if gone is not None:
+            deleted = deleted.union(gone.select("chunk", "nth", F.explode("gone").alias("hash")))
+        before = [often] if gone is None else [often, left, gone]
+        gone = stored(deleted.groupBy("chunk", "nth").agg(F.collect_set("hash").alias("gone")), "gone", compression="zstd")
+        left = stored(dealt(["url", "blocks"]).mapInArrow(_beside, f"chunk string, nth int, url string, subtrees {SUBTREES}")
+                      .select("chunk", "nth", host, "subtrees"), "left", compression="zstd")
+        for frame in before:
             drop_stored(frame)
-        left = after
-    cleaned = left.mapInArrow(_texts, f"page_id {kind}, url string, text string")
-    return parsed.where(F.size("blocks") == 0).select("page_id", "url", "text").union(cleaned)
+    return dealt(["page_id", "url", "text", "blocks"]).mapInArrow(_texts, f"page_id {kind}, url string, text string")
