@@ -61,6 +61,11 @@ class WordIds:
         self.tails = all(ids(f"word{c}") == ids("word") + ids(c) for c in ",.")
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # A word of one id of its own, to stand between words that pass together.
+        marks = {c: ids(c) for c in "|~^\\`§¶"}
+        self.mark = next((c for c, own in marks.items() if len(own) == 1 and self.by_word and ids(f"word {c} 1.5 {c} {c} a-b") == sum(
+            (ids(w) for w in ("word", c, "1.5", c, c, "a-b")), [])), None)
+        self.mark_id = marks[self.mark][0] if self.mark else None
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -69,7 +74,7 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
     def learn(self, bases: set[str]) -> None:
-        """Words of letters alone pass many at once: each ends with a token that ends a word."""
+        """Words pass many at once: those of letters alone each end with a token that ends a word, others have a mark between them."""
         other = [b for b in bases if not b.isalpha()]
         letters = [b for b in bases if b.isalpha()]
         groups = [letters[i:i + AT_ONCE] for i in range(0, len(letters), AT_ONCE)]
@@ -84,18 +89,34 @@ class WordIds:
                     continue
                 data = ids.tobytes()
                 self.words.update((w, data[a:b]) for w, a, b in zip(group, [0, *cuts[:-1]], cuts, strict=True))
-        for at in range(0, len(other), 10_000):
-            self.words.update(zip(other[at:at + 10_000], self.encode(other[at:at + 10_000]), strict=True))
+        rest = [b for b in other if self.mark is None or self.mark in b]
+        other = [b for b in other if self.mark is not None and self.mark not in b]
+        groups = [other[i:i + AT_ONCE] for i in range(0, len(other), AT_ONCE)]
+        for at in range(0, len(groups), 20):
+            some = groups[at:at + 20]
+            encoded = self.tokenizer.encode_batch_fast([f" {self.mark} ".join(g) for g in some], add_special_tokens=False)
+            for group, e in zip(some, encoded, strict=True):
+                ids = np.array(e.ids, "<u4")
+                cuts = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
+                if len(cuts) != len(group) - 1:
+                    rest += group
+                    continue
+                data = ids.tobytes()
+                self.words.update((w, data[a:b]) for w, a, b in zip(
+                    group, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True))
+        for at in range(0, len(rest), 10_000):
+            self.words.update(zip(rest[at:at + 10_000], self.encode(rest[at:at + 10_000]), strict=True))
 
     def add(self, words: set[str]) -> None:
-        parts, need = [], {",", "."}
+        parts, need, older, tails, lowers = [], {",", "."}, self.older, self.tails, self.lowers
         for word in words:
-            if (found := self.older.get(word)) is not None:
+            if older and (found := older.get(word)) is not None:
                 self.words[word] = found
                 continue
-            tail = word[-1] if self.tails and word[-1] in ".," and len(word) > 1 and word[-2].isalpha() else ""
+            tail = word[-1] if tails and word[-1] in ".," and len(word) > 1 and word[-2].isalpha() else ""
             base = word[:-1] if tail else word
-            base = base.lower() if self.lowers and base.isascii() else base
+            if lowers and base.isascii():
+                base = base.lower()
             need.add(base)
             parts.append((word, base, tail))
         for base in list(need):
