@@ -269,6 +269,11 @@ def _classified(vocabulary: Vocabulary):
     return run
 
 
+def _short(numbers: np.ndarray, size: int) -> np.ndarray:
+    """Numbers below ``size`` in two bytes where they fit, which are sorted faster."""
+    return numbers.astype(np.uint16) if size <= 1 << 16 else numbers
+
+
 class Network:
     """A gated recurrent network over classes: the class before is the input, the class of the token the output.
 
@@ -315,41 +320,45 @@ class Network:
     def _output(self, out: np.ndarray, goal: np.ndarray, scale: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, dict]:
         """Log probabilities of the goals after states ``out``; with ``scale`` also what the loss pulls the states to, and gradients."""
         g, a, v, b = (self.w[k] for k in "gavb")
-        k, rows = b.shape[1], np.arange(len(out))
-        group, place = goal // k, goal % k
-        p = out @ g
-        p += a
-        p -= p.max(axis=1, keepdims=True)
-        log_p = p[rows, group]
+        k, columns = b.shape[1], np.arange(len(out))
+        group, place = _short(goal // k, len(b)), goal % k
+        # A column per token: sums and maxima over the classes run along whole rows.
+        p = g.T @ out.T
+        p += a[:, None]
+        p -= p.max(axis=0)
+        log_p = p[group, columns]
         np.exp(p, out=p)
-        total = p.sum(axis=1)
-        log_p = log_p - np.log(total)
+        total = p.sum(axis=0)
+        log_p -= np.log(total)
         grads, up = {}, None
         if scale is not None:
-            p *= (scale / total)[:, None]
-            p[rows, group] -= scale
-            grads = {"g": out.T @ p, "a": p.sum(axis=0), "v": np.zeros_like(v), "b": np.zeros_like(b)}
-            up = p @ g.T
+            p *= scale / total
+            p[group, columns] -= scale
+            grads = {"g": (p @ out).T, "a": p.sum(axis=1), "v": np.zeros_like(v), "b": np.zeros_like(b)}
+            up = p.T @ g.T
         # Tokens by group, so that each group's classes are worked out for its own tokens alone.
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(len(b) + 1))
-        out, place = out[order], place[order]
+        out, place, inner, more = out.take(order, axis=0), place[order], np.empty_like(log_p), np.empty_like(out)
+        weight = None if scale is None else scale[order]
         for n in np.flatnonzero(np.diff(cuts)):
             some = slice(cuts[n], cuts[n + 1])
-            q = out[some] @ v[n].T
-            q += b[n]
-            q -= q.max(axis=1, keepdims=True)
-            own = np.arange(len(q))
-            chosen = q[own, place[some]]
+            own, at = place[some], columns[:cuts[n + 1] - cuts[n]]
+            q = v[n] @ out[some].T
+            q += b[n][:, None]
+            q -= q.max(axis=0)
+            chosen = q[own, at]
             np.exp(q, out=q)
-            total = q.sum(axis=1)
-            log_p[order[some]] += chosen - np.log(total)
+            total = q.sum(axis=0)
+            inner[some] = chosen - np.log(total)
             if scale is not None:
-                weight = scale[order[some]]
-                q *= (weight / total)[:, None]
-                q[own, place[some]] -= weight
-                grads["v"][n], grads["b"][n] = q.T @ out[some], q.sum(axis=0)
-                up[order[some]] += q @ v[n]
+                q *= weight[some] / total
+                q[own, at] -= weight[some]
+                grads["v"][n], grads["b"][n] = q @ out[some], q.sum(axis=1)
+                np.matmul(q.T, v[n], out=more[some])
+        log_p[order] += inner
+        if scale is not None:
+            up[order] += more
         return log_p, up, grads
 
     def window(self, state: np.ndarray, before: np.ndarray, target: np.ndarray, mask: np.ndarray,
@@ -358,44 +367,69 @@ class Network:
         x, u = self.w["x"], self.w["u"]
         steps, slots = before.shape
         h = u.shape[0]
+        # The gates' weights apart, so that all that follows works on arrays without gaps.
+        xs, us = (np.ascontiguousarray(a.reshape(-1, 3, h).swapaxes(0, 1)) for a in (x, u))
         states = np.empty((steps + 1, slots, h), np.float32)
         states[0] = state
         kept = []
         for t in range(steps):
-            gate, rec = x[before[t]], states[t] @ u
-            zr = 1 / (1 + np.exp(-(gate[:, :2 * h] + rec[:, :2 * h])))
-            new = np.tanh(gate[:, 2 * h:] + zr[:, h:] * rec[:, 2 * h:])
-            states[t + 1] = new + zr[:, :h] * (states[t] - new)
+            rec, zr, new = states[t] @ us, np.empty((2, slots, h), np.float32), xs[2].take(before[t], axis=0)
+            for n in (0, 1):
+                xs[n].take(before[t], axis=0, out=zr[n], mode="clip")
+            zr += rec[:2]
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.divide(1, zr, out=zr)
+            new += zr[1] * rec[2]
+            new *= -2  # the hyperbolic tangent, by the faster exponential
+            np.exp(new, out=new)
+            new += 1
+            np.divide(2, new, out=new)
+            new -= 1
+            own = np.subtract(states[t], new, out=states[t + 1])
+            own *= zr[0]
+            own += new
             if train:
-                kept.append((zr, rec[:, 2 * h:], new))
+                kept.append((zr, rec[2], new))
         out = states[1:].reshape(-1, h)
         scale = mask.ravel().astype(np.float32) / max(1, int(mask.sum())) if train else None
         log_p, up, grads = self._output(out, target.ravel(), scale)
         log_p = log_p.reshape(steps, slots)
         if not train:
             return log_p, states[-1], None
-        grads["u"] = np.zeros_like(u)
         up = up.reshape(steps, slots, h)
-        gates = np.empty((steps, slots, 3 * h), np.float32)
+        gates, inner = np.empty((steps, slots, 3 * h), np.float32), np.empty((steps, slots, h), np.float32)
         down = np.zeros((slots, h), np.float32)
         for t in range(steps - 1, -1, -1):
-            zr, rec_new, new = kept[t]
-            z, r = zr[:, :h], zr[:, h:]
+            (z, r), rec_new, new = kept[t]
             d = up[t] + down
+            rest = 1 - z
+            dz = states[t] - new
+            dz *= d
+            dz *= z
+            dz *= rest
+            rest *= d
+            np.multiply(new, new, out=new)
+            np.subtract(1, new, out=new)
+            dn = np.multiply(rest, new, out=rest)
+            dr = rec_new
+            dr *= dn
+            dr *= r
+            np.subtract(1, r, out=new)
+            dr *= new
             g = gates[t]
-            dn = d * (1 - z) * (1 - new * new)
-            g[:, :h] = d * (states[t] - new) * z * (1 - z)
-            g[:, h:2 * h] = dn * rec_new * r * (1 - r)
-            g[:, 2 * h:] = dn
-            rec = g.copy()
-            rec[:, 2 * h:] *= r
-            grads["u"] += states[t].T @ rec
-            down = d * z + rec @ u.T
-        flat, index = gates.reshape(-1, 3 * h), before.ravel()
-        order = np.argsort(index, kind="stable")
+            g[:, :h], g[:, h:2 * h], g[:, 2 * h:] = dz, dr, dn
+            d *= z
+            d += g[:, :2 * h] @ u[:, :2 * h].T
+            d += np.multiply(dn, r, out=inner[t]) @ u[:, 2 * h:].T
+            down = d
+        flat, index, old = gates.reshape(-1, 3 * h), before.ravel(), states[:-1].reshape(-1, h).T
+        grads["u"] = np.concatenate([old @ flat[:, :2 * h], old @ inner.reshape(-1, h)], axis=1)
+        order = np.argsort(_short(index, len(x)), kind="stable")
         firsts = np.flatnonzero(np.r_[True, index[order][1:] != index[order][:-1]])
         grads["x"] = np.zeros_like(x)
-        grads["x"][index[order][firsts]] = np.add.reduceat(flat[order], firsts, axis=0)
+        grads["x"][index[order][firsts]] = np.add.reduceat(flat.take(order, axis=0), firsts, axis=0)
         return log_p, states[-1], grads
 
 
