@@ -43,10 +43,17 @@ EDGES_IN_ROW = 2 ** 16
 _SHAPE = ("struct(greatest(x1, x2) as r, least(y1, y2) as lo, greatest(y1, y2) as hi, least(x1, x2) as l, "
           "x1, y1, x2, y2)")
 _EDGE = tuple((f"e.x{n}", f"e.y{n}") for n in (1, 2))
-_JUDGED = ("aggregate(shape, 0, (s, e) -> case when e.r < px or e.lo > py or e.hi < py then s "
-           "when px < e.l then if(py < e.hi, s ^ 1, s) "
-           f"else get(transform(array({side_of(*_EDGE, ('px', 'py'))}), v -> case when v = 0 then s | 2 "
-           "when py < e.hi and (v > 0) = (e.y2 > e.y1) then s ^ 1 else s end), 0) end)")
+
+
+def _judged(shape: str, x: str, y: str) -> str:
+    """SQL for a point's state after all edges of a shape: 0 outside."""
+    return (f"aggregate({shape}, 0, (s, e) -> case when e.r < {x} or e.lo > {y} or e.hi < {y} then s "
+            f"when {x} < e.l then if({y} < e.hi, s ^ 1, s) "
+            f"else get(transform(array({side_of(*_EDGE, (x, y))}), v -> case when v = 0 then s | 2 "
+            f"when {y} < e.hi and (v > 0) = (e.y2 > e.y1) then s ^ 1 else s end), 0) end)")
+
+
+_IN_STRIP = f"{_strip('py', 'foot')} = strip and {_judged('shape', 'px', 'py')} > 0"
 
 
 def _strips_with_edges(boxes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -69,8 +76,7 @@ def _hits_by_strip(places: DataFrame, boxes: DataFrame, edges: DataFrame) -> Dat
     """``places`` with the boundaries they lie in or on, a row per part: judged where a point meets a strip, so pairs
     of points and parts are neither moved nor stored."""
     met = points_in_boxes(places, _strips_with_edges(boxes, edges), "px", "py", flat=FLAT)
-    return met.filter(f"{_strip('py', 'foot')} = strip and {_JUDGED} > 0").select(
-        *places.columns, *BDY, "bdy_name")
+    return met.filter(_IN_STRIP).select(*places.columns, *BDY, "bdy_name")
 
 
 def _hits_by_edge(places: DataFrame, boxes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -93,6 +99,12 @@ def _hits_by_edge(places: DataFrame, boxes: DataFrame, edges: DataFrame) -> Data
     return judged.filter("odd = 1 or edge = 1").select(*places.columns, *BDY, "bdy_name")
 
 
+def _stripped_parts(edges: DataFrame) -> DataFrame:
+    """The rows of ``parts`` as a table, with the strips of each."""
+    return step_table(parts(edges).withColumn("strips", F.expr(STRIPS)).withColumn(
+        "per_unit", F.expr("coalesce(try_divide(double(strips), maxy - miny), 0D)")), "parts")
+
+
 def hits(points: DataFrame, edges: DataFrame, point_id: str, x: str = "px", y: str = "py",
          sums: Sequence[str] = ()) -> DataFrame:
     """As ``point_in_polygon_join``, with the id as ``point_id`` and beside it sums of columns over all rows of that id.
@@ -105,8 +117,7 @@ def hits(points: DataFrame, edges: DataFrame, point_id: str, x: str = "px", y: s
         F.expr(f"min({place}) as place"), F.expr(f"max({place}) as last"), *[F.sum(c).alias(c) for c in sums]), "points")
     once = ids.filter("place = last").select("point_id", *sums, "place.px", "place.py")
     several = ids.filter("place <> last").select("point_id", *sums)
-    boxes = step_table(parts(edges).withColumn("strips", F.expr(STRIPS)).withColumn(
-        "per_unit", F.expr("coalesce(try_divide(double(strips), maxy - miny), 0D)")), "parts")
+    boxes = _stripped_parts(edges)
     shared = boxes.groupBy(*BDY).count().filter("count > 1").select(*BDY)
     large, small = boxes.filter(f"edge_count > {EDGES_IN_ROW}"), boxes.filter(f"edge_count <= {EDGES_IN_ROW}")
     places, lone, again = once, small, []
@@ -126,6 +137,44 @@ def hits(points: DataFrame, edges: DataFrame, point_id: str, x: str = "px", y: s
     return found
 
 
+# A boundary's edges go along with its point up to this many.
+EDGES_WITH_POINT = 2 ** 10
+
+
+def lone_parts(edges: DataFrame) -> DataFrame:
+    """Parts that are all there is under their id, with few edges: such boundaries meet others once at most."""
+    boxes = _stripped_parts(edges)
+    once = boxes.groupBy("bdy_id").count().filter("count = 1").select("bdy_id")
+    known = f"edge_count <= {EDGES_WITH_POINT} and layer is not null and part_id is not null and bdy_name is not null"
+    return step_table(boxes.filter(known).join(once, "bdy_id", "left_semi"), "lone")
+
+
+def lone_matches(a: tuple[DataFrame, ...], b: tuple[DataFrame, ...]) -> DataFrame:
+    """Pairs of boundaries of ``lone_parts`` where the point of one lies in the other: ids, names, and ``match_count``, 2 when
+    it holds both ways.
+
+    Each side is its lone parts, its edges and the points of its boundaries.  A point brings its boundary's
+    edges along and a strip its boundary's point, so both ways are judged where a point meets a strip, and no pair is shuffled.
+    """
+    def carried(lone: DataFrame, edges: DataFrame, points: DataFrame) -> DataFrame:
+        shapes = edges.join(lone, BDY, "left_semi").groupBy("bdy_id").agg(F.expr(f"collect_list({_SHAPE}) as own"))
+        box = lone.selectExpr("bdy_id", *[f"{c} as own_{c}" for c in BOX])
+        return points.join(shapes, "bdy_id").join(box, "bdy_id").withColumnsRenamed({"bdy_id": "p_id", "bdy_name": "p_name"}).drop("layer")
+
+    def found(side: tuple[DataFrame, ...], others: tuple[DataFrame, ...]) -> DataFrame:
+        lone, edges, points = side
+        strips = _strips_with_edges(lone, edges).join(points.selectExpr("bdy_id", "px as qx", "py as qy"), "bdy_id", "left")
+        back = f"qx between own_minx and own_maxx and qy between own_miny and own_maxy and {_judged('own', 'qx', 'qy')} > 0"
+        return points_in_boxes(carried(*others), strips, "px", "py", flat=FLAT).filter(_IN_STRIP).withColumn(
+            "back", F.expr(f"coalesce({back}, false)"))
+
+    names = {"a": ("p_id", "p_name", "bdy_id", "bdy_name"), "b": ("bdy_id", "bdy_name", "p_id", "p_name")}
+    keys = {k: [f"{c} as {n}" for c, n in zip(v, ("a_id", "a_name", "b_id", "b_name"), strict=True)] for k, v in names.items()}
+    # What holds both ways is told by the points of the first.
+    return found(b, a).selectExpr(*keys["a"], "if(back, 2L, 1L) as match_count").union(
+        found(a, b).filter("not back").selectExpr(*keys["b"], "1L as match_count"))
+
+
 def point_in_polygon_join(points: DataFrame, edges: DataFrame, point_id: str,
                           x: str = "px", y: str = "py") -> DataFrame:
     """Every point with every boundary it lies in or on: ``point_id`` and the

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,10 @@ from areaweave.operators.joins import lookup_join
 from areaweave.operators.legacy import legacy_rows
 from areaweave.operators.pairs import legacy_counts
 from areaweave.operators.spatial.measures import overlap
-from areaweave.operators.spatial.predicates import hits, point_in_polygon_join, point_on_surface
+from areaweave.operators.spatial.predicates import (
+    hits, lone_matches, lone_parts, point_in_polygon_join, point_on_surface,
+)
+from areaweave.sources.steps import step_table
 
 
 def tag_atoms(atom_points: DataFrame, layers: DataFrame, names: Sequence[str], atom_id: str,
@@ -81,16 +85,29 @@ def two_way_match(layer_a: DataFrame, layer_b: DataFrame, short_b_names: bool =
     def shown(name: Column) -> Column:
         return name_before(name) if short_b_names else name
 
-    points_b = point_on_surface(layer_b).select(F.struct("bdy_id", "bdy_name").alias("p"), "px", "py")
-    points_a = point_on_surface(layer_a).select(F.struct("bdy_id", "bdy_name").alias("p"), "px", "py")
-    b_in_a = point_in_polygon_join(points_b, layer_a, "p").select(
-        F.col("bdy_id").alias("a_id"), F.col("bdy_name").alias("a_name"),
-        F.col("p.bdy_id").alias("b_id"), shown(F.col("p.bdy_name")).alias("b_name"))
-    a_in_b = point_in_polygon_join(points_a, layer_b, "p").select(
-        F.col("p.bdy_id").alias("a_id"), F.col("p.bdy_name").alias("a_name"),
-        F.col("bdy_id").alias("b_id"), shown(F.col("bdy_name")).alias("b_name"))
-    return (b_in_a.unionByName(a_in_b).groupBy("a_id", "a_name", "b_id", "b_name")
-            .agg(F.count(F.lit(1)).alias("match_count")))
+    sides = [(lone_parts(layer), layer, step_table(point_on_surface(layer), "inner")) for layer in (layer_a, layer_b)]
+    matches = lone_matches(*sides).withColumn("b_name", shown(F.col("b_name")))
+    # Pairs with a boundary of several parts, or one that shares its id, may come up more than once and are counted.
+    rest = [(layer.join(lone, "bdy_id", "left_anti"), points.join(lone, "bdy_id", "left_anti")) for lone, layer, points in sides]
+
+    def found(points: DataFrame, layer: DataFrame, names: Sequence[str]) -> DataFrame:
+        own = points.select(F.struct("bdy_id", "bdy_name").alias("p"), "px", "py")
+        return point_in_polygon_join(own, layer, "p").selectExpr(*[f"{c} as {n}" for c, n in zip(
+            ("p.bdy_id", "p.bdy_name", "bdy_id", "bdy_name"), names, strict=True)])
+
+    a_names, b_names = ["a_id", "a_name"], ["b_id", "b_name"]
+    counted = []
+    for (lone, layer, points), other, names, (more, more_points) in (
+            (sides[1], sides[0], [*a_names, *b_names], (rest[1][0], rest[0][1])),
+            (sides[0], sides[1], [*b_names, *a_names], (rest[0][0], rest[1][1]))):
+        if not more.isEmpty():
+            counted.append(found(other[2], more, names))
+        if not more_points.isEmpty():
+            counted.append(found(more_points, layer.join(lone, "bdy_id", "left_semi"), names))
+    if counted:
+        every = reduce(DataFrame.unionByName, counted).withColumn("b_name", shown(F.col("b_name")))
+        matches = matches.unionByName(every.groupBy(*a_names, *b_names).agg(F.count(F.lit(1)).alias("match_count")))
+    return matches
 
 
 def name_mismatches(matches: DataFrame) -> DataFrame:
