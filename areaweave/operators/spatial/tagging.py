@@ -66,8 +66,8 @@ def zonal_sum(points: DataFrame, layer: DataFrame, values: Sequence[str], point_
               attributes: DataFrame | None = None) -> DataFrame:
     """Sum of the points' values per boundary; ``attributes`` adds columns by id."""
     types = points.select(*[F.sum(v).alias(v) for v in values]).schema
-    # Values go along by id and are added up by boundary before anything else is joined.
-    found = hits(points, layer, point_id, sums=values).filter("point_id is not null")
+    # Values are added up by cell and by boundary before anything else is joined.
+    found = hits(points.filter(F.col(point_id).isNotNull()), layer, point_id, sums=values)
     keys = ["bdy_id", "bdy_name"]
     found = found.groupBy(*keys).agg(*[F.sum(v).cast(types[v].dataType).alias(v) for v in values])
     if attributes is None:
